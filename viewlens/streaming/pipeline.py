@@ -1,0 +1,111 @@
+"""Starting, combining and stopping the streaming queries."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators import device_window_stats, enrich_events, movie_window_stats
+from ..sinks.batches import (
+    BatchWriter,
+    fact_writer,
+    fan_out,
+    lake_writer,
+    processed_writer,
+    update_log_writer,
+)
+
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def start(
+    df: DataFrame,
+    writer: BatchWriter,
+    *,
+    checkpoint: str,
+    mode: str = "append",
+    name: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Starts one query that hands its micro-batches to writer.
+
+    ``trigger`` holds the keywords of ``DataStreamWriter.trigger``; without it a
+    new batch starts as soon as the last one is done.
+    """
+    stream = df.writeStream.foreachBatch(writer).outputMode(mode)
+    stream = stream.option("checkpointLocation", checkpoint)
+    if name:
+        stream = stream.queryName(name)
+    if trigger:
+        stream = stream.trigger(**trigger)
+    return stream.start()
+
+
+def start_console(
+    df: DataFrame,
+    *,
+    mode: str = "append",
+    rows: int = 10,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Prints micro-batches: ``append`` for events, ``update`` for statistics."""
+    stream = df.writeStream.format("console").outputMode(mode)
+    stream = stream.options(truncate="false", numRows=rows)
+    if checkpoint:
+        stream = stream.option("checkpointLocation", checkpoint)
+    if trigger:
+        stream = stream.trigger(**trigger)
+    return stream.start()
+
+
+def run_to_end(df: DataFrame, writer: BatchWriter, *, checkpoint: str, mode: str = "append") -> None:
+    """Processes what the source holds now and stops."""
+    start(df, writer, checkpoint=checkpoint, mode=mode, trigger=AVAILABLE_NOW).awaitTermination()
+
+
+def start_event_tables(
+    events: DataFrame,
+    *,
+    tables: str,
+    checkpoints: str,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """Raw view events to the lake, processed, fact and statistics tables.
+
+    The three event tables share one read of the source. Statistics are logs of
+    updates: read them through ``latest_rows``.
+    """
+    enriched = enrich_events(events)
+    event_tables = fan_out(
+        lake_writer(f"{tables}/lake"),
+        processed_writer(f"{tables}/user_views_processed"),
+        fact_writer(f"{tables}/user_views_fact"),
+    )
+
+    def begin(df: DataFrame, writer: BatchWriter, name: str, mode: str) -> StreamingQuery:
+        checkpoint = f"{checkpoints}/{name}"
+        return start(df, writer, checkpoint=checkpoint, mode=mode, name=name, trigger=trigger)
+
+    movie_log = update_log_writer(f"{tables}/movie_stats_realtime")
+    device_log = update_log_writer(f"{tables}/device_stats_realtime")
+    return [
+        begin(enriched, event_tables, "event_tables", "append"),
+        begin(movie_window_stats(enriched), movie_log, "movie_stats", "update"),
+        begin(device_window_stats(enriched), device_log, "device_stats", "update"),
+    ]
+
+
+def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
+    """Waits until any query ends or fails."""
+    return spark.streams.awaitAnyTermination(timeout)
+
+
+def stop_all(queries: Iterable[StreamingQuery], *, finish: bool = False) -> None:
+    """Stops the queries; with ``finish`` after all input at hand is processed."""
+    for query in queries:
+        if finish and query.isActive:
+            query.processAllAvailable()
+        query.stop()
