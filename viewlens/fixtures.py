@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from .operators.enrich import enrich_events
 
 EVENT_TYPES = {"view": "start", "click": "pause", "signup": "resume"}
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
 DEVICES = {0: "mobile", 1: "smart_tv", 2: "tablet"}
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a file stream."""
-    schema = read_events(spark, sf_dir).schema
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ def user_metrics(
     *,
     gap_seconds: int = 3600,
     time_col: str = "original_timestamp",
-    tie_cols: Sequence[str] = ("session_id",),
+    tie_col: str = "session_id",
     max_user_rows: int | None = MAX_USER_ROWS,
 ) -> DataFrame:
     """Adds prev_event_time, time_since_last_event, is_new_session and
@@ -27,21 +25,20 @@ def user_metrics(
 
     An event opens a session when the user has no earlier timed event or the gap
     exceeds ``gap_seconds`` whole seconds. Events without a time come first and
-    each opens a session. Equal times are ordered by ``tie_cols``, then by the
-    other columns.
+    each opens a session. Equal times are ordered by the text in ``tie_col``,
+    then by a hash of the row, so the result does not depend on the input order.
 
     A user with up to ``max_user_rows`` rows is one window group. Larger users,
     such as the NULL user, are cut into time slices (see ``_large_users``). Pass
     None to skip that when no user can be large.
     """
-    ties = [*tie_cols, *[c for c in events.columns if c not in {"user_id", time_col, *tie_cols}]]
     if max_user_rows is None:
-        return _small_users(events, gap_seconds, time_col, ties)
+        return _small_users(events, gap_seconds, time_col, tie_col)
     large = F.broadcast(large_groups(events, ["user_id"], max_user_rows))
     small_part = join_on(events, large, ["user_id"], "left_anti")
     large_part = join_on(events, large, ["user_id"], "left_semi")
-    return _small_users(small_part, gap_seconds, time_col, ties).unionByName(
-        _large_users(large_part, gap_seconds, time_col, ties, tie_cols[0])
+    return _small_users(small_part, gap_seconds, time_col, tie_col).unionByName(
+        _large_users(large_part, gap_seconds, time_col, tie_col)
     )
 
 
@@ -49,24 +46,22 @@ def _opens_session(gap: Column, previous: Column, gap_seconds: int) -> Column:
     return (gap > gap_seconds) | previous.isNull()
 
 
-def _small_users(events: DataFrame, gap_seconds: int, time_col: str, ties: list[str]) -> DataFrame:
+def _small_users(events: DataFrame, gap_seconds: int, time_col: str, tie_col: str) -> DataFrame:
     # Both windows have the same partitioning and order: one shuffle, one sort.
-    by_user = Window.partitionBy("user_id").orderBy(
-        F.col(time_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties]
-    )
+    by_user = Window.partitionBy("user_id").orderBy(time_col, tie_col, "_hash")
     to_here = by_user.rowsBetween(Window.unboundedPreceding, 0)
     gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
     return (
-        events.withColumn("prev_event_time", F.lag(time_col).over(by_user))
+        events.withColumn("_hash", F.xxhash64(*events.columns))
+        .withColumn("prev_event_time", F.lag(time_col).over(by_user))
         .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
         .withColumn("is_new_session", _opens_session(gap, previous, gap_seconds))
         .withColumn("session_seq_number", F.sum(F.col("is_new_session").cast("int")).over(to_here))
+        .drop("_hash")
     )
 
 
-def _large_users(
-    events: DataFrame, gap_seconds: int, time_col: str, ties: list[str], first_tie: str
-) -> DataFrame:
+def _large_users(events: DataFrame, gap_seconds: int, time_col: str, tie_col: str) -> DataFrame:
     """The same result without ever sorting one user's rows in one task.
 
     Time slices are no longer than the session gap, so only the first event of a
@@ -76,57 +71,47 @@ def _large_users(
     times within a slice. Equal rows are counted before the shuffle and expanded
     at the end.
     """
-    columns = events.columns
-    copies = events.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    timed = _timed_events(
-        events, copies.where(F.col(time_col).isNotNull()), gap_seconds, time_col, ties
-    )
-    untimed = _untimed_events(copies.where(F.col(time_col).isNull()), time_col, first_tie)
-    offsets = (
-        events.where(F.col(time_col).isNull())
-        .groupBy("user_id")
-        .agg(F.count("*").alias("_untimed"))
-    )
-    timed = (
-        join_on(timed, offsets, ["user_id"], "left")
-        .withColumn(
-            "session_seq_number",
-            F.col("session_seq_number") + F.coalesce("_untimed", F.lit(0)),
-        )
-        .drop("_untimed")
-    )
+    copies = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
+    is_timed = F.col(time_col).isNotNull()
+    timed = _timed_events(events, copies.where(is_timed), gap_seconds, time_col, tie_col)
+    untimed = _untimed_events(copies.where(~is_timed), tie_col)
     return timed.unionByName(untimed)
 
 
 def _timed_events(
-    events: DataFrame, copies: DataFrame, gap_seconds: int, time_col: str, ties: list[str]
+    events: DataFrame, copies: DataFrame, gap_seconds: int, time_col: str, tie_col: str
 ) -> DataFrame:
     length = max(1, min(SLICE_SECONDS, gap_seconds))
-    slice_no = F.floor(F.unix_timestamp(time_col) / length)
-    sliced = events.where(F.col(time_col).isNotNull()).withColumn("_slice", slice_no)
+    sliced = events.withColumn("_slice", F.floor(F.unix_timestamp(time_col) / length))
 
-    # One row per user and slice: a year of minutes is 525,600 rows.
-    by_user = Window.partitionBy("user_id").orderBy("_slice")
+    # One row per user and slice: a year of minutes is 525,600 rows. Events
+    # without a time are the NULL slice, which comes first and opens a session
+    # for each of them.
+    by_user = Window.partitionBy("user_id").orderBy(F.col("_slice").asc_nulls_first())
     to_here = by_user.rowsBetween(Window.unboundedPreceding, 0)
+    gap, previous = seconds_between("_first", "_before_slice"), F.col("_before_slice")
+    opened = F.when(F.col("_slice").isNull(), F.col("_rows")).otherwise(
+        _opens_session(gap, previous, gap_seconds).cast("long")
+    )
     slices = (
         sliced.groupBy("user_id", "_slice")
-        .agg(F.min(time_col).alias("_first"), F.max(time_col).alias("_last"))
-        .withColumn("_before_slice", F.lag("_last").over(by_user))
-        .withColumn(
-            "_opens",
-            _opens_session(
-                seconds_between("_first", "_before_slice"), F.col("_before_slice"), gap_seconds
-            ),
+        .agg(
+            F.min(time_col).alias("_first"),
+            F.max(time_col).alias("_last"),
+            F.count("*").alias("_rows"),
         )
-        .withColumn("session_seq_number", F.sum(F.col("_opens").cast("int")).over(to_here))
+        .withColumn("_before_slice", F.lag("_last").over(by_user))
+        .withColumn("session_seq_number", F.sum(opened).over(to_here))
         .select("user_id", "_slice", "_before_slice", "session_seq_number")
     )
 
     # One row per distinct time, with the row that comes first among equal times.
+    place = F.struct(tie_col, F.xxhash64(*events.columns).alias("hash"), *events.columns)
     in_slice = Window.partitionBy("user_id", "_slice").orderBy(time_col)
     times = (
-        sliced.groupBy("user_id", "_slice", time_col)
-        .agg(F.min(F.struct(*ties)).alias("_leader"))
+        sliced.where(F.col(time_col).isNotNull())
+        .groupBy("user_id", "_slice", time_col)
+        .agg(F.min(place).alias("_leader"))
         .withColumn("_before", F.lag(time_col).over(in_slice))
     )
     times = (
@@ -136,7 +121,7 @@ def _timed_events(
     )
 
     matched = expand_copies(join_on(copies, times, ["user_id", time_col]), "_copies", "_copy")
-    leads = (F.col("_copy") == 0) & F.struct(*ties).eqNullSafe(F.col("_leader"))
+    leads = (F.col("_copy") == 0) & place.eqNullSafe(F.col("_leader"))
     gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
     return (
         matched.withColumn("prev_event_time", F.when(leads, F.col("_before")).otherwise(F.col(time_col)))
@@ -146,16 +131,20 @@ def _timed_events(
     )
 
 
-def _untimed_events(copies: DataFrame, time_col: str, first_tie: str) -> DataFrame:
-    """Events without a time: numbered by the first tie column, then by row hash."""
+def _untimed_events(copies: DataFrame, tie_col: str) -> DataFrame:
+    """Events without a time: numbered by tie column, then by row hash.
+
+    Levels of four characters, tie value, 16 hash bits and row keep each window
+    small even when many rows share the tie value.
+    """
     columns = [c for c in copies.columns if c != "_copies"]
     row_hash = F.xxhash64(*columns)
     numbered = sum_before(
         copies.withColumns(
             {
-                "_prefix": F.substring(F.col(first_tie).cast("string"), 1, 3),
-                "_tie": F.col(first_tie),
-                "_bucket": F.shiftrightunsigned(row_hash, 52),
+                "_prefix": F.substring(tie_col, 1, 4),
+                "_tie": F.col(tie_col),
+                "_bucket": F.shiftright(row_hash, 48),
                 "_row": F.struct(row_hash.alias("hash"), *columns),
             }
         ),

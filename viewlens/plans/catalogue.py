@@ -255,29 +255,32 @@ SESSION_COLUMNS = [
     "is_new_session",
     "session_seq_number",
 ]
-TIES = ("session_id", "event_id")
+
+
+def _session_events(views: DataFrame) -> DataFrame:
+    """The columns session metrics need; place orders equal times without ties."""
+    place = F.concat("session_id", F.lpad(F.col("event_id").cast("string"), 20, "0"))
+    return views.select("event_id", "user_id", "original_timestamp", place.alias("place"))
 
 
 @_query
 def user_metrics(s: Source) -> DataFrame:
-    events = s.views.select("event_id", "user_id", "original_timestamp", "session_id")
-    return ops.user_metrics(events, tie_cols=TIES).select(*SESSION_COLUMNS)
+    metrics = ops.user_metrics(_session_events(s.views), tie_col="place")
+    return metrics.select(*SESSION_COLUMNS)
 
 
 @_query
 def user_metrics_split(s: Source) -> DataFrame:
     """The same with every user of more than 50 rows split into time slices."""
-    events = s.views.select("event_id", "user_id", "original_timestamp", "session_id")
-    metrics = ops.user_metrics(events, tie_cols=TIES, max_user_rows=50)
+    metrics = ops.user_metrics(_session_events(s.views), tie_col="place", max_user_rows=50)
     return metrics.select(*SESSION_COLUMNS)
 
 
 @_query
 def user_metrics_stream(s: Source) -> DataFrame:
     root = s.scratch("user-metrics")
-    events = s.stream.select("event_id", "user_id", "original_timestamp", "session_id")
-    writer = user_metrics_writer(root, tie_cols=TIES)
-    run_to_end(events, writer, checkpoint=f"{root}/checkpoint")
+    writer = user_metrics_writer(root, tie_col="place")
+    run_to_end(_session_events(s.stream), writer, checkpoint=f"{root}/checkpoint")
     return user_metrics_result(s.spark, root).select(*SESSION_COLUMNS)
 
 
@@ -313,8 +316,9 @@ def fact_last_day(s: Source) -> DataFrame:
 @_query
 def fact_load(s: Source) -> DataFrame:
     facts = s.scratch("facts")
-    jobs.load_facts(s.views, facts, as_of=s.now)
-    jobs.load_facts(s.views, facts, as_of=s.now)
+    dates = jobs.affected_dates(s.views, as_of=s.now)
+    for _ in range(2):
+        jobs.load_facts(s.views, facts, dates)
     return jobs.read_facts(s.spark, facts)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,6 @@ from ..operators import (
     report_document,
     top_movies,
 )
-from ..operators.spread import join_on
 from ..schemas import BUSINESS_METRICS, DAILY_METRICS, MOVIE_POPULARITY, USER_VIEWS_FACT
 from ..sinks import (
     append_run,
@@ -28,23 +30,32 @@ from ..sinks import (
 )
 
 
-def affected_dates(enriched: DataFrame, *, as_of=None, interval: str = "1 day") -> DataFrame:
-    """Event dates with rows processed in the last interval."""
+def affected_dates(
+    enriched: DataFrame, *, as_of=None, interval: str = "1 day"
+) -> list[date | None]:
+    """Event dates with rows processed in the last interval, one entry per day."""
     recent = enriched.where(within("processing_timestamp", interval, as_of))
-    return recent.select("event_date").distinct()
+    return [r["event_date"] for r in recent.select("event_date").distinct().collect()]
 
 
-def load_facts(
-    enriched: DataFrame, facts: str, *, as_of=None, interval: str = "1 day"
-) -> None:
-    """Replaces the fact partitions of all affected dates with their full rows.
+def on_dates(df: DataFrame, dates: Sequence[date | None]) -> DataFrame:
+    """Rows of the given event dates, as a constant predicate.
+
+    It prunes partitions, or row groups where the date is an ordinary column, so
+    a refresh reads the affected days and not the history.
+    """
+    wanted = F.col("event_date").isin([d for d in dates if d is not None])
+    if None in dates:
+        wanted = wanted | F.col("event_date").isNull()
+    return df.where(wanted)
 
-    A repeated load therefore leaves one copy of each row. The list of dates is
-    broadcast: it has one entry per calendar day at most.
+
+def load_facts(enriched: DataFrame, facts: str, dates: Sequence[date | None]) -> None:
+    """Replaces the fact partitions of the dates with their full rows.
+
+    A repeated load therefore leaves one copy of each row.
     """
-    dates = F.broadcast(affected_dates(enriched, as_of=as_of, interval=interval))
-    rows = join_on(enriched, dates, ["event_date"], "left_semi")
-    replace_partitions(fact_columns(rows), facts, "event_date")
+    replace_partitions(fact_columns(on_dates(enriched, dates)), facts, "event_date")
 
 
 def read_facts(spark: SparkSession, facts: str) -> DataFrame:
@@ -64,20 +75,19 @@ def daily_rollup(
     Returns False, with nothing written, when there are no recent events. With
     ``exact`` off, users are counted by a sketch, which is cheaper.
     """
-    spark = enriched.sparkSession
-    if enriched.where(within("processing_timestamp", interval, as_of)).isEmpty():
+    dates = affected_dates(enriched, as_of=as_of, interval=interval)
+    if not dates:
         return False
-    paths = {t: f"{tables}/{t}" for t in ("user_views_fact", "daily_metrics", "movie_popularity")}
-    load_facts(enriched, paths["user_views_fact"], as_of=as_of, interval=interval)
+    facts_path = f"{tables}/user_views_fact"
+    load_facts(enriched, facts_path, dates)
 
-    facts = read_facts(spark, paths["user_views_fact"])
-    dates = affected_dates(enriched, as_of=as_of, interval=interval)
-    loaded = facts.join(F.broadcast(dates), "event_date", "left_semi")
-    daily = conform(daily_metrics(loaded, exact=exact), DAILY_METRICS)
-    replace_partitions(daily, paths["daily_metrics"], "metric_date")
+    facts = read_facts(enriched.sparkSession, facts_path)
+    known = [d for d in dates if d is not None]
+    daily = conform(daily_metrics(on_dates(facts, known), exact=exact), DAILY_METRICS)
+    replace_partitions(daily, f"{tables}/daily_metrics", "metric_date")
 
     popularity = conform(movie_popularity(facts, as_of=as_of, exact=exact), MOVIE_POPULARITY)
-    refresh(popularity, paths["movie_popularity"], order_by="total_views")
+    refresh(popularity, f"{tables}/movie_popularity", order_by="total_views")
     return True
 
 

@@ -11,7 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
+    # Without this, every column call in Python records its call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_scratch: str | None = None

@@ -17,8 +17,6 @@ progress/batch_id=N  the time up to which events are given out, and late rows
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,7 +37,7 @@ def user_metrics_writer(
     delay: str = "1 minute",
     gap_seconds: int = 3600,
     time_col: str = "original_timestamp",
-    tie_cols: Sequence[str] = ("session_id",),
+    tie_col: str = "session_id",
     max_user_rows: int = MAX_USER_ROWS,
     snapshot_every: int = 50,
 ) -> BatchWriter:
@@ -61,7 +59,7 @@ def user_metrics_writer(
                 ready,
                 gap_seconds=gap_seconds,
                 time_col=time_col,
-                tie_cols=tie_cols,
+                tie_col=tie_col,
                 max_user_rows=max_user_rows,
             ),
             ready,
