@@ -5,8 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from viewlens.operators import user_metrics
-from viewlens.operators import spread
+from viewlens.operators import spread, user_metrics
 
 START = datetime(2024, 1, 1)
 SCHEMA = "user_id string, original_timestamp timestamp, session_id string, n int"
@@ -14,7 +13,8 @@ SCHEMA = "user_id string, original_timestamp timestamp, session_id string, n int
 
 def by_loop(spark, rows, gap_seconds):
     """Expected (row, previous, gap, opens, number) for each row."""
-    hashed = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "xxhash64(*)").collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    hashed = df.select("*", spread.row_hash(df.columns)).collect()
     row_hash = {tuple(r)[:4]: r[4] for r in hashed}
     result = []
     users = {r[0] for r in rows}
@@ -56,7 +56,7 @@ def random_rows(seed, n=300):
         time = rng.choice([None] + [START + timedelta(seconds=rng.choice(
             [0, 0, 0.25, 59, 60, 3600, 3601, 3600.5, 7300, rng.randrange(100_000)]
         ))] * 9)
-        rows.append((user, time, rng.choice("xyz"), rng.randrange(4)))
+        rows.append((user, time, rng.choice("xyz"), rng.choice([None, 1, 2, 3])))
     return rows + rows[:40] + [(None, None, "x", 1)] * 25
 
 
@@ -90,6 +90,11 @@ def test_empty_input(spark):
     assert by_spark(spark, [], max_user_rows=0) == []
 
 
+def test_row_hash_tells_nulls_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert df.select(spread.row_hash(df.columns)).distinct().count() == 2
+
+
 def test_sum_before(spark):
     rng = random.Random(5)
     rows = [(g, a, b, rng.randrange(9)) for g in (None, "p") for a in range(6) for b in range(7)]

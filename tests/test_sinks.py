@@ -84,6 +84,14 @@ def test_load_views_with_quarantine(spark, tmp_path):
     assert "PartitionFilters" in explain(loaded) and "status" in explain(loaded)
 
 
+def test_load_of_an_empty_file(spark, tmp_path):
+    (tmp_path / "in.json").write_text("")
+    table = str(tmp_path / "t")
+    counts = sinks.load_views(spark, str(tmp_path / "in.json"), table)
+    assert counts == {"loaded": 0, "rejected": 0}
+    assert sinks.loaded_views(spark, table).count() == 0
+
+
 def test_create_table_twice(spark):
     for _ in range(2):
         sinks.create_table(spark, "movie_popularity", partition_by=[])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seconds_between
-from .spread import expand_copies, join_on, large_groups, sum_before
+from .spread import expand_copies, join_on, large_groups, row_hash, sum_before
 
 SLICE_SECONDS = 60
 MAX_USER_ROWS = 2_000_000
@@ -52,7 +52,7 @@ def _small_users(events: DataFrame, gap_seconds: int, time_col: str, tie_col: st
     to_here = by_user.rowsBetween(Window.unboundedPreceding, 0)
     gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
     return (
-        events.withColumn("_hash", F.xxhash64(*events.columns))
+        events.withColumn("_hash", row_hash(events.columns))
         .withColumn("prev_event_time", F.lag(time_col).over(by_user))
         .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
         .withColumn("is_new_session", _opens_session(gap, previous, gap_seconds))
@@ -106,7 +106,7 @@ def _timed_events(
     )
 
     # One row per distinct time, with the row that comes first among equal times.
-    place = F.struct(tie_col, F.xxhash64(*events.columns).alias("hash"), *events.columns)
+    place = F.struct(tie_col, row_hash(events.columns).alias("hash"), *events.columns)
     in_slice = Window.partitionBy("user_id", "_slice").orderBy(time_col)
     times = (
         sliced.where(F.col(time_col).isNotNull())
@@ -138,14 +138,14 @@ def _untimed_events(copies: DataFrame, tie_col: str) -> DataFrame:
     small even when many rows share the tie value.
     """
     columns = [c for c in copies.columns if c != "_copies"]
-    row_hash = F.xxhash64(*columns)
+    hashed = row_hash(columns)
     numbered = sum_before(
         copies.withColumns(
             {
                 "_prefix": F.substring(tie_col, 1, 4),
                 "_tie": F.col(tie_col),
-                "_bucket": F.shiftright(row_hash, 48),
-                "_row": F.struct(row_hash.alias("hash"), *columns),
+                "_bucket": F.shiftright(hashed, 48),
+                "_row": F.struct(hashed.alias("hash"), *columns),
             }
         ),
         ["user_id"],

@@ -20,6 +20,11 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """Hash of a row; a NULL in another column gives another hash."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
 def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys held by more than max_rows rows.
 

@@ -291,7 +291,7 @@ def retention(s: Source) -> DataFrame:
 
 @_query
 def retention_by_stream(s: Source) -> DataFrame:
-    return s.stream_to(retention_stream(s.stream), lake_writer).drop("batch_id")
+    return s.stream_to(retention_stream(s.stream), update_log_writer).drop("batch_id")
 
 
 @_query

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.enrich import fact_columns, processed_columns
 from .tables import append_run
@@ -20,7 +21,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 def lake_writer(
     path: str, *, transform=None, partition_by: Sequence[str] = ()
 ) -> BatchWriter:
-    """Parquet folder per batch; an empty batch writes nothing."""
+    """Parquet folder per batch of events; an empty batch writes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -47,28 +48,43 @@ def fact_writer(path: str) -> BatchWriter:
 
 
 def update_log_writer(path: str) -> BatchWriter:
-    """Update-mode rows to a log; read it through ``latest_rows``."""
+    """Rows of a stateful query to a log; read it through ``latest_rows``.
+
+    The batch is kept while it is tested and written, as evaluating it again
+    would run its state update again. It holds one row per changed group.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_run(batch, path, batch_id, key="batch_id")
+        kept = batch.persist()
+        try:
+            if not kept.isEmpty():
+                append_run(kept, path, batch_id, key="batch_id")
+        finally:
+            kept.unpersist()
 
     return write
 
 
-def jdbc_writer(connection: dict[str, str], *, transform=None) -> BatchWriter:
-    """Appends each batch to a database table.
+def jdbc_writer(
+    connection: dict[str, str], *, transform=None, max_connections: int = 16
+) -> BatchWriter:
+    """Appends each batch to a database table, over a limited number of connections.
 
-    JDBC appends are not atomic: a batch that is delivered again adds its rows
-    again, so ``batch_id`` is stored to let the reader keep one copy.
+    Rows carry their ``batch_id``. A batch delivered again is appended again:
+    ``latest_rows`` shows keyed statistics once all the same, while for events
+    the Parquet writers are the ones that survive a replay.
     """
+    options = connection | {"numPartitions": str(max_connections)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = transform(batch) if transform else batch
-        rows = rows.selectExpr("*", f"{batch_id}L as batch_id")
-        rows.write.format("jdbc").options(**connection).mode("append").save()
+        kept = batch.persist()
+        try:
+            if not kept.isEmpty():
+                rows = transform(kept) if transform else kept
+                rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                rows.write.format("jdbc").options(**options).mode("append").save()
+        finally:
+            kept.unpersist()
 
     return write
 
