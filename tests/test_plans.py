@@ -12,6 +12,8 @@ from viewlens import fixtures
 from viewlens import operators as ops
 from viewlens.operators import sessions
 from viewlens.plans import jobs
+from viewlens.sinks import append_run, latest_rows
+from viewlens.sources import decode_events
 
 
 def exchanges(plan):
@@ -86,6 +88,20 @@ def test_no_large_user_leaves_the_plain_plan(views):
     assert "Generate" not in executed and "Join" not in executed
 
 
+def test_update_logs_are_read_by_hash_aggregate(spark, tmp_path, views):
+    path = str(tmp_path / "log")
+    append_run(ops.movie_window_stats(views), path, 0, key="batch_id")
+    latest = latest_rows(spark.read.parquet(path), ["window_start", "window_end", "movie_id"])
+    plan = explain(latest.where("window_start >= timestamp'2024-01-30'"))
+    assert "SortAggregate" not in plan and "partial_max_by" in plan
+    assert "GreaterThanOrEqual(window_start,2024-01-30" in plan
+
+
+def test_a_message_is_parsed_once(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    assert explain(ops.enrich_events(decode_events(messages))).count("from_json(") == 1
+
+
 def test_rollup_reads_affected_days_only(spark, tmp_path, views):
     path = str(tmp_path / "facts")
     jobs.load_facts(views, path, [date(2024, 1, 2), date(2024, 1, 3), None])

@@ -219,7 +219,8 @@ def test_event_tables_and_restart(spark, folder, tmp_path):
     def run():
         events = stream_json_lines(spark, path, VIEW_EVENT, max_files_per_trigger=1)
         queries = streaming.start_event_tables(
-            events, tables=tables, checkpoints=checkpoints, trigger={"availableNow": True}
+            events, tables=tables, checkpoints=checkpoints, trigger={"availableNow": True},
+            event_tables=["lake", "user_views_processed", "user_views_fact"],
         )
         for query in queries:
             query.awaitTermination()

@@ -48,11 +48,11 @@ def latest_rows(log: DataFrame, keys: Sequence[str], version: str = "batch_id")
     """The row of the greatest version per key, from a log of updates.
 
     Aggregated partially before the shuffle, so a key with many updates stays
-    cheap. A filter on a key column reaches the scan of the log.
+    cheap; one aggregate per column lets numbers use a hash aggregate. A filter
+    on a key column reaches the scan of the log.
     """
     values = [c for c in log.columns if c not in {*keys, version}]
-    newest = F.max_by(F.struct(*values), version).alias("_row")
-    return log.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+    return log.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in values])
 
 
 def create_table(

@@ -55,5 +55,6 @@ def encode_events(events: DataFrame) -> DataFrame:
 
 
 def consumed_events(messages: DataFrame) -> DataFrame:
-    """The three fields a plain consumer of the topic shows."""
-    return decode_events(messages).select("user_id", "event_type", "movie_id")
+    """The three fields a plain consumer of the topic shows; others are not parsed."""
+    shown = ("user_id", "event_type", "movie_id")
+    return decode_events(messages, StructType([VIEW_EVENT[name] for name in shown]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +17,11 @@ from ..sinks.batches import (
     update_log_writer,
 )
 
+EVENT_TABLES = {
+    "lake": lake_writer,
+    "user_views_processed": processed_writer,
+    "user_views_fact": fact_writer,
+}
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -72,18 +77,16 @@ def start_event_tables(
     tables: str,
     checkpoints: str,
     trigger: dict | None = None,
+    event_tables: Sequence[str] = ("lake", "user_views_processed"),
 ) -> list[StreamingQuery]:
-    """Raw view events to the lake, processed, fact and statistics tables.
+    """Raw view events to event tables and to both statistics tables.
 
-    The three event tables share one read of the source. Statistics are logs of
-    updates: read them through ``latest_rows``.
+    The event tables share one read of the source. Add ``user_views_fact`` only
+    where no rollup job fills that table. Statistics are logs of updates: read
+    them through ``latest_rows``.
     """
     enriched = enrich_events(events)
-    event_tables = fan_out(
-        lake_writer(f"{tables}/lake"),
-        processed_writer(f"{tables}/user_views_processed"),
-        fact_writer(f"{tables}/user_views_fact"),
-    )
+    write_events = fan_out(*[EVENT_TABLES[t](f"{tables}/{t}") for t in event_tables])
 
     def begin(df: DataFrame, writer: BatchWriter, name: str, mode: str) -> StreamingQuery:
         checkpoint = f"{checkpoints}/{name}"
@@ -92,7 +95,7 @@ def start_event_tables(
     movie_log = update_log_writer(f"{tables}/movie_stats_realtime")
     device_log = update_log_writer(f"{tables}/device_stats_realtime")
     return [
-        begin(enriched, event_tables, "event_tables", "append"),
+        begin(enriched, write_events, "event_tables", "append"),
         begin(movie_window_stats(enriched), movie_log, "movie_stats", "update"),
         begin(device_window_stats(enriched), device_log, "device_stats", "update"),
     ]
