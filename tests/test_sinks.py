@@ -1,9 +1,11 @@
 import json
+import re
 from datetime import date, datetime
 
 import pytest
 from helpers import explain
 
+from viewlens import operators as ops
 from viewlens import sinks
 from viewlens.plans import jobs
 from viewlens.schemas import USER_VIEWS
@@ -118,6 +120,14 @@ def test_writers_survive_a_replay(spark, tmp_path, events):
     for table in ("lake", "processed", "facts", "log"):
         stored = spark.read.parquet(f"{path}/{table}")
         assert sorted(r["batch_id"] for r in stored.collect()) == [0, 0, 0, 1, 1, 1]
+    lake = spark.read.parquet(f"{path}/lake")
+    for recent in (
+        ops.null_id_check(lake, as_of="2024-01-01 00:30:00"),
+        ops.top_movies(lake, as_of="2024-01-01 00:30:00"),
+        ops.business_metrics(lake, as_of="2024-01-01 00:30:00"),
+        ops.alerts(lake, as_of="2024-01-01 00:30:00"),
+    ):
+        assert re.search(r"PartitionFilters: \[.*processing_date#\d+ >= 202", explain(recent))
     facts = spark.read.parquet(f"{path}/facts")
     assert facts.where("event_date is null").count() == 2
 

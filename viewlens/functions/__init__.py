@@ -11,9 +11,20 @@ from .columns import (
     to_flag,
     watch_category,
 )
-from .timefilters import last_days, same_day, since_previous_midnight, within
+from .timefilters import (
+    ARRIVAL_DATE,
+    last_days,
+    rows_of_day,
+    rows_since_previous_midnight,
+    rows_within,
+    same_day,
+    since_previous_midnight,
+    with_arrival_date,
+    within,
+)
 
 __all__ = [
+    "ARRIVAL_DATE",
     "as_of_column",
     "event_hash",
     "event_time",
@@ -23,10 +34,14 @@ __all__ = [
     "micros_between",
     "percent_or_null",
     "percent_or_zero",
+    "rows_of_day",
+    "rows_since_previous_midnight",
+    "rows_within",
     "same_day",
     "seconds_between",
     "since_previous_midnight",
     "to_flag",
     "watch_category",
+    "with_arrival_date",
     "within",
 ]

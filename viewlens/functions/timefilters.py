@@ -1,17 +1,33 @@
 """Time predicates.
 
 Each compares the bare column with a value that does not depend on the row, so
-the predicate reaches the scan as a pushed filter or prunes partitions.
+the predicate reaches the scan as a pushed filter or prunes partitions. The
+functions that take a DataFrame also bound its arrival date, by which stored
+event tables are partitioned, so older days are not opened.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import ColumnOrName, as_of_column, col
 
 
+ARRIVAL_TIME = "processing_timestamp"
+ARRIVAL_DATE = "processing_date"
+
+
+def with_arrival_date(df: DataFrame) -> DataFrame:
+    return df.withColumn(ARRIVAL_DATE, F.to_date(ARRIVAL_TIME))
+
+
+def _bounded(df: DataFrame, time_col: str, predicate: Column, start: Column) -> DataFrame:
+    if time_col == ARRIVAL_TIME and ARRIVAL_DATE in df.columns:
+        df = df.where(F.col(ARRIVAL_DATE) >= F.to_date(start))
+    return df.where(predicate)
+
+
 def within(time: ColumnOrName, interval: str, as_of=None) -> Column:
     """time >= as_of - interval, e.g. ``within("ts", "30 minutes")``."""
     return col(time) >= as_of_column(as_of) - F.expr(f"INTERVAL {interval}")
@@ -33,3 +49,17 @@ def same_day(time: ColumnOrName, as_of=None) -> Column:
 def last_days(date: ColumnOrName, days: int, as_of=None) -> Column:
     """date >= day of as_of - days, over a date column."""
     return col(date) >= F.date_sub(F.to_date(as_of_column(as_of)), days)
+
+
+def rows_within(df: DataFrame, time_col: str, interval: str, as_of=None) -> DataFrame:
+    start = as_of_column(as_of) - F.expr(f"INTERVAL {interval}")
+    return _bounded(df, time_col, within(time_col, interval, as_of), start)
+
+
+def rows_since_previous_midnight(df: DataFrame, time_col: str, as_of=None) -> DataFrame:
+    start = F.date_sub(F.to_date(as_of_column(as_of)), 1)
+    return _bounded(df, time_col, since_previous_midnight(time_col, as_of), start)
+
+
+def rows_of_day(df: DataFrame, time_col: str, as_of=None) -> DataFrame:
+    return _bounded(df, time_col, same_day(time_col, as_of), as_of_column(as_of))

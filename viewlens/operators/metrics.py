@@ -9,8 +9,8 @@ from ..functions import (
     as_of_column,
     last_days,
     percent_or_zero,
-    same_day,
-    within,
+    rows_of_day,
+    rows_within,
 )
 
 
@@ -102,7 +102,7 @@ def business_metrics(
     """One row for the day of as_of; the popular movie is over all days."""
     now = as_of_column(as_of)
     return (
-        df.where(same_day(time_col, now))
+        rows_of_day(df, time_col, now)
         .agg(
             F.count("*").alias("total_views"),
             F.count_distinct("user_id").alias("unique_users"),
@@ -153,7 +153,7 @@ def recent_stats(
     time_col: str = "processing_timestamp",
 ) -> DataFrame:
     """Rows, mean duration and distinct users of the last interval, one row."""
-    return df.where(within(time_col, interval, as_of)).agg(
+    return rows_within(df, time_col, interval, as_of).agg(
         F.count("*").alias("views"),
         F.avg("duration_seconds").alias("avg_duration"),
         F.count_distinct("user_id").alias("unique_users"),

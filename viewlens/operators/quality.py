@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_column, micros_between, percent_or_null, within
+from ..functions import as_of_column, micros_between, percent_or_null, rows_within, within
 
 TIME = "processing_timestamp"
 
@@ -54,7 +54,7 @@ def null_id_check(
     threshold: float = THRESHOLDS[NULL_IDS],
 ) -> DataFrame:
     """Recent rows without a user or a movie, one row (check, value, threshold, fired)."""
-    counted = df.where(within(TIME, interval, as_of)).agg(F.count_if(_missing_id()).alias("v"))
+    counted = rows_within(df, TIME, interval, as_of).agg(F.count_if(_missing_id()).alias("v"))
     return counted.select(_check(NULL_IDS, F.col("v"), threshold).alias("c")).select("c.*")
 
 
@@ -67,7 +67,7 @@ def latency_check(
 ) -> DataFrame:
     """Mean seconds from event to processing, one row."""
     micros = micros_between(TIME, "original_timestamp")
-    mean = df.where(within(TIME, interval, as_of)).agg(_mean_seconds(micros).alias("v"))
+    mean = rows_within(df, TIME, interval, as_of).agg(_mean_seconds(micros).alias("v"))
     return mean.select(_check(LATENCY, F.col("v"), threshold).alias("c")).select("c.*")
 
 
@@ -80,7 +80,7 @@ def view_drop_check(
 ) -> DataFrame:
     """Percentage between the largest and smallest hourly count, one row."""
     drop = (
-        df.where(within(TIME, interval, as_of))
+        rows_within(df, TIME, interval, as_of)
         .groupBy(F.date_trunc("hour", TIME).alias("hour"))
         .agg(F.count("*").alias("n"))
         .agg(F.max("n").alias("most"), F.min("n").alias("least"))
@@ -97,7 +97,7 @@ def monitor_checks(
     now = as_of_column(as_of)
     micros = F.when(within(TIME, SPANS[LATENCY], now), micros_between(TIME, "original_timestamp"))
     totals = (
-        df.where(within(TIME, SPANS[VIEW_DROP], now))
+        rows_within(df, TIME, SPANS[VIEW_DROP], now)
         .withColumns(
             {
                 "_missing": _missing_id() & within(TIME, SPANS[NULL_IDS], now),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import within
+from ..functions import rows_within
 
 
 def _window_stats(
@@ -68,7 +68,7 @@ def views_by_device(
 ) -> DataFrame:
     """Chart series: rows per time step and device over the last interval."""
     return (
-        df.where(within(time_col, interval, as_of))
+        rows_within(df, time_col, interval, as_of)
         .groupBy(F.date_trunc(grain, time_col).alias("period"), "device")
         .agg(F.count("*").alias("views"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_column, since_previous_midnight
+from ..functions import as_of_column, rows_since_previous_midnight
 
 
 def top_movies(
@@ -16,7 +16,7 @@ def top_movies(
     Ties go to the smaller movie id, a missing id last.
     """
     return (
-        df.where(since_previous_midnight(time_col, as_of))
+        rows_since_previous_midnight(df, time_col, as_of)
         .groupBy("movie_id")
         .agg(
             F.count("*").alias("view_count"),

@@ -236,7 +236,7 @@ def lake_stream(s: Source) -> DataFrame:
 
 @_query
 def processed_stream(s: Source) -> DataFrame:
-    return s.stream_to(s.stream, processed_writer).drop("batch_id")
+    return s.stream_to(s.stream, processed_writer).drop("batch_id", "processing_date")
 
 
 @_query

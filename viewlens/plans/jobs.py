@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import within
+from ..functions import rows_within
 from ..operators import (
     alerts,
     business_metrics,
@@ -34,7 +34,7 @@ def affected_dates(
     enriched: DataFrame, *, as_of=None, interval: str = "1 day"
 ) -> list[date | None]:
     """Event dates with rows processed in the last interval, one entry per day."""
-    recent = enriched.where(within("processing_timestamp", interval, as_of))
+    recent = rows_within(enriched, "processing_timestamp", interval, as_of)
     return [r["event_date"] for r in recent.select("event_date").distinct().collect()]
 
 

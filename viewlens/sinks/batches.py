@@ -7,44 +7,52 @@ itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ARRIVAL_DATE, with_arrival_date
 from ..operators.enrich import fact_columns, processed_columns
 from .tables import append_run
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def lake_writer(
-    path: str, *, transform=None, partition_by: Sequence[str] = ()
-) -> BatchWriter:
-    """Parquet folder per batch of events; an empty batch writes nothing."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = transform(batch) if transform else batch
-        if partition_by:
-            rows = rows.hint("rebalance", *partition_by)
-        writer = rows.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/batch_id={batch_id}")
-
-    return write
+def lake_writer(path: str) -> BatchWriter:
+    """All columns of enriched events to the lake, by arrival date."""
+    return _event_writer(path, with_arrival_date, ARRIVAL_DATE)
 
 
 def processed_writer(path: str) -> BatchWriter:
-    """Enriched events to ``user_views_processed``."""
-    return lake_writer(path, transform=processed_columns)
+    """Enriched events to ``user_views_processed``, by arrival date."""
+    return _event_writer(path, lambda b: with_arrival_date(processed_columns(b)), ARRIVAL_DATE)
 
 
 def fact_writer(path: str) -> BatchWriter:
-    """Enriched events to ``user_views_fact``, by event date within each batch."""
-    return lake_writer(path, transform=fact_columns, partition_by=["event_date"])
+    """Enriched events to ``user_views_fact``, by event date.
+
+    A batch can hold many event dates, so rows are brought together by date
+    first; large dates are split again.
+    """
+    return _event_writer(
+        path, lambda b: fact_columns(b).hint("rebalance", "event_date"), "event_date"
+    )
+
+
+def _event_writer(path: str, transform, partition_by: str) -> BatchWriter:
+    """Parquet folder per batch; an empty batch writes nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            (
+                transform(batch)
+                .write.mode("overwrite")
+                .partitionBy(partition_by)
+                .parquet(f"{path}/batch_id={batch_id}")
+            )
+
+    return write
 
 
 def update_log_writer(path: str) -> BatchWriter:

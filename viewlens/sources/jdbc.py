@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import within
+from ..functions import rows_within
 from ..schemas import USER_VIEWS_FACT
 
 
@@ -41,4 +41,4 @@ def recent_processed_views(table: DataFrame, *, as_of=None, interval: str = "1 d
     """The columns a fact load needs, from the last interval of processing."""
     source = {"event_timestamp": "original_timestamp"}
     columns = [source.get(c, c) for c in USER_VIEWS_FACT.fieldNames() if c != "event_date"]
-    return table.where(within("processing_timestamp", interval, as_of)).select(*columns)
+    return rows_within(table, "processing_timestamp", interval, as_of).select(*columns)
