@@ -95,6 +95,13 @@ def test_row_hash_tells_nulls_apart(spark):
     assert df.select(spread.row_hash(df.columns)).distinct().count() == 2
 
 
+def test_large_groups_are_few(spark, monkeypatch):
+    df = spark.range(100).selectExpr("if(id < 40, null, id div 10) AS k")
+    assert {r["k"] for r in spread.large_groups(df, ["k"], 5).collect()} == {None, 4, 5, 6, 7, 8, 9}
+    monkeypatch.setattr(spread, "MAX_GROUPS", 4)
+    assert [r["k"] for r in spread.large_groups(df, ["k"], 5).collect()] == [None]
+
+
 def test_sum_before(spark):
     rng = random.Random(5)
     rows = [(g, a, b, rng.randrange(9)) for g in (None, "p") for a in range(6) for b in range(7)]

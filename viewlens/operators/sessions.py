@@ -28,9 +28,9 @@ def user_metrics(
     each opens a session. Equal times are ordered by the text in ``tie_col``,
     then by a hash of the row, so the result does not depend on the input order.
 
-    A user with up to ``max_user_rows`` rows is one window group. Larger users,
-    such as the NULL user, are cut into time slices (see ``_large_users``). Pass
-    None to skip that when no user can be large.
+    A user with up to ``max_user_rows`` rows, or a 100,000th of all rows, is one
+    window group. Larger users, such as the NULL user, are cut into time slices
+    (see ``_large_users``). Pass None to skip that when no user can be large.
     """
     if max_user_rows is None:
         return _small_users(events, gap_seconds, time_col, tie_col)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPIES_PER_ROW = 100_000
+MAX_GROUPS = 100_000
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -17,7 +18,10 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     for k in keys:
         part = F.col(k).eqNullSafe(F.col(f"_right_{k}"))
         condition = part if condition is None else condition & part
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(renamed, condition, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -26,15 +30,17 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Keys held by more than max_rows rows.
+    """Keys held by more than max_rows rows, at most MAX_GROUPS of them.
 
-    At most n / max_rows keys come out of n rows, which bounds what a broadcast
-    of them can hold.
+    The limit grows to a MAX_GROUPS-th of all rows where that is more. Fewer than
+    MAX_GROUPS keys can each hold more than that share, whatever the data, so
+    the result is safe to broadcast.
     """
+    share = df.agg(F.count("*")).scalar() / MAX_GROUPS
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > max_rows)
+        .where(F.col("_rows") > F.greatest(F.lit(float(max_rows)), share))
         .select(*keys)
     )
 

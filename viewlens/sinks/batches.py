@@ -55,18 +55,20 @@ def _event_writer(path: str, transform, partition_by: str) -> BatchWriter:
     return write
 
 
-def update_log_writer(path: str) -> BatchWriter:
+def update_log_writer(path: str, *, files: int = 8) -> BatchWriter:
     """Rows of a stateful query to a log; read it through ``latest_rows``.
 
-    The batch is kept while it is tested and written, as evaluating it again
-    would run its state update again. It holds one row per changed group.
+    The batch holds one row per changed group. It is kept while it is tested and
+    written, as evaluating it again would run its state update again. Stateful
+    queries run without adaptive execution, so the number of files is set here:
+    otherwise each batch would leave one per shuffle partition.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
             if not kept.isEmpty():
-                append_run(kept, path, batch_id, key="batch_id")
+                append_run(kept.repartition(files), path, batch_id, key="batch_id")
         finally:
             kept.unpersist()
 
