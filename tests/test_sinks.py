@@ -132,6 +132,11 @@ def test_writers_survive_a_replay(spark, tmp_path, events):
     assert facts.where("event_date is null").count() == 2
 
 
+def test_jdbc_writer_skips_empty_batches(spark):
+    write = sinks.jdbc_writer({"url": "jdbc:none", "dbtable": "t"})
+    write(spark.range(0), 0)
+
+
 def test_scratch_needs_a_shared_folder(spark, monkeypatch):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second

@@ -59,9 +59,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     print(load_views(spark, args.source, table, load_id=args.run_id, as_of=args.as_of))
     views = loaded_views(spark, table)
     load_summary(views).show()
-    # Loaded rows have no event hash; the movie orders equal times here.
-    named = views.withColumn("session_id", views["movie_id"])
-    recent_events(named, time_col="event_timestamp").show(truncate=False)
+    recent_events(views, time_col="event_timestamp", tie_col="movie_id").show(truncate=False)
 
 
 def rollup(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -38,11 +38,17 @@ def top_movies_chart(stats: DataFrame, *, n: int = 10) -> DataFrame:
     )
 
 
-def recent_events(df: DataFrame, *, n: int = 5, time_col: str = "original_timestamp") -> DataFrame:
+def recent_events(
+    df: DataFrame,
+    *,
+    n: int = 5,
+    time_col: str = "original_timestamp",
+    tie_col: str = "session_id",
+) -> DataFrame:
     """The n newest events with a readable time, newest first."""
     return (
         df.where(F.col(time_col).isNotNull())
-        .orderBy(F.col(time_col).desc(), F.col("session_id"))
+        .orderBy(F.col(time_col).desc(), F.col(tie_col))
         .limit(n)
         .select("user_id", "movie_id", "event_type", time_col)
     )

@@ -1,4 +1,4 @@
-from .pipeline import await_any, run_to_end, start, start_console, start_event_tables, stop_all
+from .queries import await_any, run_to_end, start, start_console, start_event_tables, stop_all
 from .retention import retention_stream
 from .sessions import user_metrics_result, user_metrics_writer
 
