@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from .. import fixtures
+from .. import fixtures, streaming
 from .. import operators as ops
 from ..schemas import SIMPLE_EVENT, USER_VIEWS, VIEW_EVENT, VIEW_EVENT_EXT
 from ..session import scratch_dir
@@ -35,7 +35,7 @@ from ..sources import (
     recent_processed_views,
     sample_json_lines,
 )
-from ..streaming import retention_stream, run_to_end, user_metrics_result, user_metrics_writer
+from ..streaming import run_to_end, user_metrics_result, user_metrics_writer
 from . import jobs
 
 ALL_FIRE = {"null_ids": 0, "latency": 0, "view_drop": 0}
@@ -290,8 +290,8 @@ def retention(s: Source) -> DataFrame:
 
 
 @_query
-def retention_by_stream(s: Source) -> DataFrame:
-    return s.stream_to(retention_stream(s.stream), update_log_writer).drop("batch_id")
+def retention_stream(s: Source) -> DataFrame:
+    return s.stream_to(streaming.retention_stream(s.stream), update_log_writer).drop("batch_id")
 
 
 @_query

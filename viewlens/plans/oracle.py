@@ -230,7 +230,7 @@ UNION ALL SELECT 'rejected', count(*) FROM v WHERE NOT ({_ACCEPTED})""",
     "user_metrics_stream": f"""SELECT * FROM ({_user_metrics("v", "original_timestamp IS NOT NULL")}) m
 WHERE original_timestamp <= {_LAST} - INTERVAL '1' MINUTE""",
     "retention": _RETENTION,
-    "retention_by_stream": f"""SELECT * FROM ({_RETENTION}) r
+    "retention_stream": f"""SELECT * FROM ({_RETENTION}) r
 WHERE event_date < CAST((SELECT max(original_timestamp) FROM v WHERE event_type = 'start')
                         - INTERVAL '1' MINUTE AS DATE)""",
     "retention_7d": f"""SELECT * FROM ({_RETENTION}) r
