@@ -120,14 +120,21 @@ def _timed_events(
         .drop("_slice", "_before_slice")
     )
 
-    matched = expand_copies(join_on(copies, times, ["user_id", time_col]), "_copies", "_copy")
-    leads = (F.col("_copy") == 0) & place.eqNullSafe(F.col("_leader"))
+    matched = (
+        join_on(copies, times, ["user_id", time_col])
+        .withColumn("_leads", place.eqNullSafe(F.col("_leader")))
+        .drop("_leader")
+    )
+    matched = expand_copies(matched, "_copies", "_copy")
+    leads = F.col("_leads") & (F.col("_copy") == 0)
     gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
     return (
-        matched.withColumn("prev_event_time", F.when(leads, F.col("_before")).otherwise(F.col(time_col)))
+        matched.withColumn(
+            "prev_event_time", F.when(leads, F.col("_before")).otherwise(F.col(time_col))
+        )
         .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
         .withColumn("is_new_session", _opens_session(gap, previous, gap_seconds))
-        .drop("_copy", "_leader", "_before")
+        .drop("_copy", "_leads", "_before")
     )
 
 
