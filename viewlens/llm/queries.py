@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import licences, urls, warc
+from . import licences, pieces, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,20 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.payload_digests(chunks, scratch_dir(spark, "warc-read"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pieces.token_digests(documents, piece_model(), keep=("doc_id",))
+
+
+def piece_model(path: str | None = None) -> bytes:
+    """Content of a SentencePiece model file, by default the public one."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return Path(path).read_bytes()
+
+
 def queries() -> dict[str, Query]:
     return {
         name: function
