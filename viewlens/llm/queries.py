@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import licences, pieces, urls, warc
+from . import licences, pieces, quality_rules, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(documents, piece_model(), keep=("doc_id",))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_rules.judge_quality(documents, scratch_dir(spark, "quality-rules"))
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a SentencePiece model file, by default the public one."""
     if path is None:
