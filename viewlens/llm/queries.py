@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import licences, pieces, quality_rules, urls, warc
+from . import language, licences, pieces, quality_rules, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(documents, scratch_dir(spark, "quality-rules"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a SentencePiece model file, by default the public one."""
     if path is None:
