@@ -104,7 +104,7 @@ def judge(bits: np.ndarray, n_words: int) -> tuple[int, float]:
     text are far from independent.
     """
     gap = (bits - bits.min()) / math.sqrt(max(1, n_words))
-    return int(bits.argmin()), float(1 / np.exp2(-gap).sum())
+    return int(np.round(bits, 6).argmin()), round(float(1 / np.exp2(-gap).sum()), 9)
 
 
 def sample_ids(docs: DataFrame, size: int = SAMPLE) -> DataFrame:

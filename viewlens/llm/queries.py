@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import language, licences, pieces, quality_rules, urls, warc
+from . import language, licences, pieces, quality_classifier, quality_rules, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(documents, labels, scratch_dir(spark, "quality-sample"))
+    return quality_classifier.score_quality(documents, model)
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a SentencePiece model file, by default the public one."""
     if path is None:

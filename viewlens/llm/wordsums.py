@@ -53,10 +53,12 @@ class WordSums:
 
     def add(self, words: Sequence) -> tuple[np.ndarray, np.ndarray]:
         """Sum of the vectors of the words of a text, and the words' numbers."""
-        total = np.zeros(self.width)
         if self.size > REMEMBERED_BYTES:
             self.forget()
         numbers = self.numbers(words)
-        for start in range(0, len(numbers), WORDS):
-            total += self.vectors[numbers[start : start + WORDS]].sum(axis=0, dtype=np.float64)
+        distinct, counts = np.unique(numbers, return_counts=True)
+        total = np.zeros(self.width)
+        for start in range(0, len(distinct), WORDS):
+            vectors = self.vectors[distinct[start : start + WORDS]].astype(np.float64)
+            total += counts[start : start + WORDS].astype(np.float64) @ vectors
         return total, numbers
