@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences
+from . import chat, licences
 
 
 def _text(value: str) -> str:
@@ -77,5 +77,56 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts"""
 
 
+def chat_digests() -> str:
+    span = (chat.BUDGET - chat.HISTORY) // 2
+    return rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL
+    SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+sized AS (
+    SELECT *, greatest(1, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s]')))
+                  AS tokens,
+           length('<s>[INST][/INST]</s>') + length(role) + length(text)
+               + len(regexp_extract_all(role || text, '\\'))
+               + 2 * (len(regexp_extract_all(role, '</?s>|\[/?INST\]'))
+                      + len(regexp_extract_all(text, '</?s>|\[/?INST\]'))) AS chars
+    FROM turns),
+placed AS (
+    SELECT *, row_number() OVER w - 1 AS pos, coalesce(sum(tokens) OVER w - tokens, 0) AS before
+    FROM sized
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cut AS (SELECT *, before // {span} AS part FROM placed),
+parts AS (
+    SELECT conv_id, part, max(before + tokens) AS part_end,
+           row_number() OVER (PARTITION BY conv_id ORDER BY part) AS number,
+           count(*) OVER (PARTITION BY conv_id) AS number_of
+    FROM cut GROUP BY conv_id, part),
+lengths AS (
+    SELECT c.conv_id,
+           sum(c.chars * CASE
+               WHEN c.pos = 0 AND c.role = 'system' THEN p.number_of
+               WHEN p.number < p.number_of AND p.part_end - c.before <= {chat.HISTORY} THEN 2
+               ELSE 1 END)::BIGINT AS formatted_chars
+    FROM cut c
+    JOIN parts p ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.part = p.part
+    GROUP BY c.conv_id),
+digests AS (
+    SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), ''))
+           AS loss_sha256
+    FROM placed GROUP BY conv_id)
+SELECT d.*, l.formatted_chars
+FROM digests d JOIN lengths l ON d.conv_id IS NOT DISTINCT FROM l.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op6_warc": warc_records()}
+    return {
+        "op1_license_scan": license_scan(),
+        "op6_warc": warc_records(),
+        "op9_chat_format": chat_digests(),
+    }

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import language, licences, pieces, quality_classifier, quality_rules, urls, warc
+from . import chat, language, licences, pieces, quality_classifier, quality_rules, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(documents, model)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    added = spark.range(2).selectExpr(
+        "-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{text}' as text"
+    )
+    path = scratch_dir(spark, "chat")
+    windows = chat.format_windows(conversations.unionByName(added))
+    windows.write.mode("overwrite").parquet(path)
+    return chat.conversation_digests(spark.read.schema(windows.schema).parquet(path))
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a SentencePiece model file, by default the public one."""
     if path is None:
