@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import chat, language, licences, pieces, quality_classifier, quality_rules, urls, warc
+from . import chat, language, licences, neardup, pieces, quality_classifier, quality_rules, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.payload_digests(chunks, scratch_dir(spark, "warc-read"))
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    settings = neardup.Settings(words=3, percent=85)
+    return neardup.link_documents(documents, scratch_dir(spark, "neardup"), settings)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pieces.token_digests(documents, piece_model(), keep=("doc_id",))
