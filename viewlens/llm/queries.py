@@ -8,7 +8,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import chat, language, licences, neardup, pieces, quality_classifier, quality_rules, urls, warc
+from . import (
+    chat,
+    decontaminate,
+    language,
+    licences,
+    neardup,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +32,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), benchmark)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), keep=["page_id"])
 
