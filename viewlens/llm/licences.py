@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +32,13 @@ SPELLINGS = (
 
 #: A line that names a holder or year, which differs between copies of one licence.
 COPYRIGHT_LINE = (
-    r"^[^\p{L}\p{N}(©]*(copyright[^\p{L}\p{N}]*(\(c\)|©|[0-9]{4}|by )|\(c\) *(copyright|[0-9]{4})|©)"
-    r"|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
+    r"^[^\p{L}\p{N}(©\n]*"
+    r"(copyright[^\p{L}\p{N}\n]*(\(c\)|©|[0-9]{4}|by )|\(c\) *(copyright|[0-9]{4})|©).*$"
+    r"|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 )
-NOT_WORD = r"[^\p{L}\p{N}]+"
+#: A text without any of these has no such line.
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
+NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 # Known licence texts and notices.
 KNOWN = (
@@ -87,27 +92,24 @@ PERFORMANCE OF THIS SOFTWARE."""),
 )
 
 
-def canonical_line(line: Column) -> Column:
-    """Words of a line in lower case, one blank apart; empty for a copyright line."""
-    lower = F.lower(line)
-    plain = F.trim(F.regexp_replace(lower, NOT_WORD, " "))
-    return F.when(lower.rlike(COPYRIGHT_LINE), "").otherwise(plain)
-
+def canonical_lines(text: Column) -> Column:
+    """Canonical lines of a text, without empty ones and copyright lines.
 
-def respelled(text: Column) -> Column:
+    Words in lower case and one spelling, one blank apart. A text is treated as a
+    whole before it is split, which is cheaper than line by line.
+    """
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    signs = [lower.contains(sign) for sign in COPYRIGHT_SIGNS]
+    # m: lines begin and end anywhere; d: only at a line feed.
+    cut = F.regexp_replace(lower, f"(?md){COPYRIGHT_LINE}", "")
+    words = F.regexp_replace(F.when(reduce(or_, signs), cut).otherwise(lower), NOT_WORD, " ")
     for old, new in SPELLINGS:
-        text = F.replace(text, F.lit(old), F.lit(new))
-    return text
-
-
-def canonical_lines(text: Column) -> Column:
-    """The canonical lines of a text that are not empty."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), canonical_line)
-    return F.filter(lines, lambda x: x != "")
+        words = F.replace(words, F.lit(old), F.lit(new))
+    return F.filter(F.transform(F.split(words, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def digest(words: Column) -> Column:
-    return F.sha2(respelled(words), 256)
+    return F.sha2(words, 256)
 
 
 def known_digests(
@@ -151,7 +153,7 @@ def scan_licences(
     spark = docs.sparkSession
     digests = known_digests(spark, known)
     lines = docs.select(F.col(doc_id).alias("doc_id"), canonical_lines(F.col(text)).alias("lines"))
-    units = lines.select(
+    units = lines.select(  # one row a line
         "doc_id",
         digest(F.array_join("lines", " ")).alias("digest"),
         F.explode_outer("lines").alias("line"),

@@ -10,15 +10,16 @@ def _text(value: str) -> str:
 
 
 def _canonical(line: str) -> str:
+    words = f"regexp_replace(lower({line}), {_text(licences.NOT_WORD)}, ' ', 'g')"
+    for old, new in licences.SPELLINGS:
+        words = f"replace({words}, {_text(old)}, {_text(new)})"
     return (
-        f"CASE WHEN regexp_matches(lower({line}), {_text(licences.COPYRIGHT_LINE)}) THEN '' ELSE "
-        f"trim(regexp_replace(lower({line}), {_text(licences.NOT_WORD)}, ' ', 'g')) END"
+        f"CASE WHEN regexp_matches(lower({line}), {_text(licences.COPYRIGHT_LINE)}) THEN '' "
+        f"ELSE trim({words}) END"
     )
 
 
 def _digest(words: str) -> str:
-    for old, new in licences.SPELLINGS:
-        words = f"replace({words}, {_text(old)}, {_text(new)})"
     return f"sha256({words})"
 
 
