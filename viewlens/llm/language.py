@@ -185,3 +185,25 @@ def identify(
         rows, "text", "lang_pred string, score double", lambda: predictor(trees),
         ("doc_id", "held_out"),
     )
+
+
+def identified(
+    docs: DataFrame, trees: ContextTrees, text: str = "text", least: float = 0.5
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in a language that is told with score ``least``.
+
+    If there was nothing to learn from, every text with a letter stays.
+    """
+
+    def factory():
+        predict = predictor(trees)
+
+        def keep(texts):
+            if not trees.languages:
+                return [[bool(t and LETTER.search(t)) for t in texts]]
+            found, scores = predict(texts)
+            return [[p != UNDETERMINED and s >= least for p, s in zip(found, scores, strict=True)]]
+
+        return keep
+
+    return add_columns(docs, text, "_identified_ boolean", factory, where="_identified_")

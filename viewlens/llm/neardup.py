@@ -310,3 +310,17 @@ def node_texts(docs: DataFrame, facts: DataFrame, settings: Settings) -> DataFra
 
     checked = add_columns(found, "text", "found binary", factory, ("node", "digest", "text"))
     return checked.where("digest = found").groupBy("node").agg(F.min("text").alias("text"))
+
+
+def one_of_each(
+    docs: DataFrame, scratch: str, settings: Settings | None = None, text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when each class keeps one document.
+
+    The document with the smallest id stays, as do documents without words, each
+    for itself. Rows that repeat an id are one document: they stay or go together.
+    Rows without an id stay if their class has no id at all.
+    """
+    linked = link_documents(docs, scratch, settings, text=text)
+    kept = linked.where("kept").select(F.col("doc_id").alias("_kept_")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept_")), "left_semi")

@@ -22,6 +22,7 @@ from collections.abc import Callable
 from types import ModuleType
 
 import ahocorasick
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .batches import add_columns
@@ -214,6 +215,29 @@ def tokenize(
     return add_columns(docs, text, "piece_ids array<int>, piece_text string", factory, keep)
 
 
+def tokens_and_digests(
+    docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] | None = None
+) -> DataFrame:
+    """As ``tokenize``, but piece_ids, n_tokens and decoded_sha256 of every row."""
+
+    def factory():
+        pieces = kept_pieces(model)
+
+        def run(texts):
+            ids, counts, decoded = [], [], []
+            for t in texts:
+                numbers, back = pieces.round_trip(t)
+                ids.append(np.array(numbers.split(","), np.int32) if numbers else [])
+                counts.append(len(ids[-1]))
+                decoded.append(hashlib.sha256(back.encode()).hexdigest())
+            return ids, counts, decoded
+
+        return run
+
+    added = "piece_ids array<int>, n_tokens long, decoded_sha256 string"
+    return add_columns(docs, text, added, factory, keep)
+
+
 def token_digests(
     docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] | None = None
 ) -> DataFrame:

@@ -249,3 +249,13 @@ def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     return add_columns(
         rows, "text", "score double, predicted int", lambda: scorer(model), ("doc_id", "held_out")
     )
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose predicted label is 1."""
+
+    def factory():
+        score = scorer(model)
+        return lambda texts: [[bool(p) for p in score(texts)[1]]]
+
+    return add_columns(docs, text, "_accepted_ boolean", factory, where="_accepted_")
