@@ -7,15 +7,22 @@ differ between two sketches tell how many values do, and are sharpest for high
 similarities. Pairs of a bucket whose sketches are near enough are candidates,
 and each candidate is confirmed on the full sets.
 
-Not all pairs of a bucket are made. First each node is paired with one center of
-the bucket, the node that shares most buckets with others, near which copies of
-one text lie. Confirmed pairs give components. Then the pairs of a bucket across
-two components are compared, within the join and by sketch, so only near ones
-come out; pairs within a component could add nothing. No candidate is left out.
+Not all pairs of a bucket are made. First each node is compared with one center
+of the bucket, the node that shares most buckets with others, near which copies
+of one text lie. Linked pairs give components, and pairs within a component could
+add nothing. Two nodes of other components that share a center c can only be
+similar enough if the shingles in which they differ from c overlap: with x ^ c
+for these, |x ^ y| = |x ^ c| + |y ^ c| - 2 |(x ^ c) & (y ^ c)| must be small, while
+|x ^ c| is large for an x that is not linked to c. So the first shingles of x ^ c,
+those that c lacks before those that x lacks, must hold a common one, at a place
+that leaves room for the overlap. Pairs that pass are compared by sketch and then
+confirmed. No candidate is left out, and copies of one text, which differ from
+their center in shingles of their own, meet no other.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -154,31 +161,112 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; ``texts`` is (node, text)."""
-    with_texts = (
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return (
         pairs.join(texts.selectExpr("node as a", "text as a_text"), "a")
         .join(texts.selectExpr("node as b", "text as b_text"), "b")
         .select("a", "b", "a_text", "b_text")
     )
+
+
+def compared(batches, settings: Settings):
+    """(a, b, set of a, set of b) of each row; the set of b is kept while b stays."""
+    held: tuple = (None, None)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            a, b = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            if held[0] != b:
+                held = (b, shingle_set(batch.column(3)[i].as_py(), settings.words))
+            yield a, b, shingle_set(batch.column(2)[i].as_py(), settings.words), held[1]
+
+
+def in_batches(rows, schema: pa.Schema, size: int = 2048):
+    rows = iter(rows)
+    while part := list(itertools.islice(rows, size)):
+        columns = [pa.array(c, t) for c, t in zip(zip(*part, strict=True), schema.types, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+STAR = "a long, b long, linked boolean, n long, differ long, first array<long>"
+
+
+def compare_with_centers(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """STAR rows of the pairs (node a, center b).
+
+    ``differ`` is the number of shingles that only one of them has, and ``first``
+    are as many of these, in a common order for the center, as a similar node must
+    share one of: those the center lacks, then those the node lacks, by hash.
+    """
+    schema = pa.schema(
+        [("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("n", pa.int64()),
+         ("differ", pa.int64()), ("first", pa.list_(pa.int64()))]
+    )
+    percent = settings.percent
+
+    def rows(batches):
+        for a, b, left, right in compared(batches, settings):
+            own = np.setdiff1d(left, right, assume_unique=True)
+            lacking = np.setdiff1d(right, left, assume_unique=True)
+            both = len(left) - len(own)
+            linked = 100 * both >= percent * (len(left) + len(lacking))
+            # The other node has at most 100 / percent as many shingles.
+            most = len(left) * (100 - percent) // percent
+            first = np.concatenate([own[: most + 1], lacking[: max(0, most + 1 - len(own))]])
+            yield a, b, linked, len(left), len(own) + len(lacking), first.view(np.int64)
+
+    return with_texts(pairs, texts).mapInArrow(lambda b: in_batches(rows(b), schema), STAR)
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; ``texts`` is (node, text)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(batches):
-        held: tuple = (None, None)
-        for batch in batches:
-            kept = ([], [])
-            for i in range(batch.num_rows):
-                a, b = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                if held[0] != b:  # the center comes in runs
-                    held = (b, shingle_set(batch.column(3)[i].as_py(), settings.words))
-                left, right = shingle_set(batch.column(2)[i].as_py(), settings.words), held[1]
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= settings.percent * (len(left) + len(right) - both):
-                    kept[0].append(a)
-                    kept[1].append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()) for k in kept], schema=schema)
+    def rows(batches):
+        for a, b, left, right in compared(batches, settings):
+            both = len(np.intersect1d(left, right, assume_unique=True))
+            if 100 * both >= settings.percent * (len(left) + len(right) - both):
+                yield a, b
 
-    return with_texts.mapInArrow(compare, "a long, b long")
+    return with_texts(pairs, texts).mapInArrow(lambda b: in_batches(rows(b), schema), "a long, b long")
+
+
+def across_components(stars: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of other components that share a center and may be similar enough."""
+    placed = stars.join(roots.selectExpr("node as a", "root"), "a", "left").select(
+        "a", "b", "n", "differ", "first", F.coalesce("root", "a").alias("root")
+    )
+    several = (
+        placed.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high").select("b")
+    )
+    parts = placed.join(several, "b").select(
+        F.col("b").alias("center"), "root", F.col("a").alias("node"), "n", "differ",
+        F.posexplode("first").alias("place", "shingle"),
+    )
+    one = parts.selectExpr("center", "shingle", *(f"{c} as a_{c}" for c in PART))
+    two = parts.selectExpr("center", "shingle", *(f"{c} as b_{c}" for c in PART))
+    # With places counted from 0, this one and all later ones may be common.
+    room = F.least(F.col("a_differ") - F.col("a_place"), F.col("b_differ") - F.col("b_place"))
+    whole, rest = 100 + settings.percent, 100 - settings.percent
+    enough = 2 * whole * room >= whole * (F.col("a_differ") + F.col("b_differ")) - rest * (
+        F.col("a_n") + F.col("b_n")
+    )
+    low, high = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    return (
+        one.join(
+            two,
+            (one["center"] == two["center"])
+            & (one["shingle"] == two["shingle"])
+            & (F.col("a_root") < F.col("b_root"))
+            & (100 * low >= settings.percent * high)
+            & enough,
+        )
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+        .distinct()
+    )
+
+
+PART = ("root", "node", "n", "differ", "place")
 
 
 def link_documents(
@@ -230,44 +318,21 @@ def link_documents(
         .agg(F.max(F.struct("mass", (-F.col("node")).alias("last"))).alias("best"))
         .select("bucket", (-F.col("best.last")).alias("b"))
     )
-    known = facts.select("node", "n", "sketch")
-    left = known.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("sketch").alias("a_sketch"))
-    right = known.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch"))
-    stars = (
-        members.join(centers, "bucket")
-        .where("node <> b")
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-        .join(left, "a")
-        .join(right, "b")
-        .where(near_enough("a", "b", settings))
-        .select("a", "b")
+    pairs = (
+        members.join(centers, "bucket").where("node <> b")
+        .select(F.col("node").alias("a"), "b").distinct()
     )
-    links = stored(confirm(stars, texts, settings), f"{scratch}/star-links")
+    stars = stored(compare_with_centers(pairs, texts, settings), f"{scratch}/stars")
+    links = stars.where("linked").select("a", "b")
     first = connected_components(links, f"{scratch}/first")
 
-    placed = (
-        members.join(first, "node", "left")
-        .select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    )
-    mixed_buckets = (
-        placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select("bucket")
-    )
-    open_members = stored(
-        placed.join(mixed_buckets, "bucket").join(known, "node"), f"{scratch}/open"
-    )
-    one = open_members.selectExpr("bucket", "root as a_root", "node as a", "n as a_n", "sketch as a_sketch")
-    two = open_members.selectExpr("bucket", "root as b_root", "node as b", "n as b_n", "sketch as b_sketch")
+    near = facts.selectExpr("node as a", "n as a_n", "sketch as a_sketch")
+    other = facts.selectExpr("node as b", "n as b_n", "sketch as b_sketch")
     across = (
-        one.join(
-            two,
-            (one["bucket"] == two["bucket"])
-            & (F.col("a_root") < F.col("b_root"))
-            & near_enough("a", "b", settings),
-        )
+        across_components(stars, first, settings)
+        .join(near, "a").join(other, "b")
+        .where(near_enough("a", "b", settings))
         .select("a", "b")
-        .distinct()
     )
     more = stored(confirm(across, texts, settings), f"{scratch}/cross-links")
     roots = connected_components(links.unionByName(more), f"{scratch}/all")
@@ -318,8 +383,9 @@ def one_of_each(
     """The rows of ``docs``, all columns, that stay when each class keeps one document.
 
     The document with the smallest id stays, as do documents without words, each
-    for itself. Rows that repeat an id are one document: they stay or go together.
-    Rows without an id stay if their class has no id at all.
+    for itself. Rows that repeat an id are one document and stay if any of them
+    does, and so do the rows without an id, of which one stays if its class has no
+    id at all.
     """
     linked = link_documents(docs, scratch, settings, text=text)
     kept = linked.where("kept").select(F.col("doc_id").alias("_kept_")).distinct()
