@@ -91,6 +91,10 @@ def test_time_filters_start_exactly(spark, predicate, first):
     before = start - F.expr("INTERVAL 1 MICROSECOND")
     assert one(spark, predicate(start, now)) is True
     assert one(spark, predicate(before, now)) is False
+    end = F.lit("2024-01-11" if predicate is fn.same_day else now).cast("timestamp")
+    last = end if predicate is not fn.same_day else end - F.expr("INTERVAL 1 MICROSECOND")
+    assert one(spark, predicate(last, now)) is True
+    assert one(spark, predicate(last + F.expr("INTERVAL 1 MICROSECOND"), now)) is False
 
 
 def test_same_day_ends_at_midnight(spark):
@@ -101,6 +105,8 @@ def test_same_day_ends_at_midnight(spark):
 def test_last_days(spark):
     assert one(spark, fn.last_days(F.lit(date(2024, 1, 3)), 7, "2024-01-10 09:00")) is True
     assert one(spark, fn.last_days(F.lit(date(2024, 1, 2)), 7, "2024-01-10 09:00")) is False
+    assert one(spark, fn.last_days(F.lit(date(2024, 1, 10)), 7, "2024-01-10 09:00")) is True
+    assert one(spark, fn.last_days(F.lit(date(2024, 1, 11)), 7, "2024-01-10 09:00")) is False
 
 
 def test_as_of_defaults_to_now(spark):

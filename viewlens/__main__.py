@@ -16,7 +16,7 @@ from .operators import hourly_summary, load_summary, recent_events, require_tabl
 from .plans import jobs
 from .schemas import VIEW_EVENT
 from .session import build_session
-from .sinks import load_views, loaded_views
+from .sinks import latest_rows, load_views, loaded_views
 from .sources import decode_events, kafka_stream, stream_json_lines
 from .streaming import await_any, start_event_tables, stop_all
 
@@ -25,6 +25,10 @@ KEPT_TABLES = {
     "movie_stats_realtime": "window_end",
     "device_stats_realtime": "window_end",
 }
+STATISTICS_KEYS = {
+    "movie_stats_realtime": ["window_start", "window_end", "movie_id"],
+    "device_stats_realtime": ["window_start", "window_end", "device"],
+}
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -91,6 +95,8 @@ def monitor(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = {name: _table(spark, args, name) for name in KEPT_TABLES}
+    for name, keys in STATISTICS_KEYS.items():
+        tables[name] = latest_rows(tables[name], keys)
     require_tables(tables, time_cols=KEPT_TABLES).show(truncate=False)
     hourly_summary(tables["user_views_processed"], as_of=args.as_of).show()
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, NumericType
 
+from ..session import scratch_dir
 from .spread import join_on, sum_before
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -29,53 +30,107 @@ def column_types(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
-def column_statistics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per integer column: count, mean, std, min, exact quartiles, max."""
-    names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)]
-    return join_on(_moments(df, names), _quartiles(df, names), ["column_name"], "left")
+def column_statistics(
+    df: DataFrame, columns: list[str] | None = None, *, scratch: str | None = None
+) -> DataFrame:
+    """One row per numeric column: count, mean, std, min, exact quartiles, max.
 
+    All numeric columns by default. NULLs do not count. The distinct values of a
+    column and their copies are counted in one pass and kept in ``scratch`` (by
+    default a new folder of ``scratch_dir``); everything follows from them.
+    min and max are long where all columns are integers, else double, as whole
+    numbers beyond 2^53 and decimals are then rounded. A NaN counts as the
+    largest value; a column without values has count 0 and NULLs.
+    """
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    names = columns or numeric
+    if not names:
+        raise ValueError("there is no numeric column")
+    whole = all(isinstance(df.schema[c].dataType, IntegralType) for c in names)
+    kind = "long" if whole else "double"
+    path = scratch or scratch_dir(df.sparkSession, "statistics")
+    counts = _value_counts(df, names, kind)
+    counts.write.mode("overwrite").parquet(path)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+    wanted = df.sparkSession.createDataFrame([(c,) for c in names], "column_name string")
+    moments = _moments(counts, kind)
+    return (
+        wanted.join(moments, "column_name", "left")
+        .join(_quartiles(counts, moments, kind), "column_name", "left")
+        .withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    )
+
+
+def _value_counts(df: DataFrame, names: list[str], kind: str) -> DataFrame:
+    values = [F.col(c).cast(kind).alias(c) for c in names]
+    return (
+        df.select(*names)
+        .unpivot([], values, "column_name", "value")
+        .where("value is not null")
+        .groupBy("column_name", "value")
+        .agg(F.count("*").alias("copies"))
+    )
+
+
+def _moments(counts: DataFrame, kind: str) -> DataFrame:
+    value, copies = F.col("value").cast("double"), F.col("copies")
+    totals = counts.groupBy("column_name").agg(
+        F.sum("copies").alias("n"),
+        (F.sum(value * copies) / F.sum("copies")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # Deviations from the mean lose less than sums of squares do.
+    spread = (
+        counts.join(F.broadcast(totals), "column_name")
+        .groupBy("column_name")
+        .agg(F.sum(copies * (value - F.col("mean")) ** 2).alias("squares"))
+    )
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1)))
+    return totals.join(spread, "column_name").select(
+        "column_name", "n", "mean", std.alias("std"), "min", "max"
+    )
+
+
+def _order_levels(kind: str) -> dict[str, Column]:
+    """Columns that never fall as the value rises, each with few values within the last.
 
-def _moments(df: DataFrame, names: list[str]) -> DataFrame:
-    stats = {
-        "n": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
+    For whole numbers pieces of 16 bits; for others sign and binary exponent, then
+    two pieces of the mantissa.
+    """
+    value = F.col("value")
+    if kind == "long":
+        return {f"_top{bits}": F.shiftright(value, bits) for bits in (48, 32, 16)}
+    size = F.abs(value)
+    usual = (size > 0) & (size < float("inf"))
+    exponent = F.when(usual, F.floor(F.log2(F.when(usual, size)))).otherwise(F.lit(0))
+    # Halves of the exponent, as 2 to the whole may be too large or too small.
+    half = F.floor(exponent / 2)
+    mantissa = F.when(usual, size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half))
+    sign = F.when(value > 0, 1).when(value < 0, -1).otherwise(0)
+    first = F.floor(F.coalesce(mantissa, F.lit(0.0)) * 32768)
+    second = F.floor((F.coalesce(mantissa, F.lit(0.0)) * 32768 - first) * 65536)
+    odd = F.when(F.isnan(value), 9999).when(size == float("inf"), sign * 9998)
+    return {
+        "_exponent": F.coalesce(odd, sign * (exponent + 2000)),
+        "_first": sign * first,
+        "_second": sign * second,
     }
-    totals = df.agg(*[f(c).alias(f"{s}_{c}") for c in names for s, f in stats.items()])
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"n_{c}").alias("n"),
-            F.col(f"mean_{c}").alias("mean"),
-            F.col(f"std_{c}").alias("std"),
-            F.col(f"min_{c}").cast("long").alias("min"),
-            F.col(f"max_{c}").cast("long").alias("max"),
-        )
-        for c in names
-    ]
-    return totals.select(F.inline(F.array(*rows)))
 
 
-def _quartiles(df: DataFrame, names: list[str]) -> DataFrame:
+def _quartiles(counts: DataFrame, moments: DataFrame, kind: str) -> DataFrame:
     """Exact quartiles with linear interpolation.
 
-    Values are counted first. Ranks then follow from running sums over 16-bit
-    pieces of the value, so no window holds more than 65,536 rows.
+    Ranks follow from running sums over the levels of ``_order_levels``, so no
+    window holds more than some 65,536 rows of a long column.
     """
-    counts = (
-        df.unpivot([], [F.col(c).cast("long").alias(c) for c in names], "column_name", "value")
-        .where("value is not null")
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("copies"))
-    )
-    pieces = {f"_top{bits}": F.shiftright("value", bits) for bits in (48, 32, 16)}
+    levels = _order_levels(kind)
     ranked = sum_before(
-        counts.withColumns(pieces), ["column_name"], [*pieces, "value"], "copies", "before"
+        counts.withColumns(levels), ["column_name"], [*levels, "value"], "copies", "before"
     ).select("column_name", "value", "copies", "before")
-    totals = counts.groupBy("column_name").agg(F.sum("copies").alias("total"))
-    placed = join_on(ranked, F.broadcast(totals), ["column_name"])
+    # One row a column.
+    totals = F.broadcast(moments.select("column_name", F.col("n").alias("total")))
+    placed = join_on(ranked, totals, ["column_name"])
 
     def value_at(rank):
         inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("copies"))
@@ -83,8 +138,9 @@ def _quartiles(df: DataFrame, names: list[str]) -> DataFrame:
 
     def quantile(q: float):
         rank = (F.col("total") - 1) * F.lit(q)
-        low, high = value_at(F.floor(rank)), value_at(F.ceil(rank))
+        low = value_at(F.floor(rank)).cast("double")
+        high = value_at(F.ceil(rank)).cast("double")
         part = F.max(rank - F.floor(rank))
-        return low + (high - low) * part
+        return F.when(low == high, low).otherwise(low * (1 - part) + high * part)
 
     return placed.groupBy("column_name").agg(*[quantile(q).alias(n) for n, q in QUARTILES.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_of_column, micros_between, percent_or_null, rows_within, within
+from .metrics import recent_stats
 
 TIME = "processing_timestamp"
 
@@ -167,12 +168,13 @@ def verify_tables(tables: dict[str, DataFrame], *, time_cols: dict[str, str]) ->
 
 
 def require_tables(tables: dict[str, DataFrame], *, time_cols: dict[str, str]) -> DataFrame:
-    """verify_tables, raising when a table is empty."""
+    """The rows of verify_tables, computed once; raises when a table is empty."""
     verified = verify_tables(tables, time_cols=time_cols)
-    empty = [r["table_name"] for r in verified.where(~F.col("ok")).collect()]
+    rows = verified.collect()  # one row a table
+    empty = [r["table_name"] for r in rows if not r["ok"]]
     if empty:
         raise ValueError(f"empty tables: {', '.join(sorted(empty))}")
-    return verified
+    return verified.sparkSession.createDataFrame(rows, verified.schema)
 
 
 def load_summary(df: DataFrame) -> DataFrame:
@@ -185,13 +187,11 @@ def load_summary(df: DataFrame) -> DataFrame:
 
 
 def hourly_summary(df: DataFrame, *, as_of=None, interval: str = "1 hour") -> DataFrame:
-    """Total rows beside the count, mean duration and users of the last hour."""
-    recent = within(TIME, interval, as_of)
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(recent).alias("views"),
-        F.avg(F.when(recent, F.col("duration_seconds"))).alias("avg_duration"),
-        F.count_distinct(F.when(recent, F.col("user_id"))).alias("unique_users"),
-    )
-
+    """Total rows beside the count, mean duration and users of the last hour.
 
+    The total needs no column, and the rest reads the last hour only.
+    """
+    total = df.agg(F.count("*")).scalar()
+    return recent_stats(df, as_of=as_of, interval=interval).select(
+        total.alias("total_rows"), "views", "avg_duration", "unique_users"
+    )

@@ -24,6 +24,7 @@ from ..sinks import (
     load_views,
     loaded_views,
     processed_writer,
+    rejected_views,
     update_log_writer,
     with_created_at,
 )
@@ -60,6 +61,11 @@ class Source:
     def now(self) -> Column:
         return fixtures.as_of(self.views)
 
+    @property
+    def past(self) -> Column:
+        """Ten days before the newest row."""
+        return self.now - F.expr("INTERVAL 10 DAYS")
+
     @property
     def stream(self) -> DataFrame:
         return fixtures.enriched_views(fixtures.stream_events(self.spark, self.sf_dir))
@@ -168,10 +174,26 @@ def json_lines_sample(s: Source) -> DataFrame:
 @_query
 def load_json_lines(s: Source) -> DataFrame:
     table = s.scratch("user_views")
-    load_views(s.spark, s.json_lines(broken=True), table, as_of=s.now)
+    load_views(s.spark, s.json_lines(broken=True), table, load_id=1, as_of=s.now)
+    return loaded_views(s.spark, table)
+
+
+@_query
+def load_two_files(s: Source) -> DataFrame:
+    """Two loads into one table, one of them repeated."""
+    table, path = s.scratch("user_views"), s.json_lines(broken=True)
+    for load_id in (1, 2, 2):
+        load_views(s.spark, path, table, load_id=load_id, as_of=s.now)
     return loaded_views(s.spark, table)
 
 
+@_query
+def rejected_lines(s: Source) -> DataFrame:
+    table = s.scratch("user_views")
+    load_views(s.spark, s.json_lines(broken=True), table, load_id=1, as_of=s.now)
+    return rejected_views(s.spark, table)
+
+
 @_query
 def load_counts(s: Source) -> DataFrame:
     lines = read_json_lines(s.spark, s.json_lines(broken=True), keep_bad=True)
@@ -346,16 +368,76 @@ def movie_popularity_table(s: Source) -> DataFrame:
     return s.read(f"{tables}/movie_popularity")
 
 
+#: Sketches may be off by a fifth, four times their stated standard error, or by one.
+def _users_within_error(sketched: DataFrame, exact: DataFrame, key: str) -> DataFrame:
+    exact = exact.select(F.col(key).alias("_key"), F.col("unique_users").alias("exact_users"))
+    off = F.abs(F.col("unique_users") - F.col("exact_users"))
+    return sketched.join(exact, F.col(key).eqNullSafe(F.col("_key"))).select(
+        key, "total_views", "exact_users",
+        (off <= F.greatest(F.lit(1.0), 0.2 * F.col("exact_users"))).alias("within_error"),
+    )
+
+
 @_query
 def approx_daily_users(s: Source) -> DataFrame:
     daily = ops.daily_metrics(s.views, exact=False)
-    return daily.select("metric_date", "total_views", "unique_users")
+    return _users_within_error(daily, ops.daily_metrics(s.views), "metric_date")
 
 
 @_query
 def approx_movie_users(s: Source) -> DataFrame:
     popularity = ops.movie_popularity(s.views, as_of=s.now, exact=False)
-    return popularity.select("movie_id", "total_views", "unique_users")
+    exact = ops.movie_popularity(s.views, as_of=s.now)
+    return _users_within_error(popularity, exact, "movie_id")
+
+
+# -- the same at a past reference time ----------------------------------------
+
+
+@_query
+def past_hour_stats(s: Source) -> DataFrame:
+    return ops.recent_stats(s.views, as_of=s.past)
+
+
+@_query
+def past_hourly_summary(s: Source) -> DataFrame:
+    return ops.hourly_summary(s.views, as_of=s.past)
+
+
+@_query
+def past_last_day(s: Source) -> DataFrame:
+    recent = recent_processed_views(s.views, as_of=s.past)
+    return ops.fact_columns(recent.withColumn("event_date", F.to_date("original_timestamp")))
+
+
+@_query
+def past_popularity(s: Source) -> DataFrame:
+    return ops.movie_popularity(s.views, as_of=s.past)
+
+
+@_query
+def past_top_movies(s: Source) -> DataFrame:
+    return ops.top_movies(s.views, as_of=s.past)
+
+
+@_query
+def past_checks(s: Source) -> DataFrame:
+    return ops.monitor_checks(s.views, as_of=s.past)
+
+
+@_query
+def past_views_by_device(s: Source) -> DataFrame:
+    return ops.views_by_device(s.views, as_of=s.past)
+
+
+@_query
+def past_retention(s: Source) -> DataFrame:
+    return ops.recent_retention(ops.retention(s.views), as_of=s.past)
+
+
+@_query
+def past_business_metrics(s: Source) -> DataFrame:
+    return ops.business_metrics(s.views, as_of=s.past)
 
 
 # -- metrics and reports ------------------------------------------------------
@@ -514,6 +596,15 @@ def column_statistics(s: Source) -> DataFrame:
     return statistics.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+@_query
+def column_statistics_mixed(s: Source) -> DataFrame:
+    """An integer column, a fractional one and one that is mostly NULL."""
+    sometimes = F.when(F.col("event_id") % 7 == 0, F.col("value") * -1)
+    events = fixtures.read_events(s.spark, s.sf_dir).withColumn("sometimes", sometimes)
+    statistics = ops.column_statistics(events, ["user_id", "value", "sometimes"])
+    return statistics.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
+
+
 @_query
 def declared_table(s: Source) -> DataFrame:
     path = s.scratch("declared")
@@ -522,4 +613,6 @@ def declared_table(s: Source) -> DataFrame:
     create_table(s.spark, name, schema=USER_VIEWS, path=path)
     views = s.views.withColumnRenamed("original_timestamp", "event_timestamp")
     conform(with_created_at(views, as_of=s.now), USER_VIEWS).write.insertInto(name)
-    return s.spark.table(name)
+    schema = s.spark.table(name).schema
+    s.spark.sql(f"DROP TABLE {name}")  # the files stay, as the path is given
+    return s.spark.read.schema(schema).parquet(path)

@@ -98,7 +98,8 @@ FROM v WHERE {where} GROUP BY event_date"""
 _POPULARITY = """SELECT movie_id, count(*) AS total_views,
   count(DISTINCT user_id) AS unique_users, avg(duration_seconds) AS avg_watch_time,
   {now} AS last_updated
-FROM v WHERE event_date >= CAST({now} AS DATE) - INTERVAL '7' DAY AND {where}
+FROM v WHERE event_date BETWEEN CAST({now} AS DATE) - INTERVAL '7' DAY AND CAST({now} AS DATE)
+  AND {where}
 GROUP BY movie_id"""
 
 
@@ -197,6 +198,27 @@ def _verified(name: str, source: str, time: str) -> str:
   CAST(max({time}) AS TIMESTAMP) AS latest, count(*) > 0 AS ok FROM ({source}) t_{name}"""
 
 
+_PAST = f"({_NOW} - INTERVAL '10' DAY)"
+
+
+def _closed(body: str) -> str:
+    """The body at the past reference time; its ranges end there."""
+    time = "processing_timestamp >= "
+    return body.replace(time, f"processing_timestamp <= {_NOW} AND {time}").replace(_NOW, _PAST)
+
+
+_STATISTIC = """SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
+  round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75
+FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN -value END AS sometimes FROM events) e"""
+
+_LINE = """'{' || concat_ws(',',
+  '"user_id":' || to_json(user_id), '"movie_id":' || to_json(movie_id),
+  '"event_type":' || to_json(event_type), '"timestamp":' || to_json("timestamp"),
+  '"duration":' || duration_seconds) || '}'"""
+
 _BODIES = {
     "processed_events": f"""SELECT event_id, {_RAW_COLUMNS}, processing_timestamp,
   original_timestamp, event_date, watch_category, is_valid, session_id FROM v""",
@@ -212,6 +234,11 @@ _BODIES = {
     "json_lines_sample": "SELECT least(count(*), 100) AS n_rows FROM v",
     "load_json_lines": f"""SELECT user_id, movie_id, duration_seconds, event_type,
   original_timestamp AS event_timestamp, {_NOW} AS created_at FROM v WHERE {_ACCEPTED}""",
+    "load_two_files": f"""SELECT user_id, movie_id, duration_seconds, event_type,
+  original_timestamp AS event_timestamp, {_NOW} AS created_at
+FROM v, (VALUES (1), (2)) loads(n) WHERE {_ACCEPTED}""",
+    "rejected_lines": f"""SELECT CASE WHEN {_BROKEN} THEN left(line, 20) ELSE line END AS raw_record
+FROM (SELECT *, {_LINE} AS line FROM v) l WHERE NOT ({_ACCEPTED})""",
     "load_counts": f"""SELECT 'loaded' AS status, count(*) AS n FROM v WHERE {_ACCEPTED}
 UNION ALL SELECT 'rejected', count(*) FROM v WHERE NOT ({_ACCEPTED})""",
     "category_counts": "SELECT watch_category, count(*) AS n FROM v GROUP BY watch_category",
@@ -249,6 +276,10 @@ WHERE event_date IN {_AFFECTED} OR (event_date IS NULL AND EXISTS (
     "movie_popularity_table": _POPULARITY.format(
         now=_NOW, where=f"event_date IN {_AFFECTED}"
     ),
+    "approx_daily_users": f"""SELECT metric_date, total_views, unique_users AS exact_users,
+  true AS within_error FROM ({_DAILY.format(where="true")}) d""",
+    "approx_movie_users": f"""SELECT movie_id, total_views, unique_users AS exact_users,
+  true AS within_error FROM ({_POPULARITY.format(now=_NOW, where="true")}) p""",
     "business_metrics": _business(_NOW),
     "business_metrics_table": f"""{_business(_NOW)}
 UNION ALL {_business(_YESTERDAY)}""",
@@ -298,5 +329,22 @@ GROUP BY movie_id ORDER BY view_count DESC, movie_id NULLS LAST LIMIT 10""",
 }
 
 
+_BODIES |= {
+    "past_hour_stats": _closed(_BODIES["last_hour_stats"]),
+    "past_hourly_summary": _closed(_BODIES["hourly_summary"]),
+    "past_last_day": _closed(_BODIES["fact_last_day"]),
+    "past_popularity": _POPULARITY.format(now=_PAST, where="true"),
+    "past_top_movies": _closed(_REPORT),
+    "past_checks": "\nUNION ALL ".join(map(_closed, _CHECKS)),
+    "past_views_by_device": _closed(_BODIES["views_by_device_24h"]),
+    "past_retention": f"""SELECT * FROM ({_RETENTION}) r
+WHERE event_date BETWEEN CAST({_PAST} AS DATE) - INTERVAL '7' DAY AND CAST({_PAST} AS DATE)""",
+    "past_business_metrics": _business(_PAST),
+    "column_statistics_mixed": "\nUNION ALL ".join(
+        _STATISTIC.format(c=c) for c in ("user_id", "value", "sometimes")
+    ),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: f"{_VIEWS}\n{body}" for name, body in _BODIES.items()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,8 +18,6 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-_local_scratch: str | None = None
-
 
 def build_session(app_name: str = "viewlens", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators expect.
@@ -40,14 +37,10 @@ def build_session(app_name: str = "viewlens", master: str | None = None, **conf)
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder:
-    on a cluster a machine-local path would be lost with its machine.
+    Without that setting it lies in the warehouse folder, which executors share
+    as well; a local session has it below the working folder.
     """
-    global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="viewlens-")
-        base = _local_scratch
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ itself.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -41,33 +42,43 @@ def fact_writer(path: str) -> BatchWriter:
 
 
 def _event_writer(path: str, transform, partition_by: str) -> BatchWriter:
-    """Parquet folder per batch; an empty batch writes nothing."""
+    """Parquet folder per batch; an empty batch writes nothing.
+
+    The batch is kept while it is tested and written, so its source is read once.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            (
-                transform(batch)
-                .write.mode("overwrite")
-                .partitionBy(partition_by)
-                .parquet(f"{path}/batch_id={batch_id}")
-            )
+        kept = batch.persist()
+        try:
+            if not kept.isEmpty():
+                (
+                    transform(kept)
+                    .write.mode("overwrite")
+                    .partitionBy(partition_by)
+                    .parquet(f"{path}/batch_id={batch_id}")
+                )
+        finally:
+            kept.unpersist()
 
     return write
 
 
-def update_log_writer(path: str, *, files: int = 8) -> BatchWriter:
+def update_log_writer(path: str, *, rows_per_file: int = 1_000_000) -> BatchWriter:
     """Rows of a stateful query to a log; read it through ``latest_rows``.
 
     The batch holds one row per changed group. It is kept while it is tested and
     written, as evaluating it again would run its state update again. Stateful
-    queries run without adaptive execution, so the number of files is set here:
-    otherwise each batch would leave one per shuffle partition.
+    queries run without adaptive execution, so the number of files follows from
+    the rows of the batch, up to one per shuffle partition.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            if not kept.isEmpty():
+            rows = kept.count()
+            if rows:
+                most = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                files = max(1, min(most, math.ceil(rows / rows_per_file)))
                 append_run(kept.repartition(files), path, batch_id, key="batch_id")
         finally:
             kept.unpersist()

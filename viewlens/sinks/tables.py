@@ -66,14 +66,19 @@ def create_table(
     """Declares a Parquet table unless it exists; the schema defaults by name."""
     schema = schema or TABLES[name]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    statement = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+    statement = f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet"
     if partition_by:
-        statement += f" PARTITIONED BY ({', '.join(partition_by)})"
+        statement += f" PARTITIONED BY ({', '.join(map(_quoted, partition_by))})"
     if path:
-        statement += f" LOCATION '{path}'"
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+        statement += f" LOCATION '{escaped}'"
     spark.sql(statement)
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
 def with_created_at(df: DataFrame, *, as_of=None, column: str = "created_at") -> DataFrame:
     """Fills the default time column of a table."""
     return df.withColumn(column, as_of_column(as_of))

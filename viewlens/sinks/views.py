@@ -7,40 +7,41 @@ from pyspark.sql import functions as F
 
 from ..functions import event_time
 from ..schemas import USER_VIEWS, USER_VIEWS_MAX_LENGTH
-from ..sources.files import RAW_RECORD, read_json_lines
+from ..sources.files import LINE, RAW_RECORD, read_json_lines
 from .tables import with_created_at
 
 LOADED, REJECTED = "loaded", "rejected"
 
 
 def classify_views(lines: DataFrame, *, as_of=None) -> DataFrame:
-    """Rows of ``user_views`` with ``status`` and, when rejected, the raw line.
+    """Rows of ``user_views`` with ``status`` and, when rejected, the line byte for byte.
+
+    ``lines`` comes from ``read_json_lines`` with ``keep_bad``.
 
     A row is rejected when its line does not fit the schema, its time is missing
     or cannot be read, or an id is longer than its column.
     """
-    line = F.to_json(F.struct(*[c for c in lines.columns if c != RAW_RECORD]))
-    views = (
-        lines.withColumns({"_line": line, "event_timestamp": event_time("timestamp")})
-        .withColumnsRenamed({"duration": "duration_seconds"})
+    views = lines.withColumn("event_timestamp", event_time("timestamp")).withColumnRenamed(
+        "duration", "duration_seconds"
     )
     too_long = [F.length(c) > n for c, n in USER_VIEWS_MAX_LENGTH.items()]
     problems = [F.col(RAW_RECORD).isNotNull(), F.col("event_timestamp").isNull(), *too_long]
     bad = F.coalesce(F.greatest(*problems), F.lit(False))
     return with_created_at(views, as_of=as_of).select(
         *USER_VIEWS.fieldNames(),
-        F.when(bad, F.coalesce(RAW_RECORD, "_line")).alias(RAW_RECORD),
+        F.when(bad, F.col(LINE)).alias(RAW_RECORD),
         F.when(bad, REJECTED).otherwise(LOADED).alias("status"),
     )
 
 
 def load_views(
-    spark: SparkSession, source: str, table: str, *, load_id: str | int = 0, as_of=None
+    spark: SparkSession, source: str, table: str, *, load_id: str | int, as_of=None
 ) -> dict[str, int]:
     """Loads a JSON-lines path and returns the number of rows of each status.
 
     Good and bad rows are written in one pass, as partitions of one table, so
-    the text is parsed once. Loading the same id again replaces its rows.
+    the text is parsed once. Loading the same id again replaces
+    its rows, so each source needs an id of its own.
     """
     counts = Observation(f"load-{load_id}")
     rows = classify_views(read_json_lines(spark, source, keep_bad=True), as_of=as_of).observe(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import SIMPLE_EVENT
 
 RAW_RECORD = "raw_record"
+LINE = "line"
 
 
 def read_json_lines(
@@ -15,14 +17,17 @@ def read_json_lines(
 ) -> DataFrame:
     """One event per line.
 
-    With ``keep_bad`` a line that does not fit the schema is kept as text in the
-    column ``raw_record``, which is NULL for good lines.
+    With ``keep_bad`` there are two more columns: ``line`` has every line as it
+    stands in the file, and ``raw_record`` the text of a line that does not fit
+    the schema, NULL for good ones. Blank lines are no events.
     """
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if keep_bad:
-        schema = StructType([*schema.fields, StructField(RAW_RECORD, StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", RAW_RECORD)
-    return reader.schema(schema).json(path)
+    if not keep_bad:
+        return spark.read.schema(schema).json(path)
+    full = StructType([*schema.fields, StructField(RAW_RECORD, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_RECORD}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", full, options)
+    return lines.select(F.col("value").alias(LINE), parsed.alias("event")).select(LINE, "event.*")
 
 
 def stream_json_lines(
