@@ -61,7 +61,8 @@ def test_verify_fails_on_an_empty_table(spark, tmp_path):
     for name in ("user_views_processed", "movie_stats_realtime", "device_stats_realtime"):
         spark.sql(
             "SELECT current_timestamp() AS processing_timestamp, "
-            "current_timestamp() AS window_end WHERE false"
+            "current_timestamp() AS window_start, current_timestamp() AS window_end, "
+            "'m' AS movie_id, 'd' AS device, 0L AS batch_id WHERE false"
         ).write.parquet(str(tmp_path / name))
     with pytest.raises(ValueError, match="empty tables: device_stats_realtime"):
         main(["verify", "--tables", str(tmp_path)])

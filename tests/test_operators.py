@@ -63,8 +63,9 @@ def test_retention_counts_users_with_two_starts(events):
     assert first["retention_rate"] == pytest.approx(200 / 3)
     assert result[date(2024, 1, 11)]["retention_rate"] == 0.0
     assert None in result
-    latest = rows(ops.latest_retention(ops.retention(df), as_of=NOW))
-    assert [r["event_date"] for r in latest] == [date(2024, 1, 11)]
+    for as_of, day in ((NOW, 10), ("2024-01-11 09:00:00", 11)):
+        latest = rows(ops.latest_retention(ops.retention(df), as_of=as_of))
+        assert [r["event_date"] for r in latest] == [date(2024, 1, day)]
 
 
 def test_popular_movie_ties_and_nulls(events):
@@ -200,12 +201,23 @@ def test_verification(events):
 
 
 @pytest.mark.parametrize(
-    "values", [[1, 2, 3, 4], [5], [-70000, 0, 3, 70000, 70000, None], [7] * 10, [None], []]
+    "values",
+    [
+        [1, 2, 3, 4], [5], [-70000, 0, 3, 70000, 70000, None], [7] * 10, [None], [],
+        [0.5, 1.7, 2.9], [-0.125, -1.5, 0, 1.5, 1e-300, -1e300, 1e308], [1.25, 1.250001, -3, None],
+    ],
 )
 def test_statistics_equal_pandas(spark, values):
+    values = [None if v is None else float(v) for v in values]
+    kinds = ["int", "double", "decimal(38,6)"] if all(v is None or abs(v) < 9e9 and (v == 0 or abs(v) > 1e-6) for v in values) else ["double"]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for kind in kinds:
+        check_statistics(df.select(df["x"].cast(kind)), values if kind != "int" else [v and int(v) for v in values])
+
+
+def check_statistics(df, values):
     import pandas as pd
 
-    df = spark.createDataFrame([(v,) for v in values], "x int")
     got = ops.column_statistics(df).first()
     want = pd.Series(values, dtype="float64").dropna().describe()
     assert got["n"] == want["count"]
@@ -217,6 +229,19 @@ def test_statistics_equal_pandas(spark, values):
             assert got[ours] == pytest.approx(want[theirs])
 
 
+def test_statistics_of_extremes(spark):
+    least, most = -(2**63), 2**63 - 1
+    df = spark.createDataFrame([(least,), (most,), (0,), (None,)], "x long")
+    got = ops.column_statistics(df).first()
+    assert (got["min"], got["max"], got["p50"]) == (least, most, 0)
+    assert got["p25"] == pytest.approx(least / 2) and got["p75"] == pytest.approx(most / 2)
+    mixed = df.selectExpr("x", "CAST(x AS string) AS s", "CAST('NaN' AS double) AS y")
+    rows = {r["column_name"]: r for r in ops.column_statistics(mixed).collect()}
+    assert set(rows) == {"x", "y"} and rows["y"]["max"] != rows["y"]["max"]
+    with pytest.raises(ValueError, match="numeric"):
+        ops.column_statistics(mixed.select("s"))
+
+
 def test_column_types_and_first_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
     assert [tuple(r) for r in ops.column_types(df).collect()] == [("a", "int", 2), ("b", "string", 1)]

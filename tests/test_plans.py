@@ -61,31 +61,19 @@ def test_scan_reads_needed_columns_only(views):
     assert "props" not in schema and "value" not in schema
 
 
-def test_whole_users_need_one_shuffle_and_one_sort(views):
-    events = views.select("user_id", "original_timestamp", "session_id")
-    plan = explain(ops.user_metrics(events, max_user_rows=None))
-    assert exchanges(plan) == 1
-    assert len(re.findall(r"^\(\d+\) Sort$", plan, re.M)) == 1
-
-
-def test_split_users_are_never_shuffled_whole(views):
-    """Only aggregated rows meet in one task per user."""
+def test_events_are_shuffled_once_and_never_by_user_alone(views):
     events = views.select("user_id", "original_timestamp", "session_id", "event_id")
-    plan = explain(sessions._large_users(events, 3600, "original_timestamp", "session_id"))
-    inputs = re.findall(
-        r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(user_id#\d+, \d+\)", plan
+    plan = explain(ops.user_metrics(events))
+    shuffles = re.findall(
+        r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((.*?), \d+\)", plan
     )
-    assert inputs
-    assert not any("event_id" in columns or "session_id" in columns for columns in inputs)
+    whole = [keys for columns, keys in shuffles if "event_id" in columns]
+    assert len(whole) == 1 and "_slot" in whole[0] and "_day" in whole[0]
 
 
-def test_no_large_user_leaves_the_plain_plan(views):
-    """The executed plan drops the split when no user is large."""
-    events = views.select("user_id", "original_timestamp", "session_id")
-    df = ops.user_metrics(events)
-    df.collect()
-    executed = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "Generate" not in executed and "Join" not in executed
+def test_summaries_read_the_recent_rows_only(views):
+    plan = explain(ops.hourly_summary(views, as_of="2024-01-30 12:00:00"))
+    assert "ReadSchema: struct<>" in plan
 
 
 def test_update_logs_are_read_by_hash_aggregate(spark, tmp_path, views):

@@ -1,5 +1,6 @@
-"""Session metrics against a plain loop, for whole and for split users."""
+"""Session metrics against a plain loop."""
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -20,7 +21,8 @@ def by_loop(spark, rows, gap_seconds):
     users = {r[0] for r in rows}
     for user in users:
         own = [r for r in rows if r[0] == user]
-        own.sort(key=lambda r: (r[1] is not None, r[1] or START, r[2], row_hash[r]))
+        tie_hash = lambda r: "" if r[1] else hashlib.md5(r[2].encode()).hexdigest()
+        own.sort(key=lambda r: (r[1] is not None, r[1] or START, tie_hash(r), r[2], row_hash[r]))
         previous, number = None, 0
         for row in own:
             time = row[1]
@@ -61,33 +63,49 @@ def random_rows(seed, n=300):
 
 
 @pytest.mark.parametrize("gap", [3600, 60, 45, 1])
-@pytest.mark.parametrize("max_rows", [None, 10_000, 60, 0])
-def test_random_rows(spark, gap, max_rows):
+@pytest.mark.parametrize("length", [60, 1])
+def test_random_rows(spark, gap, length):
     rows = random_rows(gap)
-    actual = by_spark(spark, rows, gap_seconds=gap, max_user_rows=max_rows)
+    actual = by_spark(spark, rows, gap_seconds=gap, slice_seconds=length)
     assert_same(actual, by_loop(spark, rows, gap))
 
 
-@pytest.mark.parametrize("max_rows", [100, 0])
 @pytest.mark.parametrize(
     ("seconds", "opens"), [(3600, False), (3600.5, False), (3601, True), (0, False)]
 )
-def test_gap_boundary(spark, max_rows, seconds, opens):
+def test_gap_boundary(spark, seconds, opens):
     rows = [("u", START, "a", 0), ("u", START + timedelta(seconds=seconds), "b", 1)]
-    second = max(by_spark(spark, rows, max_user_rows=max_rows), key=lambda r: r[2])
+    second = max(by_spark(spark, rows), key=lambda r: r[2])
     assert second[6] is opens
     assert second[7] == 1 + opens
 
 
-def test_many_copies_are_cut_into_blocks(spark, monkeypatch):
-    monkeypatch.setattr(spread, "COPIES_PER_ROW", 7)
+def test_many_copies(spark):
     rows = [(None, None, "x", 1)] * 50 + [("u", START, "y", 2)] * 30
-    assert_same(by_spark(spark, rows, max_user_rows=0), by_loop(spark, rows, 3600))
+    assert_same(by_spark(spark, rows), by_loop(spark, rows, 3600))
+
+
+def test_other_columns_keep_their_values(spark):
+    df = spark.sql(
+        "SELECT 'u' AS user_id, timestamp'2024-01-01' AS original_timestamp, 's' AS session_id, "
+        "-0.0D AS x, map('a', 1) AS m"
+    ).drop("m")
+    assert str(user_metrics(df).first()["x"]) == "-0.0"
+
+
+def test_earlier_sessions_go_on(spark):
+    rows = [("a", START, "x", 1), ("b", START, "x", 1), (None, START, "x", 1), ("new", START, "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    seen = [("a", START - timedelta(seconds=3600), 4), ("b", START - timedelta(seconds=3601), 4),
+            (None, START - timedelta(days=3), 7), ("gone", START, 1)]
+    earlier = spark.createDataFrame(seen, "user_id string, last_time timestamp, last_seq long")
+    got = {r["user_id"]: (r["is_new_session"], r["session_seq_number"], r["prev_event_time"]) for r in user_metrics(df, earlier=earlier).collect()}
+    assert got == {"a": (False, 4, seen[0][1]), "b": (True, 5, seen[1][1]),
+                   None: (True, 8, seen[2][1]), "new": (True, 1, None)}
 
 
 def test_empty_input(spark):
     assert by_spark(spark, []) == []
-    assert by_spark(spark, [], max_user_rows=0) == []
 
 
 def test_row_hash_tells_nulls_apart(spark):
@@ -95,13 +113,6 @@ def test_row_hash_tells_nulls_apart(spark):
     assert df.select(spread.row_hash(df.columns)).distinct().count() == 2
 
 
-def test_large_groups_are_few(spark, monkeypatch):
-    df = spark.range(100).selectExpr("if(id < 40, null, id div 10) AS k")
-    assert {r["k"] for r in spread.large_groups(df, ["k"], 5).collect()} == {None, 4, 5, 6, 7, 8, 9}
-    monkeypatch.setattr(spread, "MAX_GROUPS", 4)
-    assert [r["k"] for r in spread.large_groups(df, ["k"], 5).collect()] == [None]
-
-
 def test_sum_before(spark):
     rng = random.Random(5)
     rows = [(g, a, b, rng.randrange(9)) for g in (None, "p") for a in range(6) for b in range(7)]
@@ -111,10 +122,3 @@ def test_sum_before(spark):
         before = [x[3] for x in rows if x[0] == r["g"] and (x[1], x[2]) < (r["a"], r["b"])]
         assert r["before"] == sum(before)
     assert len(actual) == len(rows)
-
-
-def test_expand_copies(spark, monkeypatch):
-    monkeypatch.setattr(spread, "COPIES_PER_ROW", 3)
-    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10)], "k string, n long")
-    rows = sorted((r["k"], r["i"]) for r in spread.expand_copies(df, "n", "i").collect())
-    assert rows == [("a", 0), *[("b", i) for i in range(3)], *[("c", i) for i in range(10)]]

@@ -148,7 +148,7 @@ def disorderly_batches(seed):
     ]
 
 
-@pytest.mark.parametrize("options", [{}, {"max_user_rows": 0, "snapshot_every": 2}])
+@pytest.mark.parametrize("options", [{}, {"snapshot_every": 2}])
 def test_sessions_equal_batch(spark, folder, tmp_path, options):
     bad = event("a", 1) | {"timestamp": "soon"}
     batches = disorderly_batches(3)

@@ -52,7 +52,8 @@ def column_statistics(
     counts = _value_counts(df, names, kind)
     counts.write.mode("overwrite").parquet(path)
     counts = df.sparkSession.read.schema(counts.schema).parquet(path)
-    wanted = df.sparkSession.createDataFrame([(c,) for c in names], "column_name string")
+    all_names = F.explode(F.array(*map(F.lit, names))).alias("column_name")
+    wanted = df.sparkSession.range(1).select(all_names)
     moments = _moments(counts, kind)
     return (
         wanted.join(moments, "column_name", "left")

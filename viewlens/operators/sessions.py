@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seconds_between
-from .spread import expand_copies, join_on, large_groups, row_hash, sum_before
+from .spread import join_on, row_hash, sum_before
 
 SLICE_SECONDS = 60
-MAX_USER_ROWS = 2_000_000
+DAY_SECONDS = 86_400
+#: Day of events without a time, before all others.
+NO_DAY = -(1 << 40)
+SLICE = ["_who", "_day", "_slot"]
 
 
 def user_metrics(
@@ -18,157 +21,110 @@ def user_metrics(
     gap_seconds: int = 3600,
     time_col: str = "original_timestamp",
     tie_col: str = "session_id",
-    max_user_rows: int | None = MAX_USER_ROWS,
+    slice_seconds: int = SLICE_SECONDS,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Adds prev_event_time, time_since_last_event, is_new_session and
     session_seq_number, over each user's events in time order.
 
     An event opens a session when the user has no earlier timed event or the gap
     exceeds ``gap_seconds`` whole seconds. Events without a time come first and
-    each opens a session. Equal times are ordered by the text in ``tie_col``,
-    then by a hash of the row, so the result does not depend on the input order.
-
-    A user with up to ``max_user_rows`` rows, or a 100,000th of all rows, is one
-    window group. Larger users, such as the NULL user, are cut into time slices
-    (see ``_large_users``). Pass None to skip that when no user can be large.
+    each opens a session; they are ordered by the md5 of ``tie_col``. Equal times
+    are ordered by the text in ``tie_col``. Further ties go by a hash of the row,
+    so the result does not depend on the input order. ``earlier`` (user_id,
+    last_time, last_seq) tells where users stood before these events.
+
+    Events are shuffled once, by user and time slice; those without a time by user
+    and the start of their md5. A slice is no longer than the session gap, so only
+    its first event can open a session, and session numbers follow from one
+    summary row for each slice. No task gets all events of a user, such as the
+    NULL user.
     """
-    if max_user_rows is None:
-        return _small_users(events, gap_seconds, time_col, tie_col)
-    large = F.broadcast(large_groups(events, ["user_id"], max_user_rows))
-    small_part = join_on(events, large, ["user_id"], "left_anti")
-    large_part = join_on(events, large, ["user_id"], "left_semi")
-    return _small_users(small_part, gap_seconds, time_col, tie_col).unionByName(
-        _large_users(large_part, gap_seconds, time_col, tie_col)
+    length = max(1, min(slice_seconds, gap_seconds))
+    time, seconds = F.col(time_col), F.unix_timestamp(time_col)
+    tie_hash = F.md5(F.coalesce(F.col(tie_col).cast("string"), F.lit("")))
+    part = F.conv(F.substring(tie_hash, 1, 4), 16, 10).cast("long")
+    # A struct equals itself with a NULL inside too, so plain joins keep the NULL user.
+    placed = events.withColumns(
+        {
+            "_who": F.struct("user_id"),
+            "_day": F.when(time.isNull(), NO_DAY).otherwise(F.floor(seconds / DAY_SECONDS)),
+            "_slot": F.when(time.isNull(), part).otherwise(F.floor(seconds / length)),
+            "_hash": row_hash(events.columns),
+        }
     )
-
-
-def _opens_session(gap: Column, previous: Column, gap_seconds: int) -> Column:
-    return (gap > gap_seconds) | previous.isNull()
-
-
-def _small_users(events: DataFrame, gap_seconds: int, time_col: str, tie_col: str) -> DataFrame:
-    # Both windows have the same partitioning and order: one shuffle, one sort.
-    by_user = Window.partitionBy("user_id").orderBy(time_col, tie_col, "_hash")
-    to_here = by_user.rowsBetween(Window.unboundedPreceding, 0)
-    gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
+    in_slice = Window.partitionBy(*SLICE).orderBy(
+        time_col, F.when(time.isNull(), tie_hash), tie_col, "_hash"
+    )
+    numbered = placed.withColumns(
+        {"_previous": F.lag(time_col).over(in_slice), "_place": F.row_number().over(in_slice)}
+    )
+    slices = _slice_starts(placed, time_col, gap_seconds, earlier)
+    previous = F.when(time.isNotNull(), F.coalesce("_previous", "_carried"))
+    gap = F.col("time_since_last_event")
+    within = F.when(time.isNull(), F.col("_place")).otherwise(F.col("_opened"))
     return (
-        events.withColumn("_hash", row_hash(events.columns))
-        .withColumn("prev_event_time", F.lag(time_col).over(by_user))
+        numbered.join(slices, SLICE)
+        .withColumn("prev_event_time", previous)
         .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
-        .withColumn("is_new_session", _opens_session(gap, previous, gap_seconds))
-        .withColumn("session_seq_number", F.sum(F.col("is_new_session").cast("int")).over(to_here))
-        .drop("_hash")
+        .withColumn("is_new_session", _opens_session(gap, F.col("prev_event_time"), gap_seconds))
+        .withColumn("session_seq_number", F.col("_sessions") + within)
+        .select(
+            *[F.col(f"`{c}`") for c in events.columns],
+            "prev_event_time",
+            "time_since_last_event",
+            "is_new_session",
+            "session_seq_number",
+        )
     )
 
 
-def _large_users(events: DataFrame, gap_seconds: int, time_col: str, tie_col: str) -> DataFrame:
-    """The same result without ever sorting one user's rows in one task.
-
-    Time slices are no longer than the session gap, so only the first event of a
-    slice can open a session. Session numbers therefore follow from the first
-    and last time of each slice, which is a partial aggregate: one narrow row
-    per user and minute with events. Previous times follow from the distinct
-    times within a slice. Equal rows are counted before the shuffle and expanded
-    at the end.
-    """
-    copies = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
-    is_timed = F.col(time_col).isNotNull()
-    timed = _timed_events(events, copies.where(is_timed), gap_seconds, time_col, tie_col)
-    untimed = _untimed_events(copies.where(~is_timed), tie_col)
-    return timed.unionByName(untimed)
+def _opens_session(gap: Column, previous: Column, gap_seconds: int) -> Column:
+    return (gap > gap_seconds) | previous.isNull()
 
 
-def _timed_events(
-    events: DataFrame, copies: DataFrame, gap_seconds: int, time_col: str, tie_col: str
+def _slice_starts(
+    placed: DataFrame, time_col: str, gap_seconds: int, earlier: DataFrame | None
 ) -> DataFrame:
-    length = max(1, min(SLICE_SECONDS, gap_seconds))
-    sliced = events.withColumn("_slice", F.floor(F.unix_timestamp(time_col) / length))
-
-    # One row per user and slice: a year of minutes is 525,600 rows. Events
-    # without a time are the NULL slice, which comes first and opens a session
-    # for each of them.
-    by_user = Window.partitionBy("user_id").orderBy(F.col("_slice").asc_nulls_first())
-    to_here = by_user.rowsBetween(Window.unboundedPreceding, 0)
-    gap, previous = seconds_between("_first", "_before_slice"), F.col("_before_slice")
-    opened = F.when(F.col("_slice").isNull(), F.col("_rows")).otherwise(
-        _opens_session(gap, previous, gap_seconds).cast("long")
-    )
-    slices = (
-        sliced.groupBy("user_id", "_slice")
-        .agg(
-            F.min(time_col).alias("_first"),
-            F.max(time_col).alias("_last"),
-            F.count("*").alias("_rows"),
-        )
-        .withColumn("_before_slice", F.lag("_last").over(by_user))
-        .withColumn("session_seq_number", F.sum(opened).over(to_here))
-        .select("user_id", "_slice", "_before_slice", "session_seq_number")
-    )
-
-    # One row per distinct time, with the row that comes first among equal times.
-    place = F.struct(tie_col, row_hash(events.columns).alias("hash"), *events.columns)
-    in_slice = Window.partitionBy("user_id", "_slice").orderBy(time_col)
-    times = (
-        sliced.where(F.col(time_col).isNotNull())
-        .groupBy("user_id", "_slice", time_col)
-        .agg(F.min(place).alias("_leader"))
-        .withColumn("_before", F.lag(time_col).over(in_slice))
-    )
-    times = (
-        join_on(times, slices, ["user_id", "_slice"])
-        .withColumn("_before", F.coalesce("_before", "_before_slice"))
-        .drop("_slice", "_before_slice")
-    )
+    """For each slice the time before it, whether it opens a session, and sessions before it.
 
-    matched = (
-        join_on(copies, times, ["user_id", time_col])
-        .withColumn("_leads", place.eqNullSafe(F.col("_leader")))
-        .drop("_leader")
+    The summary has one row per user and slice with events, made by a partial
+    aggregate. Its windows hold the slices of one day or the days of one user.
+    """
+    summary = placed.groupBy(*SLICE).agg(
+        F.min(time_col).alias("_first"),
+        F.max(time_col).alias("_last"),
+        F.count("*").alias("_rows"),
     )
-    matched = expand_copies(matched, "_copies", "_copy")
-    leads = F.col("_leads") & (F.col("_copy") == 0)
-    gap, previous = F.col("time_since_last_event"), F.col("prev_event_time")
-    return (
-        matched.withColumn(
-            "prev_event_time", F.when(leads, F.col("_before")).otherwise(F.col(time_col))
+    if earlier is not None:
+        # Where a user stood is a slice before all others that holds no event.
+        users = placed.select("user_id").distinct()
+        summary = summary.unionByName(
+            join_on(earlier, users, ["user_id"], "left_semi").select(
+                F.struct("user_id").alias("_who"),
+                F.lit(NO_DAY).cast("long").alias("_day"),
+                F.lit(-1).cast("long").alias("_slot"),
+                F.lit(None).cast("timestamp").alias("_first"),
+                F.col("last_time").alias("_last"),
+                F.col("last_seq").alias("_rows"),
+            )
         )
-        .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
-        .withColumn("is_new_session", _opens_session(gap, previous, gap_seconds))
-        .drop("_copy", "_leads", "_before")
+    before = (Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy("_who", "_day").orderBy("_slot").rowsBetween(*before)
+    over_days = Window.partitionBy("_who").orderBy("_day").rowsBetween(*before)
+    days = (
+        summary.groupBy("_who", "_day")
+        .agg(F.max("_last").alias("_day_last"))
+        .withColumn("_days_before", F.max("_day_last").over(over_days))
+        .drop("_day_last")
     )
-
-
-def _untimed_events(copies: DataFrame, tie_col: str) -> DataFrame:
-    """Events without a time: numbered by tie column, then by row hash.
-
-    Levels of four characters, tie value, 16 hash bits and row keep each window
-    small even when many rows share the tie value.
-    """
-    columns = [c for c in copies.columns if c != "_copies"]
-    hashed = row_hash(columns)
-    numbered = sum_before(
-        copies.withColumns(
-            {
-                "_prefix": F.substring(tie_col, 1, 4),
-                "_tie": F.col(tie_col),
-                "_bucket": F.shiftright(hashed, 48),
-                "_row": F.struct(hashed.alias("hash"), *columns),
-            }
-        ),
-        ["user_id"],
-        ["_prefix", "_tie", "_bucket", "_row"],
-        "_copies",
-        "_numbered",
-    ).drop("_prefix", "_tie", "_bucket", "_row")
-    return (
-        expand_copies(numbered, "_copies", "_copy")
-        .withColumns(
-            {
-                "prev_event_time": F.lit(None).cast("timestamp"),
-                "time_since_last_event": F.lit(None).cast("long"),
-                "is_new_session": F.lit(True),
-                "session_seq_number": F.col("_numbered") + F.col("_copy") + 1,
-            }
-        )
-        .drop("_copy", "_numbered")
+    carried = (
+        summary.withColumn("_in_day", F.max("_last").over(in_day))
+        .join(days, ["_who", "_day"])
+        .withColumn("_carried", F.coalesce("_in_day", "_days_before"))
     )
+    opens = _opens_session(seconds_between("_first", "_carried"), F.col("_carried"), gap_seconds)
+    opened = F.when(F.col("_first").isNull(), F.col("_rows")).otherwise(opens.cast("long"))
+    return sum_before(
+        carried.withColumn("_opened", opened), ["_who"], ["_day", "_slot"], "_opened", "_sessions"
+    ).select(*SLICE, "_carried", "_opened", "_sessions")

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COPIES_PER_ROW = 100_000
-MAX_GROUPS = 100_000
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on the keys where NULL matches NULL; keys are kept once."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -29,22 +25,6 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Keys held by more than max_rows rows, at most MAX_GROUPS of them.
-
-    The limit grows to a MAX_GROUPS-th of all rows where that is more. Fewer than
-    MAX_GROUPS keys can each hold more than that share, whatever the data, so
-    the result is safe to broadcast.
-    """
-    share = df.agg(F.count("*")).scalar() / MAX_GROUPS
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > F.greatest(F.lit(float(max_rows)), share))
-        .select(*keys)
-    )
-
-
 def sum_before(
     df: DataFrame, group: Sequence[str], levels: Sequence[str], value: Column | str, name: str
 ) -> DataFrame:
@@ -71,19 +51,3 @@ def sum_before(
         .withColumn(name, F.col(name) + F.col(base))
         .drop(base)
     )
-
-
-def expand_copies(df: DataFrame, count: str, number: str) -> DataFrame:
-    """Each row ``count`` times, numbered from 0 in column ``number``.
-
-    A row with very many copies is first cut into blocks that are shuffled, so
-    no task writes them all.
-    """
-    step = COPIES_PER_ROW
-    blocks = df.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / step)))
-    )
-    spread = blocks.repartition(F.xxhash64(*df.columns), "_block")
-    first = F.col("_block") * step
-    last = F.least(first + step, F.col(count)) - 1
-    return spread.withColumn(number, F.explode(F.sequence(first, last))).drop("_block", count)

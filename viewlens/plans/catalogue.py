@@ -36,7 +36,12 @@ from ..sources import (
     recent_processed_views,
     sample_json_lines,
 )
-from ..streaming import run_to_end, user_metrics_result, user_metrics_writer
+from ..streaming import (
+    run_to_end,
+    user_metrics_result,
+    user_metrics_totals,
+    user_metrics_writer,
+)
 from . import jobs
 
 ALL_FIRE = {"null_ids": 0, "latency": 0, "view_drop": 0}
@@ -293,8 +298,8 @@ def user_metrics(s: Source) -> DataFrame:
 
 @_query
 def user_metrics_split(s: Source) -> DataFrame:
-    """The same with every user of more than 50 rows split into time slices."""
-    metrics = ops.user_metrics(_session_events(s.views), tie_col="place", max_user_rows=50)
+    """The same with time slices of a second."""
+    metrics = ops.user_metrics(_session_events(s.views), tie_col="place", slice_seconds=1)
     return metrics.select(*SESSION_COLUMNS)
 
 
@@ -306,6 +311,14 @@ def user_metrics_stream(s: Source) -> DataFrame:
     return user_metrics_result(s.spark, root).select(*SESSION_COLUMNS)
 
 
+@_query
+def user_metrics_stream_totals(s: Source) -> DataFrame:
+    root = s.scratch("user-metrics")
+    writer = user_metrics_writer(root, tie_col="place")
+    run_to_end(_session_events(s.stream), writer, checkpoint=f"{root}/checkpoint")
+    return user_metrics_totals(s.spark, root)
+
+
 @_query
 def retention(s: Source) -> DataFrame:
     return ops.retention(s.views)

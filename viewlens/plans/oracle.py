@@ -62,7 +62,10 @@ FROM v GROUP BY 1, 2, 3"""
 
 
 def _user_metrics(source: str, where: str = "true") -> str:
-    order = "PARTITION BY user_id ORDER BY original_timestamp NULLS FIRST, session_id, event_id"
+    order = """PARTITION BY user_id ORDER BY original_timestamp NULLS FIRST,
+  CASE WHEN original_timestamp IS NULL
+       THEN md5(concat(session_id, lpad(CAST(event_id AS VARCHAR), 20, '0'))) END,
+  session_id, event_id"""
     return f"""SELECT event_id, user_id, original_timestamp, prev_event_time,
   time_since_last_event, is_new_session,
   CAST(sum(CAST(is_new_session AS INTEGER)) OVER (
@@ -256,6 +259,10 @@ UNION ALL SELECT 'rejected', count(*) FROM v WHERE NOT ({_ACCEPTED})""",
     "user_metrics_split": _user_metrics("v"),
     "user_metrics_stream": f"""SELECT * FROM ({_user_metrics("v", "original_timestamp IS NOT NULL")}) m
 WHERE original_timestamp <= {_LAST} - INTERVAL '1' MINUTE""",
+    "user_metrics_stream_totals": f"""SELECT 'given_out' AS part, count(*) AS n FROM v
+WHERE original_timestamp <= {_LAST} - INTERVAL '1' MINUTE
+UNION ALL SELECT 'waiting', count(*) FROM v WHERE original_timestamp > {_LAST} - INTERVAL '1' MINUTE
+UNION ALL SELECT 'untimed', count(*) FROM v WHERE original_timestamp IS NULL""",
     "retention": _RETENTION,
     "retention_stream": f"""SELECT * FROM ({_RETENTION}) r
 WHERE event_date < CAST((SELECT max(original_timestamp) FROM v WHERE event_type = 'start')

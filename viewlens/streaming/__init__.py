@@ -1,6 +1,6 @@
 from .queries import await_any, run_to_end, start, start_console, start_event_tables, stop_all
 from .retention import retention_stream
-from .sessions import user_metrics_result, user_metrics_writer
+from .sessions import user_metrics_result, user_metrics_totals, user_metrics_writer
 
 __all__ = [
     "await_any",
@@ -11,5 +11,6 @@ __all__ = [
     "start_event_tables",
     "stop_all",
     "user_metrics_result",
+    "user_metrics_totals",
     "user_metrics_writer",
 ]

@@ -4,7 +4,7 @@ A user's events must be taken in time order, so an event is only given out once
 the stream has moved past it by a delay. The state between micro-batches is kept
 in tables instead of a keyed operator: a keyed operator would put all events of
 one user into one task, while here each step is an ordinary batch plan that
-splits large users.
+shuffles events by user and time slice.
 
 Tables under the given root, each written so that a batch delivered again
 replaces its own output:
@@ -12,7 +12,8 @@ replaces its own output:
 waiting/slot=N%2     events not given out yet, plus those of batch N
 metrics/batch_id=N   the result
 users/batch_id=N     last time and session number of the users seen in batch N
-progress/batch_id=N  the time up to which events are given out, and late rows
+apart/batch_id=N     events without a time and late ones, with the reason
+progress/batch_id=N  the time up to which events are given out
 """
 
 from __future__ import annotations
@@ -21,14 +22,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions import seconds_between
-from ..operators.sessions import MAX_USER_ROWS, user_metrics
-from ..operators.spread import join_on
+from ..operators.sessions import user_metrics
 from ..sinks.batches import BatchWriter
 from ..sinks.tables import append_run
 
 USERS = "user_id string, last_time timestamp, last_seq long, batch_id long"
-PROGRESS = "horizon_micros long, late_rows long"
+PROGRESS = "horizon_micros long, late_rows long, untimed_rows long"
 
 
 def user_metrics_writer(
@@ -38,86 +37,55 @@ def user_metrics_writer(
     gap_seconds: int = 3600,
     time_col: str = "original_timestamp",
     tie_col: str = "session_id",
-    max_user_rows: int = MAX_USER_ROWS,
     snapshot_every: int = 50,
 ) -> BatchWriter:
     """A foreachBatch writer that adds the columns of ``user_metrics``.
 
-    Events without a time are left out; events older than what was given out
-    are dropped and counted. ``root`` belongs to one checkpoint.
+    Events without a time, and events older than what was given out, get no
+    session; they are kept apart and counted. ``root`` belongs to one checkpoint.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         passed = _horizon(spark, root, batch_id - 1)
-        horizon, late_rows = _store_waiting(spark, batch, batch_id, passed)
+        horizon, late_rows, untimed_rows = _store_waiting(spark, batch, batch_id, passed)
         waiting = _waiting(spark, root, batch_id, batch.schema)
         ready = waiting.where(F.col(time_col) <= _time(horizon))
         known = _known_users(spark, root, batch_id, snapshot_every)
-        metrics = _continue_sessions(
-            user_metrics(
-                ready,
-                gap_seconds=gap_seconds,
-                time_col=time_col,
-                tie_col=tie_col,
-                max_user_rows=max_user_rows,
-            ),
-            ready,
-            known,
+        metrics = user_metrics(
+            ready, gap_seconds=gap_seconds, time_col=time_col, tie_col=tie_col, earlier=known
         )
         append_run(metrics, f"{root}/metrics", batch_id, key="batch_id")
         _store_users(spark, known, batch_id, metrics.schema)
-        progress = spark.createDataFrame([(horizon, late_rows)], PROGRESS)
+        progress = spark.createDataFrame([(horizon, late_rows, untimed_rows)], PROGRESS)
         append_run(progress, f"{root}/progress", batch_id, key="batch_id")
 
     def _store_waiting(spark, batch, batch_id, passed):
-        """Stores the open events; returns the new horizon and the late rows."""
+        """Stores the open events and those apart; returns the new horizon and counts."""
+        kept = batch.persist()
         seen = Observation(f"batch-{batch_id}")
         time = F.col(time_col)
-        is_late = F.lit(False) if passed is None else time <= _time(passed)
-        fresh = batch.observe(
-            seen,
-            F.unix_micros(F.max(time) - F.expr(f"INTERVAL {delay}")).alias("reached"),
-            F.count_if(is_late).alias("late_rows"),
-        ).where(time.isNotNull() & ~is_late)
-        if batch_id > 0:
-            before = _waiting(spark, root, batch_id - 1, batch.schema)
-            if passed is not None:
-                before = before.where(time > _time(passed))
-            fresh = before.unionByName(fresh)
-        fresh.write.mode("overwrite").parquet(f"{root}/waiting/slot={batch_id % 2}")
+        is_late = F.lit(False) if passed is None else F.coalesce(time <= _time(passed), F.lit(False))
+        try:
+            reason = F.when(time.isNull(), "untimed").when(is_late, "late")
+            apart = kept.withColumn("reason", reason).where("reason is not null")
+            append_run(apart, f"{root}/apart", batch_id, key="batch_id")
+            fresh = kept.observe(
+                seen,
+                F.unix_micros(F.max(time) - F.expr(f"INTERVAL {delay}")).alias("reached"),
+                F.count_if(is_late).alias("late_rows"),
+                F.count_if(time.isNull()).alias("untimed_rows"),
+            ).where(time.isNotNull() & ~is_late)
+            if batch_id > 0:
+                before = _waiting(spark, root, batch_id - 1, batch.schema)
+                if passed is not None:
+                    before = before.where(time > _time(passed))
+                fresh = before.unionByName(fresh)
+            fresh.write.mode("overwrite").parquet(f"{root}/waiting/slot={batch_id % 2}")
+        finally:
+            kept.unpersist()
         reached = [t for t in (passed, seen.get["reached"]) if t is not None]
-        return max(reached, default=None), seen.get["late_rows"]
-
-    def _continue_sessions(metrics: DataFrame, ready: DataFrame, known: DataFrame) -> DataFrame:
-        """Joins what earlier batches know of a user to this batch's result.
-
-        Per user, the first event here opened session 1. If it continues the
-        user's last session, the numbers go on from that one.
-        """
-        opened = seconds_between("_first", "last_time") > gap_seconds
-        continued = join_on(
-            ready.groupBy("user_id").agg(F.min(time_col).alias("_first")), known, ["user_id"]
-        ).select(
-            "user_id",
-            "last_time",
-            (F.col("last_seq") - F.when(opened, 0).otherwise(1)).alias("_offset"),
-        )
-        previous = F.coalesce("prev_event_time", "last_time")
-        gap = F.col("time_since_last_event")
-        return (
-            join_on(metrics, continued, ["user_id"], "left")
-            .withColumn("prev_event_time", previous)
-            .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
-            .withColumn(
-                "is_new_session", (gap > gap_seconds) | F.col("prev_event_time").isNull()
-            )
-            .withColumn(
-                "session_seq_number",
-                F.col("session_seq_number") + F.coalesce("_offset", F.lit(0)),
-            )
-            .drop("last_time", "_offset")
-        )
+        return max(reached, default=None), seen.get["late_rows"], seen.get["untimed_rows"]
 
     def _store_users(spark, known: DataFrame, batch_id: int, schema: StructType) -> None:
         written = spark.read.schema(schema).parquet(f"{root}/metrics/batch_id={batch_id}")
@@ -136,6 +104,22 @@ def user_metrics_result(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/metrics").drop("batch_id")
 
 
+def user_metrics_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Where the events of a stopped stream are: (part, n) for given_out, waiting, untimed, late.
+
+    The numbers add up to the events read.
+    """
+    progress = spark.read.schema(f"{PROGRESS}, batch_id long").parquet(f"{root}/progress")
+    last = progress.orderBy(F.col("batch_id").desc()).first()  # one row a batch
+    metrics = spark.read.parquet(f"{root}/metrics")
+    waiting = spark.read.parquet(f"{root}/waiting/slot={last['batch_id'] % 2}").count()
+    given = metrics.where(F.col("batch_id") == last["batch_id"]).count()
+    apart = spark.read.parquet(f"{root}/apart").groupBy("reason").agg(F.count("*").alias("n"))
+    return metrics.agg(F.lit("given_out").alias("part"), F.count("*").alias("n")).unionByName(
+        spark.createDataFrame([("waiting", waiting - given)], "part string, n long")
+    ).unionByName(apart.withColumnRenamed("reason", "part"))
+
+
 def _time(micros: int | None) -> Column:
     return F.timestamp_micros(F.lit(micros).cast("long"))
 
