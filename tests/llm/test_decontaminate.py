@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import ODD
+from odd import ODD
 from plain import leaks
 
 from viewlens.llm import decontaminate as dec

@@ -1,7 +1,7 @@
 import math
 
 import numpy as np
-from conftest import ODD
+from odd import ODD
 from pyspark.sql import functions as F
 
 from viewlens.llm import language

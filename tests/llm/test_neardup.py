@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import ODD
+from odd import ODD
 from plain import components
 
 from viewlens.llm import neardup

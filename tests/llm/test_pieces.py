@@ -4,7 +4,7 @@ import random
 import public_tokenizers
 import pytest
 import sentencepiece
-from conftest import ODD
+from odd import ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import ODD
+from odd import ODD
 
 from viewlens.llm import quality_classifier as qc
 

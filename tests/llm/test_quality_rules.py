@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest import ODD
+from odd import ODD
 
 from viewlens.llm import quality_rules as rules
 
