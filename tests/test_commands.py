@@ -57,6 +57,27 @@ def test_all_commands(spark, tmp_path, capsys):
     assert "'loaded': 1" in capsys.readouterr().out
 
 
+def test_extended_events_sessions_and_retention(spark, tmp_path):
+    def event(day):
+        return {"user_id": "u", "movie_id": "m", "duration_seconds": 600, "event_type": "start",
+                "device": "mobile", "timestamp": f"2024-01-0{day}T00:00:00", "user_region": "eu",
+                "content_type": "movie", "bitrate": day}
+
+    source, tables = tmp_path / "in", str(tmp_path / "tables")
+    source.mkdir()
+    (source / "0.json").write_text("\n".join(json.dumps(event(d)) for d in (1, 2, 4)))
+    main(["stream", "--tables", tables, "--files", str(source), "--once", "--extended",
+          "--sessions", "--retention", "--checkpoints", str(tmp_path / "c")])
+    lake = spark.read.parquet(f"{tables}/lake").orderBy("bitrate").collect()
+    assert [(r["user_region"], r["content_type"], r["bitrate"]) for r in lake] == [
+        ("eu", "movie", d) for d in (1, 2, 4)
+    ]
+    sessions = spark.read.parquet(f"{tables}/user_metrics/metrics").collect()
+    assert sorted(r["session_seq_number"] for r in sessions) == [1, 2]
+    days = spark.read.parquet(f"{tables}/retention").collect()
+    assert sorted(r["event_date"].day for r in days) == [1, 2]
+
+
 def test_verify_fails_on_an_empty_table(spark, tmp_path):
     for name in ("user_views_processed", "movie_stats_realtime", "device_stats_realtime"):
         spark.sql(

@@ -2,7 +2,8 @@
 
 Tables live under one folder: lake, user_views, user_views_processed,
 user_views_fact, movie_stats_realtime, device_stats_realtime, daily_metrics,
-movie_popularity, business_metrics, kpi_metrics, alerts, reports.
+movie_popularity, business_metrics, kpi_metrics, alerts, reports, and on request
+user_metrics and retention.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import hourly_summary, load_summary, recent_events, require_tables
 from .plans import jobs
-from .schemas import VIEW_EVENT
+from .schemas import VIEW_EVENT, VIEW_EVENT_EXT
 from .session import build_session
 from .sinks import latest_rows, load_views, loaded_views
 from .sources import decode_events, kafka_stream, stream_json_lines
@@ -32,8 +33,9 @@ STATISTICS_KEYS = {
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    schema = VIEW_EVENT_EXT if args.extended else VIEW_EVENT
     if args.files:
-        events = stream_json_lines(spark, args.files, VIEW_EVENT)
+        events = stream_json_lines(spark, args.files, schema)
     else:
         events = decode_events(
             kafka_stream(
@@ -42,11 +44,18 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
                 topic=args.topic,
                 starting_offsets=args.starting_offsets,
                 max_offsets_per_trigger=args.max_offsets,
-            )
+            ),
+            schema,
         )
     trigger = {"availableNow": True} if args.once else {"processingTime": args.interval}
     queries = start_event_tables(
-        events, tables=args.tables, checkpoints=args.checkpoints, trigger=trigger
+        events,
+        tables=args.tables,
+        checkpoints=args.checkpoints,
+        trigger=trigger,
+        sessions=args.sessions,
+        retention=args.retention,
+        database={"url": args.database} if args.database else None,
     )
     try:
         if args.once:
@@ -129,6 +138,10 @@ def main(argv: list[str] | None = None) -> None:
     streaming.add_argument("--max-offsets", type=int)
     streaming.add_argument("--checkpoints", required=True)
     streaming.add_argument("--interval", default="1 minute")
+    streaming.add_argument("--extended", action="store_true", help="events with nine fields")
+    streaming.add_argument("--sessions", action="store_true", help="also fill user_metrics")
+    streaming.add_argument("--retention", action="store_true", help="also fill retention")
+    streaming.add_argument("--database", help="JDBC URL of a database to append to as well")
     streaming.add_argument("--once", action="store_true", help="stop at the end of the input")
 
     args = parser.parse_args(argv)

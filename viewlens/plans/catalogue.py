@@ -149,15 +149,18 @@ def decoded_events(s: Source) -> DataFrame:
     return decode_events(s.messages())
 
 
+def _extended_fields() -> dict[str, Column]:
+    number = F.col("event_id")
+    return {
+        "user_region": F.when(number % 3 == 0, "eu").when(number % 3 == 1, "us").otherwise("asia"),
+        "content_type": F.when(number % 2 == 0, "movie").otherwise("series"),
+        "bitrate": (1000 + number % 5000).cast("int"),
+    }
+
+
 @_query
 def decoded_events_ext(s: Source) -> DataFrame:
-    number = F.col("event_id")
-    region = F.when(number % 3 == 0, "eu").when(number % 3 == 1, "us").otherwise("asia")
-    extra = [
-        region.alias("user_region"),
-        F.when(number % 2 == 0, "movie").otherwise("series").alias("content_type"),
-        (1000 + number % 5000).alias("bitrate"),
-    ]
+    extra = [column.alias(name) for name, column in _extended_fields().items()]
     return decode_events(s.messages(*extra), VIEW_EVENT_EXT)
 
 
@@ -261,6 +264,13 @@ def lake_stream(s: Source) -> DataFrame:
     return lake.select(*VIEW_EVENT.fieldNames(), "original_timestamp", "session_id")
 
 
+@_query
+def lake_stream_ext(s: Source) -> DataFrame:
+    """Events with nine fields, all columns of the lake."""
+    lake = s.stream_to(s.stream.withColumns(_extended_fields()), lake_writer)
+    return lake.drop("batch_id", "processing_date")
+
+
 @_query
 def processed_stream(s: Source) -> DataFrame:
     return s.stream_to(s.stream, processed_writer).drop("batch_id", "processing_date")
@@ -547,6 +557,12 @@ def top_movies_chart(s: Source) -> DataFrame:
     return ops.top_movies_chart(ops.movie_window_stats(s.views, window="1 hour"))
 
 
+@_query
+def top_movies_chart_stored(s: Source) -> DataFrame:
+    """The chart over the stored log of a stream, through its latest rows."""
+    return ops.top_movies_chart(movie_stats_stream(s))
+
+
 # -- quality ------------------------------------------------------------------
 
 

@@ -337,6 +337,11 @@ GROUP BY movie_id ORDER BY view_count DESC, movie_id NULLS LAST LIMIT 10""",
 
 
 _BODIES |= {
+    "top_movies_chart_stored": _BODIES["top_movies_chart"],
+    "lake_stream_ext": f"""{_BODIES["processed_events"].rsplit(" FROM v", 1)[0]},
+  CASE event_id % 3 WHEN 0 THEN 'eu' WHEN 1 THEN 'us' ELSE 'asia' END AS user_region,
+  CASE event_id % 2 WHEN 0 THEN 'movie' ELSE 'series' END AS content_type,
+  CAST(1000 + event_id % 5000 AS INTEGER) AS bitrate FROM v""",
     "past_hour_stats": _closed(_BODIES["last_hour_stats"]),
     "past_hourly_summary": _closed(_BODIES["hourly_summary"]),
     "past_last_day": _closed(_BODIES["fact_last_day"]),

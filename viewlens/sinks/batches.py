@@ -8,7 +8,8 @@ itself.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,19 @@ from .tables import append_run
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch, kept while it is used unless whoever hands it over does that."""
+    if batch.is_cached:
+        yield batch
+        return
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def lake_writer(path: str) -> BatchWriter:
     """All columns of enriched events to the lake, by arrival date."""
     return _event_writer(path, with_arrival_date, ARRIVAL_DATE)
@@ -48,17 +62,14 @@ def _event_writer(path: str, transform, partition_by: str) -> BatchWriter:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            if not kept.isEmpty():
+        with kept(batch) as rows:
+            if not rows.isEmpty():
                 (
-                    transform(kept)
+                    transform(rows)
                     .write.mode("overwrite")
                     .partitionBy(partition_by)
                     .parquet(f"{path}/batch_id={batch_id}")
                 )
-        finally:
-            kept.unpersist()
 
     return write
 
@@ -73,15 +84,12 @@ def update_log_writer(path: str, *, rows_per_file: int = 1_000_000) -> BatchWrit
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            rows = kept.count()
-            if rows:
-                most = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-                files = max(1, min(most, math.ceil(rows / rows_per_file)))
-                append_run(kept.repartition(files), path, batch_id, key="batch_id")
-        finally:
-            kept.unpersist()
+        with kept(batch) as rows:
+            n = rows.count()
+            if n:
+                most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                files = max(1, min(most, math.ceil(n / rows_per_file)))
+                append_run(rows.repartition(files), path, batch_id, key="batch_id")
 
     return write
 
@@ -98,14 +106,11 @@ def jdbc_writer(
     options = connection | {"numPartitions": str(max_connections)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            if not kept.isEmpty():
-                rows = transform(kept) if transform else kept
-                rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                rows.write.format("jdbc").options(**options).mode("append").save()
-        finally:
-            kept.unpersist()
+        with kept(batch) as rows:
+            if not rows.isEmpty():
+                stored = transform(rows) if transform else rows
+                stored = stored.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                stored.write.format("jdbc").options(**options).mode("append").save()
 
     return write
 
@@ -118,11 +123,8 @@ def fan_out(*writers: BatchWriter) -> BatchWriter:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
+        with kept(batch) as rows:
             for writer in writers:
-                writer(kept, batch_id)
-        finally:
-            kept.unpersist()
+                writer(rows, batch_id)
 
     return write

@@ -7,15 +7,23 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import device_window_stats, enrich_events, movie_window_stats
+from ..operators import (
+    device_window_stats,
+    enrich_events,
+    movie_window_stats,
+    processed_columns,
+)
 from ..sinks.batches import (
     BatchWriter,
     fact_writer,
     fan_out,
+    jdbc_writer,
     lake_writer,
     processed_writer,
     update_log_writer,
 )
+from .retention import retention_stream
+from .sessions import user_metrics_writer
 
 EVENT_TABLES = {
     "lake": lake_writer,
@@ -78,27 +86,49 @@ def start_event_tables(
     checkpoints: str,
     trigger: dict | None = None,
     event_tables: Sequence[str] = ("lake", "user_views_processed"),
+    sessions: bool = False,
+    retention: bool = False,
+    database: dict[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Raw view events to event tables and to both statistics tables.
 
     The event tables share one read of the source. Add ``user_views_fact`` only
     where no rollup job fills that table. Statistics are logs of updates: read
-    them through ``latest_rows``.
+    them through ``latest_rows``. ``sessions`` and ``retention`` add the tables
+    user_metrics and retention. With ``database``, JDBC options without a table
+    name, processed events and statistics also go to tables of these names there.
     """
     enriched = enrich_events(events)
+
+    def also_stored(writer: BatchWriter, table: str, transform=None) -> BatchWriter:
+        if database is None:
+            return writer
+        connection = database | {"dbtable": table}
+        return fan_out(writer, jdbc_writer(connection, transform=transform))
+
     write_events = fan_out(*[EVENT_TABLES[t](f"{tables}/{t}") for t in event_tables])
+    write_events = also_stored(write_events, "user_views_processed", processed_columns)
 
     def begin(df: DataFrame, writer: BatchWriter, name: str, mode: str) -> StreamingQuery:
         checkpoint = f"{checkpoints}/{name}"
         return start(df, writer, checkpoint=checkpoint, mode=mode, name=name, trigger=trigger)
 
-    movie_log = update_log_writer(f"{tables}/movie_stats_realtime")
-    device_log = update_log_writer(f"{tables}/device_stats_realtime")
-    return [
+    def log(table: str) -> BatchWriter:
+        return also_stored(update_log_writer(f"{tables}/{table}"), table)
+
+    movies, devices = movie_window_stats(enriched), device_window_stats(enriched)
+    queries = [
         begin(enriched, write_events, "event_tables", "append"),
-        begin(movie_window_stats(enriched), movie_log, "movie_stats", "update"),
-        begin(device_window_stats(enriched), device_log, "device_stats", "update"),
+        begin(movies, log("movie_stats_realtime"), "movie_stats", "update"),
+        begin(devices, log("device_stats_realtime"), "device_stats", "update"),
     ]
+    if sessions:
+        writer = user_metrics_writer(f"{tables}/user_metrics")
+        queries.append(begin(enriched, writer, "user_metrics", "append"))
+    if retention:
+        writer = update_log_writer(f"{tables}/retention")
+        queries.append(begin(retention_stream(enriched), writer, "retention", "append"))
+    return queries
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
