@@ -193,7 +193,9 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: str, size: int = SAMPLE) ->
     spark = docs.sparkSession
     labelled_sample(docs, labels, size).write.mode("overwrite").parquet(scratch)
     sample = spark.read.schema("doc_id long, label int, text string").parquet(scratch)
-    sample = sample.repartition(GATHERERS, "doc_id")
+    # By rows, not by key: the number of tasks bounds what the driver gets. The sums
+    # are of ones, so they do not depend on which rows meet.
+    sample = sample.repartition(GATHERERS)
 
     def gather(batches):
         import pyarrow as pa
@@ -214,9 +216,9 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: str, size: int = SAMPLE) ->
     pooled = add_columns(sample, "text", "pooled array<double>", factory, ("doc_id", "label"))
     rows = sorted(pooled.collect(), key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
     if not rows:
-        x, y = np.zeros((1, Pooling.width)), np.ones(1)
-    else:
-        x, y = np.array([r["pooled"] for r in rows]), np.array([r["label"] for r in rows], float)
+        nothing = (np.zeros((Pooling.width, 1)), np.zeros(1), np.zeros(1), 0.0)
+        return Model(words, np.zeros(Pooling.width), np.ones(Pooling.width), nothing, 1.0)
+    x, y = np.array([r["pooled"] for r in rows]), np.array([r["label"] for r in rows], float)
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = (x - center) / scale
     apart = len(y) // 5

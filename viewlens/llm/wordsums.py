@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 
 #: Bytes of words that are remembered; beyond it they are forgotten and begun anew.
-REMEMBERED_BYTES = 16 << 20
+REMEMBERED_BYTES = 8 << 20
 #: Words whose vectors are added up at once.
 WORDS = 1 << 15
 
