@@ -147,20 +147,23 @@ def scan_licences(
     together; a null doc_id is an id like others.
 
     Lines are counted and matched before the only shuffle, which carries one row
-    for each document of a task. The join is a plain equi-join: Spark broadcasts
-    the known digests only if they are under its threshold.
+    for each document of a task. The digests of a sequence, which the caller holds
+    in memory, are broadcast; those of a table only if Spark finds them under its
+    threshold, else lines are shuffled by digest.
     """
     spark = docs.sparkSession
     digests = known_digests(spark, known)
+    if not isinstance(known, DataFrame):
+        digests = F.broadcast(digests)
     lines = docs.select(F.col(doc_id).alias("doc_id"), canonical_lines(F.col(text)).alias("lines"))
-    units = lines.select(  # one row a line
+    units = lines.select(
         "doc_id",
         digest(F.array_join("lines", " ")).alias("digest"),
-        F.explode_outer("lines").alias("line"),
-    ).withColumn("line_digest", digest(F.col("line")))
+        F.explode_outer(F.transform("lines", digest)).alias("line_digest"),
+    )
     found = units.join(digests, F.col("line_digest") == F.col("known_digest"), "left")
     documents = found.groupBy("doc_id", "digest").agg(
-        F.count("line").alias("n_lines"), F.collect_set("license_id").alias("ids")
+        F.count("line_digest").alias("n_lines"), F.collect_set("license_id").alias("ids")
     )
     whole = digests.select(F.col("known_digest").alias("digest"), "license_id")
     return documents.join(whole, "digest", "left").select(
