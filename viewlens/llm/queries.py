@@ -6,14 +6,18 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
     chat,
     decontaminate,
+    extract,
     language,
     licences,
+    manifest,
     neardup,
+    negatives,
     pieces,
     quality_classifier,
     quality_rules,
@@ -88,6 +92,28 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(spark.read.schema(windows.schema).parquet(path))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = embeddings.select("vec_id", moved.alias("label"), "embedding")
+    path = scratch_dir(spark, "negatives")
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, path)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return manifest.verify_rows(documents, scratch_dir(spark, "manifest"), even, changed)
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = extract.extract_text(pages, scratch_dir(spark, "html-paths"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def piece_model(path: str | None = None) -> bytes:
     """Content of a SentencePiece model file, by default the public one."""
     if path is None:
