@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from viewlens.__main__ import main
-from viewlens.sinks import latest_rows
+from viewlens.streaming import statistics_table
 
 NOW = datetime(2024, 1, 10, 12, 30)
 
@@ -27,10 +27,8 @@ def test_all_commands(spark, tmp_path, capsys):
 
     run("stream", "--files", str(source), "--checkpoints", str(tmp_path / "c"), "--once")
     assert spark.read.parquet(f"{tables}/lake").count() == 21
-    stats = latest_rows(
-        spark.read.parquet(f"{tables}/movie_stats_realtime"),
-        ["window_start", "window_end", "movie_id"],
-    )
+    run("compact")
+    stats = statistics_table(f"{tables}/movie_stats_realtime", "movie_stats_realtime").read(spark)
     assert stats.groupBy().sum("view_count").first()[0] == 20
 
     run("rollup", "--approximate")

@@ -12,6 +12,7 @@ from viewlens import operators as ops
 from viewlens import streaming
 from viewlens.schemas import VIEW_EVENT
 from viewlens.sinks import lake_writer, latest_rows, update_log_writer
+from viewlens.sinks.storage import read_note
 from viewlens.sources import stream_json_lines
 
 START = datetime(2024, 1, 1)
@@ -148,7 +149,7 @@ def disorderly_batches(seed):
     ]
 
 
-@pytest.mark.parametrize("options", [{}, {"snapshot_every": 2}])
+@pytest.mark.parametrize("options", [{}, {"compact_every": 2}])
 def test_sessions_equal_batch(spark, folder, tmp_path, options):
     bad = event("a", 1) | {"timestamp": "soon"}
     batches = disorderly_batches(3)
@@ -204,8 +205,126 @@ def test_sessions_survive_a_replay_and_count_late_rows(spark, tmp_path):
     ]
     assert got == [("a", "0", None, 1), ("a", "70", 4200, 2), ("a", "131", 3660, 3),
                    ("b", "10", None, 1)]
-    progress = spark.read.parquet(f"{root}/progress").orderBy("batch_id").collect()
-    assert [r["late_rows"] for r in progress] == [0, 0, 1, 0]
+    progress = [read_note(spark, f"{root}/progress", n) for n in (0, 2, 4, 6)]
+    assert [note["late_rows"] for note in progress] == [0, 0, 1, 0]
+
+
+def test_flush_gives_out_the_rest_and_the_stream_goes_on(spark, folder, tmp_path):
+    batches = disorderly_batches(6)
+    root = str(tmp_path / "s")
+    path = folder(*batches[:3])
+    assert not streaming.flush_user_metrics(spark, root)
+    run_sessions(spark, path, root, compact_every=2)
+    before = streaming.user_metrics_result(spark, root).count()
+    assert streaming.flush_user_metrics(spark, root)
+    assert not streaming.flush_user_metrics(spark, root)
+    result = streaming.user_metrics_result(spark, root)
+    expected = ops.user_metrics(batch_of(spark, path).select(*COLUMNS))
+    assert before < result.count() == expected.count() and frame(result) == frame(expected)
+    totals = {r["part"]: r["n"] for r in streaming.user_metrics_totals(spark, root).collect()}
+    assert totals == {"given_out": 93, "waiting": 0}
+
+    # Rows older than the flushed ones are late now, newer ones continue the sessions.
+    last = max(e["timestamp"] for b in batches[:3] for e in b)
+    folder([e for e in batches[3] if e["timestamp"] > last] + [event("a", 0)], batches[4])
+    result = run_sessions(spark, path, root, compact_every=2)
+    streaming.flush_user_metrics(spark, root)
+    result = streaming.user_metrics_result(spark, root)
+    timely = batch_of(spark, path).where(
+        (F.col("original_timestamp") > F.lit(START)) | (F.input_file_name().rlike("0000"))
+    )
+    assert frame(result) == frame(ops.user_metrics(timely.select(*COLUMNS)))
+    totals = {r["part"]: r["n"] for r in streaming.user_metrics_totals(spark, root).collect()}
+    assert totals["late"] == 1 and totals["waiting"] == 0
+
+
+def test_state_is_read_by_bucket(spark, tmp_path):
+    from viewlens.streaming.sessions import session_users, with_bucket
+
+    users = session_users(str(tmp_path))
+    many = spark.range(3000).selectExpr(
+        "concat('u', id) as user_id", "timestamp'2024-01-01' as last_time", "id as last_seq"
+    )
+    for step in (0, 1):
+        users.append(with_bucket(many), step)
+        users.compact(spark)
+    few = with_bucket(many.where("user_id = 'u7'"))
+    state = users.read_partitions(spark, few)
+    assert state.where("user_id = 'u7'").first()["last_seq"] == 7
+    assert 1 < state.count() < 60
+    from helpers import explain
+
+    assert "dynamicpruning" in explain(state)
+
+
+# -- late rows ----------------------------------------------------------------
+
+
+def late_batches(seed):
+    """Five batches; some rows come two batches after their time."""
+    batches = [list(b) for b in random_batches(seed, batches=5)]
+    for i in range(3):
+        batches[i + 2] += batches[i][::7]
+        del batches[i][::7]
+    return batches
+
+
+@pytest.mark.parametrize("window", ["1 minute", "1 hour", "1 day"])
+def test_statistics_and_late_rows_equal_batch(spark, folder, tmp_path, window):
+    path = folder(*late_batches(7))
+    keys = {"movie_id": ops.movie_window_stats, "device": ops.device_window_stats}
+    for key, stats in keys.items():
+        totals = streaming.WindowTotals(str(tmp_path / key), key, window=window)
+        stream = stream_of(spark, path)
+        streaming.run_to_end(stream, totals.writer(compact_every=2), checkpoint=str(tmp_path / f"{key}-c"))
+        expected = stats(batch_of(spark, path), window=window)
+        on_time = totals.statistics(spark, corrected=False).select(*expected.columns)
+        if window != "1 day":
+            assert frame(on_time) != frame(expected)
+            late = totals.late_rows(spark)
+            assert late.count() + totals.on_time.read(spark).agg(F.sum("n_rows")).first()[0] == 200
+            assert totals.correct(spark) > 0
+        assert totals.correct(spark) == 0
+        for _ in range(2):
+            assert frame(totals.statistics(spark).select(*expected.columns)) == frame(expected)
+            totals.compact(spark)
+
+        # What a stateful query shows without its late rows is the same.
+        log = str(tmp_path / f"{key}-log")
+        streaming.run_to_end(
+            stats(stream_of(spark, path), window=window), update_log_writer(log),
+            checkpoint=str(tmp_path / f"{key}-c2"), mode="update",
+        )
+        latest = latest_rows(spark.read.parquet(log), ["window_start", "window_end", key])
+        assert frame(latest) == frame(on_time)
+
+
+def test_window_totals_survive_a_replay(spark, tmp_path):
+    def batch(*minutes):
+        rows = [event("a", m) for m in minutes]
+        return enriched(spark.createDataFrame([tuple(r.values()) for r in rows], VIEW_EVENT))
+
+    totals = streaming.WindowTotals(str(tmp_path), "movie_id")
+    write = totals.writer(compact_every=2)
+    for number, rows in enumerate([batch(0, 0), batch(50), batch(50), batch(0, 51), batch(1, 52)]):
+        write(rows, number)
+        write(rows, number)
+        totals.correct(spark)
+    assert totals.late_rows(spark).count() == 2
+    found = totals.statistics(spark).orderBy("window_start").collect()
+    assert [r["view_count"] for r in found] == [3, 1, 2, 1, 1]
+    nothing = batch(0).where("false")
+    write(nothing, 5)
+    assert totals.statistics(spark).count() == 5
+
+
+def test_retention_with_late_rows(spark, folder, tmp_path):
+    path = folder(*late_batches(8))
+    starts = streaming.start_totals(str(tmp_path / "t"))
+    streaming.run_to_end(stream_of(spark, path), starts.writer(), checkpoint=str(tmp_path / "c"))
+    starts.correct(spark)
+    expected = ops.retention(batch_of(spark, path))
+    assert frame(streaming.retention_of(starts.totals(spark))) == frame(expected)
 
 
 # -- running queries ----------------------------------------------------------
@@ -232,9 +351,8 @@ def test_event_tables_and_restart(spark, folder, tmp_path):
     run()
     assert spark.read.parquet(f"{tables}/lake").count() == 160
     assert spark.read.parquet(f"{tables}/user_views_processed").count() == 160
-    for name, key in (("movie", "movie_id"), ("device", "device")):
-        log = spark.read.parquet(f"{tables}/{name}_stats_realtime")
-        latest = latest_rows(log, ["window_start", "window_end", key])
+    for name in ("movie_stats_realtime", "device_stats_realtime"):
+        latest = streaming.statistics_table(f"{tables}/{name}", name).read(spark)
         with_user = sum(e["user_id"] is not None for b in batches for e in b)
         assert latest.agg(F.sum("view_count")).first()[0] == with_user
 

@@ -3,7 +3,7 @@
 Tables live under one folder: lake, user_views, user_views_processed,
 user_views_fact, movie_stats_realtime, device_stats_realtime, daily_metrics,
 movie_popularity, business_metrics, kpi_metrics, alerts, reports, and on request
-user_metrics and retention.
+user_metrics, retention, movie_totals, device_totals and start_totals.
 """
 
 from __future__ import annotations
@@ -17,19 +17,24 @@ from .operators import hourly_summary, load_summary, recent_events, require_tabl
 from .plans import jobs
 from .schemas import VIEW_EVENT, VIEW_EVENT_EXT
 from .session import build_session
-from .sinks import latest_rows, load_views, loaded_views
+from .sinks import load_views, loaded_views
 from .sources import decode_events, kafka_stream, stream_json_lines
-from .streaming import await_any, start_event_tables, stop_all
+from .streaming import (
+    WindowTotals,
+    await_any,
+    flush_user_metrics,
+    start_event_tables,
+    start_totals,
+    statistics_table,
+    stop_all,
+)
 
 KEPT_TABLES = {
     "user_views_processed": "processing_timestamp",
     "movie_stats_realtime": "window_end",
     "device_stats_realtime": "window_end",
 }
-STATISTICS_KEYS = {
-    "movie_stats_realtime": ["window_start", "window_end", "movie_id"],
-    "device_stats_realtime": ["window_start", "window_end", "device"],
-}
+STATISTICS = ("movie_stats_realtime", "device_stats_realtime")
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -55,6 +60,7 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         trigger=trigger,
         sessions=args.sessions,
         retention=args.retention,
+        corrections=args.corrections,
         database={"url": args.database} if args.database else None,
     )
     try:
@@ -65,6 +71,27 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
             await_any(spark)
     finally:
         stop_all(queries)
+    if args.sessions and args.flush:
+        flush_user_metrics(spark, f"{args.tables}/user_metrics")
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Folds the updates of the statistics; for streams that are stopped."""
+    for name in STATISTICS:
+        table = statistics_table(f"{args.tables}/{name}", name)
+        print(name, "folded" if table.compact(spark) else "has no updates")
+        table.vacuum(spark)
+
+
+def correct(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Merges late rows into their windows."""
+    totals = [
+        WindowTotals(f"{args.tables}/movie_totals", "movie_id"),
+        WindowTotals(f"{args.tables}/device_totals", "device"),
+        start_totals(f"{args.tables}/start_totals"),
+    ]
+    for total in totals:
+        print(total.key, total.correct(spark), "batches with late rows")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -103,9 +130,9 @@ def monitor(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = {name: _table(spark, args, name) for name in KEPT_TABLES}
-    for name, keys in STATISTICS_KEYS.items():
-        tables[name] = latest_rows(tables[name], keys)
+    tables = {"user_views_processed": _table(spark, args, "user_views_processed")}
+    for name in STATISTICS:
+        tables[name] = statistics_table(f"{args.tables}/{name}", name).read(spark)
     require_tables(tables, time_cols=KEPT_TABLES).show(truncate=False)
     hourly_summary(tables["user_views_processed"], as_of=args.as_of).show()
 
@@ -114,7 +141,10 @@ def _table(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFram
     return spark.read.parquet(f"{args.tables}/{name}")
 
 
-COMMANDS = {f.__name__: f for f in (stream, load, rollup, metrics, report, monitor, verify)}
+COMMANDS = {
+    f.__name__: f
+    for f in (stream, compact, correct, load, rollup, metrics, report, monitor, verify)
+}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -141,6 +171,10 @@ def main(argv: list[str] | None = None) -> None:
     streaming.add_argument("--extended", action="store_true", help="events with nine fields")
     streaming.add_argument("--sessions", action="store_true", help="also fill user_metrics")
     streaming.add_argument("--retention", action="store_true", help="also fill retention")
+    streaming.add_argument("--corrections", action="store_true", help="also keep late rows")
+    streaming.add_argument(
+        "--flush", action="store_true", help="at the end give out the events that wait"
+    )
     streaming.add_argument("--database", help="JDBC URL of a database to append to as well")
     streaming.add_argument("--once", action="store_true", help="stop at the end of the input")
 

@@ -19,11 +19,29 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream."""
-    return (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+def stream_events(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of events as a file stream."""
+    return spark.readStream.schema(EVENTS).parquet(path)
+
+
+SLICES = 5
+
+
+def event_slices(spark: SparkSession, sf_dir: str, *, late: bool = False) -> list[DataFrame]:
+    """The table cut into time ranges of equal length, as a stream would bring it.
+
+    With ``late`` every 50th event comes two ranges after its own.
+    """
+    events = read_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    if first is None:
+        return [events] * SLICES
+    number = F.expr(f"(unix_micros(cast(ts as timestamp)) - {first}) * {SLICES} div {last - first + 1}")
+    if late:
+        number = number + F.when(F.col("event_id") % 50 == 7, 2).otherwise(0)
+    number = F.least(number, F.lit(SLICES - 1))
+    return [events.where(number == i) for i in range(SLICES)]
 
 
 def _one_of(column: Column, values: dict, default: str) -> Column:

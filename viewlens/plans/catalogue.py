@@ -15,12 +15,14 @@ from .. import operators as ops
 from ..schemas import SIMPLE_EVENT, USER_VIEWS, VIEW_EVENT, VIEW_EVENT_EXT
 from ..session import scratch_dir
 from ..sinks import (
+    LayeredTable,
     classify_views,
     conform,
     create_table,
     fact_writer,
     lake_writer,
     latest_rows,
+    layered_writer,
     load_views,
     loaded_views,
     processed_writer,
@@ -37,7 +39,12 @@ from ..sources import (
     sample_json_lines,
 )
 from ..streaming import (
+    WindowTotals,
+    flush_user_metrics,
+    retention_of,
     run_to_end,
+    start_totals,
+    statistics_table,
     user_metrics_result,
     user_metrics_totals,
     user_metrics_writer,
@@ -71,9 +78,13 @@ class Source:
         """Ten days before the newest row."""
         return self.now - F.expr("INTERVAL 10 DAYS")
 
-    @property
-    def stream(self) -> DataFrame:
-        return fixtures.enriched_views(fixtures.stream_events(self.spark, self.sf_dir))
+    def run_stream(self, root: str, transform, writer, mode: str = "append", late=False) -> None:
+        """Runs a stream over the events, one micro-batch and restart for each time range."""
+        arrived = f"{root}/arrived"
+        for events in fixtures.event_slices(self.spark, self.sf_dir, late=late):
+            events.write.mode("append").parquet(arrived)
+            views = fixtures.enriched_views(fixtures.stream_events(self.spark, arrived))
+            run_to_end(transform(views), writer, checkpoint=f"{root}/checkpoint", mode=mode)
 
     def messages(self, *extra: Column) -> DataFrame:
         return encode_events(self.raw.select(*VIEW_EVENT.fieldNames(), *extra))
@@ -84,11 +95,11 @@ class Source:
     def read(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
 
-    def stream_to(self, df: DataFrame, make_writer, mode: str = "append") -> DataFrame:
+    def stream_to(self, transform, make_writer, mode: str = "append") -> DataFrame:
         """Runs a stream into a new table and reads it back with its batch_id."""
         root = self.scratch("stream")
         table = f"{root}/table"
-        run_to_end(df, make_writer(table), checkpoint=f"{root}/checkpoint", mode=mode)
+        self.run_stream(root, transform, make_writer(table), mode)
         return self.read(table)
 
     def json_lines(self, *, broken: bool = False) -> str:
@@ -241,44 +252,117 @@ def device_stats_1h(s: Source) -> DataFrame:
     return ops.device_window_stats(s.views, window="1 hour")
 
 
+#: Processing times lag event times by up to 15 minutes, so no row comes later than this.
+ON_TIME = "20 minutes"
+
+
+def _stored_statistics(s: Source, name: str, stats, window: str) -> LayeredTable:
+    """Statistics of a stream in their table, folded after every second micro-batch."""
+    root = s.scratch("stream")
+    table = statistics_table(f"{root}/table", name)
+    s.run_stream(
+        root,
+        lambda views: stats(views, window=window, watermark=ON_TIME),
+        layered_writer(table, compact_every=2),
+        mode="update",
+    )
+    return table
+
+
 @_query
 def movie_stats_stream(s: Source) -> DataFrame:
-    stats = ops.movie_window_stats(s.stream, window="1 hour")
-    log = s.stream_to(stats, update_log_writer, mode="update")
-    return latest_rows(log, ["window_start", "window_end", "movie_id"])
+    table = _stored_statistics(s, "movie_stats_realtime", ops.movie_window_stats, "1 minute")
+    return table.read(s.spark).drop("day")
 
 
 @_query
 def device_stats_stream(s: Source) -> DataFrame:
-    stats = ops.device_window_stats(s.stream, window="1 hour")
-    log = s.stream_to(stats, update_log_writer, mode="update")
-    return latest_rows(log, ["window_start", "window_end", "device"])
+    table = _stored_statistics(s, "device_stats_realtime", ops.device_window_stats, "1 hour")
+    return table.read(s.spark).drop("day")
+
+
+@_query
+def movie_stats_log(s: Source) -> DataFrame:
+    """The same through a log of updates that is never folded."""
+    log = s.stream_to(
+        lambda views: ops.movie_window_stats(views, window="1 day", watermark=ON_TIME),
+        update_log_writer,
+        mode="update",
+    )
+    return latest_rows(log, ["window_start", "window_end", "movie_id"])
+
+
+def _window_totals(s: Source, totals: WindowTotals, *, late: bool = True) -> WindowTotals:
+    """Totals of a stream in which some rows come two micro-batches late, corrected twice."""
+    s.run_stream(totals.root, lambda views: views, totals.writer(compact_every=4), late=late)
+    totals.correct(s.spark)
+    totals.compact(s.spark)
+    totals.correct(s.spark)
+    return totals
+
+
+@_query
+def movie_stats_on_time(s: Source) -> DataFrame:
+    """Window statistics without the rows that came late, as a stateful query shows them."""
+    totals = _window_totals(s, WindowTotals(s.scratch("totals"), "movie_id"))
+    return totals.statistics(s.spark, corrected=False)
+
+
+@_query
+def movie_stats_corrected(s: Source) -> DataFrame:
+    """The same with late rows merged into their windows."""
+    totals = _window_totals(s, WindowTotals(s.scratch("totals"), "movie_id"))
+    return totals.statistics(s.spark)
+
+
+@_query
+def device_stats_corrected(s: Source) -> DataFrame:
+    totals = WindowTotals(s.scratch("totals"), "device", window="1 hour")
+    return _window_totals(s, totals).statistics(s.spark).drop("total_watch_time")
+
+
+@_query
+def late_rows(s: Source) -> DataFrame:
+    """The side table of the rows that came after their window was closed."""
+    totals = _window_totals(s, WindowTotals(s.scratch("totals"), "movie_id"))
+    return totals.late_rows(s.spark).select("event_id", "movie_id", "processing_timestamp", "batch_id")
+
+
+@_query
+def retention_corrected(s: Source) -> DataFrame:
+    """Retention from starts per day and user, late ones included."""
+    totals = _window_totals(s, start_totals(s.scratch("totals")))
+    return retention_of(totals.totals(s.spark))
 
 
 # -- event tables filled by a stream ------------------------------------------
 
 
+def _same(views: DataFrame) -> DataFrame:
+    return views
+
+
 @_query
 def lake_stream(s: Source) -> DataFrame:
-    lake = s.stream_to(s.stream, lake_writer)
+    lake = s.stream_to(_same, lake_writer)
     return lake.select(*VIEW_EVENT.fieldNames(), "original_timestamp", "session_id")
 
 
 @_query
 def lake_stream_ext(s: Source) -> DataFrame:
     """Events with nine fields, all columns of the lake."""
-    lake = s.stream_to(s.stream.withColumns(_extended_fields()), lake_writer)
+    lake = s.stream_to(lambda views: views.withColumns(_extended_fields()), lake_writer)
     return lake.drop("batch_id", "processing_date")
 
 
 @_query
 def processed_stream(s: Source) -> DataFrame:
-    return s.stream_to(s.stream, processed_writer).drop("batch_id", "processing_date")
+    return s.stream_to(_same, processed_writer).drop("batch_id", "processing_date")
 
 
 @_query
 def fact_stream(s: Source) -> DataFrame:
-    return s.stream_to(s.stream, fact_writer).drop("batch_id")
+    return s.stream_to(_same, fact_writer).drop("batch_id")
 
 
 # -- sessions and retention ---------------------------------------------------
@@ -313,20 +397,29 @@ def user_metrics_split(s: Source) -> DataFrame:
     return metrics.select(*SESSION_COLUMNS)
 
 
+def _session_stream(s: Source, *, late: bool = False) -> str:
+    """Session metrics of a stream that has ended and given out what waited."""
+    root = s.scratch("user-metrics")
+    writer = user_metrics_writer(root, tie_col="place", compact_every=2)
+    s.run_stream(root, _session_events, writer, late=late)
+    flush_user_metrics(s.spark, root, tie_col="place")
+    return root
+
+
 @_query
 def user_metrics_stream(s: Source) -> DataFrame:
-    root = s.scratch("user-metrics")
-    writer = user_metrics_writer(root, tie_col="place")
-    run_to_end(_session_events(s.stream), writer, checkpoint=f"{root}/checkpoint")
-    return user_metrics_result(s.spark, root).select(*SESSION_COLUMNS)
+    return user_metrics_result(s.spark, _session_stream(s)).select(*SESSION_COLUMNS)
+
+
+@_query
+def user_metrics_stream_late(s: Source) -> DataFrame:
+    """The same where some events come too late; those get no session."""
+    return user_metrics_result(s.spark, _session_stream(s, late=True)).select(*SESSION_COLUMNS)
 
 
 @_query
 def user_metrics_stream_totals(s: Source) -> DataFrame:
-    root = s.scratch("user-metrics")
-    writer = user_metrics_writer(root, tie_col="place")
-    run_to_end(_session_events(s.stream), writer, checkpoint=f"{root}/checkpoint")
-    return user_metrics_totals(s.spark, root)
+    return user_metrics_totals(s.spark, _session_stream(s, late=True))
 
 
 @_query
@@ -336,7 +429,7 @@ def retention(s: Source) -> DataFrame:
 
 @_query
 def retention_stream(s: Source) -> DataFrame:
-    return s.stream_to(streaming.retention_stream(s.stream), update_log_writer).drop("batch_id")
+    return s.stream_to(streaming.retention_stream, update_log_writer).drop("batch_id")
 
 
 @_query

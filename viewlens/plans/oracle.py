@@ -45,13 +45,13 @@ _AFFECTED = f"""(SELECT DISTINCT event_date FROM v
   WHERE processing_timestamp >= {_NOW} - INTERVAL '1' DAY AND event_date IS NOT NULL)"""
 
 
-def _movie_windows(unit: str) -> str:
+def _movie_windows(unit: str, source: str = "v") -> str:
     return f"""SELECT date_trunc('{unit}', processing_timestamp) AS window_start,
   date_trunc('{unit}', processing_timestamp) + INTERVAL '1' {unit} AS window_end,
   movie_id, count(user_id) AS view_count,
   CAST(sum(duration_seconds) AS BIGINT) AS total_watch_time,
   avg(duration_seconds) AS avg_watch_time
-FROM v GROUP BY 1, 2, 3"""
+FROM {source} GROUP BY 1, 2, 3"""
 
 
 def _device_windows(unit: str) -> str:
@@ -83,6 +83,32 @@ FROM (
 ) c"""
 
 
+# Time ranges in which the events reach a stream; some come two ranges later.
+def _arrivals(time: str, back: int) -> str:
+    """v with the number of its range and the latest time up to ``back`` ranges before, less a minute."""
+    late = "CASE WHEN event_id % 50 = 7 THEN 2 ELSE 0 END"
+    return f"""(SELECT a.*, closed FROM (
+  SELECT v.*, CAST(least(4, (epoch_us(ts) - first) * 5 // (last - first + 1) + {late}) AS INTEGER)
+    AS arrival
+  FROM (SELECT *, processing_timestamp - to_seconds(event_id % 900) AS ts FROM v) v,
+       (SELECT min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last FROM events) bounds
+) a JOIN (
+  SELECT arrival, max(latest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING
+                                    AND {back} PRECEDING) - INTERVAL '1' MINUTE AS closed
+  FROM (SELECT least(4, (epoch_us(ts) - first) * 5 // (last - first + 1) + {late}) AS arrival,
+          max({time}) AS latest
+        FROM (SELECT *, processing_timestamp - to_seconds(event_id % 900) AS ts FROM v) v,
+             (SELECT min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last FROM events) bounds
+        GROUP BY 1) r
+) h ON h.arrival = a.arrival)"""
+
+
+_LAGGED = _arrivals("processing_timestamp", 2)
+# A window is closed by the watermark that the batch before had.
+_MINUTE_END = "date_trunc('minute', processing_timestamp) + INTERVAL '1' MINUTE"
+# An event is given out once the stream is a minute past it, so an older one is late.
+_TIMED = _arrivals("original_timestamp", 1)
+
 _RETENTION = """SELECT event_date, count(*) AS daily_active_users,
   CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS retained_users,
   CASE WHEN count(*) > 0
@@ -250,18 +276,30 @@ UNION ALL SELECT 'rejected', count(*) FROM v WHERE NOT ({_ACCEPTED})""",
     "movie_stats_1d": _movie_windows("day"),
     "device_stats_1m": _device_windows("minute"),
     "device_stats_1h": _device_windows("hour"),
-    "movie_stats_stream": _movie_windows("hour"),
+    "movie_stats_stream": _movie_windows("minute"),
+    "movie_stats_log": _movie_windows("day"),
     "device_stats_stream": _device_windows("hour"),
+    "movie_stats_on_time": _movie_windows(
+        "minute", f"(SELECT * FROM {_LAGGED} l WHERE coalesce({_MINUTE_END} > closed, true))"
+    ),
+    "movie_stats_corrected": _movie_windows("minute"),
+    "device_stats_corrected": _device_windows("hour"),
+    "late_rows": f"""SELECT event_id, movie_id, processing_timestamp, arrival AS batch_id
+FROM {_LAGGED} l WHERE {_MINUTE_END} <= closed""",
+    "retention_corrected": f"SELECT * FROM ({_RETENTION}) r WHERE event_date IS NOT NULL",
     "lake_stream": f"SELECT {_RAW_COLUMNS}, original_timestamp, session_id FROM v",
     "processed_stream": f"SELECT {_PROCESSED_COLUMNS} FROM v",
     "fact_stream": f"SELECT {_FACT_COLUMNS} FROM v",
     "user_metrics": _user_metrics("v"),
     "user_metrics_split": _user_metrics("v"),
-    "user_metrics_stream": f"""SELECT * FROM ({_user_metrics("v", "original_timestamp IS NOT NULL")}) m
-WHERE original_timestamp <= {_LAST} - INTERVAL '1' MINUTE""",
-    "user_metrics_stream_totals": f"""SELECT 'given_out' AS part, count(*) AS n FROM v
-WHERE original_timestamp <= {_LAST} - INTERVAL '1' MINUTE
-UNION ALL SELECT 'waiting', count(*) FROM v WHERE original_timestamp > {_LAST} - INTERVAL '1' MINUTE
+    "user_metrics_stream": _user_metrics("v", "original_timestamp IS NOT NULL"),
+    "user_metrics_stream_late": _user_metrics(
+        f"{_TIMED} l", "original_timestamp > coalesce(closed, TIMESTAMP '0001-01-01')"
+    ),
+    "user_metrics_stream_totals": f"""SELECT 'given_out' AS part, count(*) AS n FROM {_TIMED} l
+WHERE original_timestamp > coalesce(closed, TIMESTAMP '0001-01-01')
+UNION ALL SELECT 'late', count(*) FROM {_TIMED} l WHERE original_timestamp <= closed
+UNION ALL SELECT 'waiting', 0
 UNION ALL SELECT 'untimed', count(*) FROM v WHERE original_timestamp IS NULL""",
     "retention": _RETENTION,
     "retention_stream": f"""SELECT * FROM ({_RETENTION}) r

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DateType,
     DoubleType,
@@ -22,16 +23,18 @@ _TYPES = {
     "timestamp": TimestampType(),
     "date": DateType(),
     "boolean": BooleanType(),
+    "binary": BinaryType(),
 }
 
 
-def _schema(**columns: str) -> StructType:
+def schema_of(**columns: str) -> StructType:
+    """A schema of nullable columns by name and kind; needs no session."""
     return StructType([StructField(name, _TYPES[kind]) for name, kind in columns.items()])
 
 
 # -- messages -----------------------------------------------------------------
 
-VIEW_EVENT = _schema(
+VIEW_EVENT = schema_of(
     user_id="string",
     movie_id="string",
     duration_seconds="int",
@@ -42,10 +45,10 @@ VIEW_EVENT = _schema(
 
 VIEW_EVENT_EXT = StructType(
     VIEW_EVENT.fields
-    + _schema(user_region="string", content_type="string", bitrate="int").fields
+    + schema_of(user_region="string", content_type="string", bitrate="int").fields
 )
 
-SIMPLE_EVENT = _schema(
+SIMPLE_EVENT = schema_of(
     user_id="string",
     movie_id="string",
     duration="int",
@@ -55,7 +58,7 @@ SIMPLE_EVENT = _schema(
 
 # -- tables -------------------------------------------------------------------
 
-USER_VIEWS = _schema(
+USER_VIEWS = schema_of(
     user_id="string",
     movie_id="string",
     duration_seconds="int",
@@ -67,7 +70,7 @@ USER_VIEWS = _schema(
 # Longest text each column of USER_VIEWS takes (fixed values).
 USER_VIEWS_MAX_LENGTH = {"user_id": 50, "movie_id": 50, "event_type": 20}
 
-MOVIE_STATS = _schema(
+MOVIE_STATS = schema_of(
     movie_id="string",
     total_views="int",
     total_watch_time="int",
@@ -75,7 +78,7 @@ MOVIE_STATS = _schema(
     last_updated="timestamp",
 )
 
-USER_VIEWS_PROCESSED = _schema(
+USER_VIEWS_PROCESSED = schema_of(
     user_id="string",
     movie_id="string",
     duration_seconds="int",
@@ -86,7 +89,7 @@ USER_VIEWS_PROCESSED = _schema(
     processing_timestamp="timestamp",
 )
 
-MOVIE_STATS_REALTIME = _schema(
+MOVIE_STATS_REALTIME = schema_of(
     window_start="timestamp",
     window_end="timestamp",
     movie_id="string",
@@ -95,7 +98,7 @@ MOVIE_STATS_REALTIME = _schema(
     avg_watch_time="double",
 )
 
-DEVICE_STATS_REALTIME = _schema(
+DEVICE_STATS_REALTIME = schema_of(
     window_start="timestamp",
     window_end="timestamp",
     device="string",
@@ -103,7 +106,7 @@ DEVICE_STATS_REALTIME = _schema(
     avg_watch_time="double",
 )
 
-USER_VIEWS_FACT = _schema(
+USER_VIEWS_FACT = schema_of(
     user_id="string",
     movie_id="string",
     duration_seconds="int",
@@ -116,7 +119,7 @@ USER_VIEWS_FACT = _schema(
     is_valid="int",
 )
 
-DAILY_METRICS = _schema(
+DAILY_METRICS = schema_of(
     metric_date="date",
     total_views="long",
     unique_users="long",
@@ -124,7 +127,7 @@ DAILY_METRICS = _schema(
     avg_watch_time="double",
 )
 
-MOVIE_POPULARITY = _schema(
+MOVIE_POPULARITY = schema_of(
     movie_id="string",
     total_views="long",
     unique_users="long",
@@ -132,7 +135,7 @@ MOVIE_POPULARITY = _schema(
     last_updated="timestamp",
 )
 
-BUSINESS_METRICS = _schema(
+BUSINESS_METRICS = schema_of(
     metric_date="date",
     total_views="long",
     unique_users="long",
@@ -142,12 +145,17 @@ BUSINESS_METRICS = _schema(
     calculated_at="timestamp",
 )
 
-KPI_METRICS = _schema(metric_name="string", metric_value="double", calculated_at="timestamp")
+KPI_METRICS = schema_of(metric_name="string", metric_value="double", calculated_at="timestamp")
 
-ALERTS = _schema(
+ALERTS = schema_of(
     alert_type="string", message="string", severity="string", created_at="timestamp"
 )
 
+#: Where each user of a session stream stands.
+SESSION_USERS = schema_of(
+    bucket="int", user_id="string", last_time="timestamp", last_seq="long"
+)
+
 TABLES = {
     "user_views": USER_VIEWS,
     "movie_stats": MOVIE_STATS,

@@ -3,10 +3,12 @@ from .batches import (
     fan_out,
     jdbc_writer,
     lake_writer,
+    layered_writer,
     processed_writer,
     update_log_writer,
 )
 from .kafka import producer_options, publish
+from .layered import LayeredTable
 from .report import save_report
 from .tables import (
     append_run,
@@ -20,6 +22,7 @@ from .tables import (
 from .views import classify_views, load_views, loaded_views, rejected_views
 
 __all__ = [
+    "LayeredTable",
     "append_run",
     "classify_views",
     "conform",
@@ -29,6 +32,7 @@ __all__ = [
     "jdbc_writer",
     "lake_writer",
     "latest_rows",
+    "layered_writer",
     "load_views",
     "loaded_views",
     "processed_writer",

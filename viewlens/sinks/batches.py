@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ARRIVAL_DATE, with_arrival_date
 from ..operators.enrich import fact_columns, processed_columns
+from .layered import LayeredTable
 from .tables import append_run
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -94,6 +95,32 @@ def update_log_writer(path: str, *, rows_per_file: int = 1_000_000) -> BatchWrit
     return write
 
 
+def layered_writer(
+    table: LayeredTable, *, day_of: str = "window_start", rows_per_file: int = 1_000_000,
+    compact_every: int = 50,
+) -> BatchWriter:
+    """Changed rows of a stateful query to a layered table partitioned by ``day``.
+
+    The batch is kept while it is counted and written, as evaluating it again would
+    run its state update again. After ``compact_every`` batches the updates are
+    folded and folders out of date removed, so readers open days, not batches.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with kept(batch) as rows:
+            n = rows.count()
+            if n:
+                most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                files = max(1, min(most, math.ceil(n / rows_per_file)))
+                table.append(rows.withColumn("day", F.to_date(day_of)), batch_id, files)
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(spark)
+            table.vacuum(spark)
+
+    return write
+
+
 def jdbc_writer(
     connection: dict[str, str], *, transform=None, max_connections: int = 16
 ) -> BatchWriter:

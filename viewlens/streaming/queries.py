@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import (
     device_window_stats,
@@ -13,26 +14,41 @@ from ..operators import (
     movie_window_stats,
     processed_columns,
 )
+from ..schemas import DEVICE_STATS_REALTIME, MOVIE_STATS_REALTIME
 from ..sinks.batches import (
     BatchWriter,
     fact_writer,
     fan_out,
     jdbc_writer,
     lake_writer,
+    layered_writer,
     processed_writer,
     update_log_writer,
 )
+from ..sinks.layered import LayeredTable
 from .retention import retention_stream
 from .sessions import user_metrics_writer
+from .windowstats import WindowTotals, start_totals
 
 EVENT_TABLES = {
     "lake": lake_writer,
     "user_views_processed": processed_writer,
     "user_views_fact": fact_writer,
 }
+STATISTICS = {
+    "movie_stats_realtime": (MOVIE_STATS_REALTIME, "movie_id"),
+    "device_stats_realtime": (DEVICE_STATS_REALTIME, "device"),
+}
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def statistics_table(path: str, name: str) -> LayeredTable:
+    """The window statistics of this name at a path, by day of the window's start."""
+    schema, key = STATISTICS[name]
+    keys = ("day", "window_start", "window_end", key)
+    return LayeredTable(path, StructType([*schema.fields]).add("day", "date"), keys, "day")
+
+
 def start(
     df: DataFrame,
     writer: BatchWriter,
@@ -88,14 +104,17 @@ def start_event_tables(
     event_tables: Sequence[str] = ("lake", "user_views_processed"),
     sessions: bool = False,
     retention: bool = False,
+    corrections: bool = False,
+    compact_every: int = 50,
     database: dict[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Raw view events to event tables and to both statistics tables.
 
     The event tables share one read of the source. Add ``user_views_fact`` only
-    where no rollup job fills that table. Statistics are logs of updates: read
-    them through ``latest_rows``. ``sessions`` and ``retention`` add the tables
-    user_metrics and retention. With ``database``, JDBC options without a table
+    where no rollup job fills that table. Statistics are layered tables: read them
+    through ``statistics_table``. ``sessions`` and ``retention`` add the tables
+    user_metrics and retention. ``corrections`` adds movie_totals, device_totals and
+    start_totals, which keep late rows (see ``WindowTotals``). With ``database``, JDBC options without a table
     name, processed events and statistics also go to tables of these names there.
     """
     enriched = enrich_events(events)
@@ -113,17 +132,26 @@ def start_event_tables(
         checkpoint = f"{checkpoints}/{name}"
         return start(df, writer, checkpoint=checkpoint, mode=mode, name=name, trigger=trigger)
 
-    def log(table: str) -> BatchWriter:
-        return also_stored(update_log_writer(f"{tables}/{table}"), table)
+    def updates(name: str) -> BatchWriter:
+        table = statistics_table(f"{tables}/{name}", name)
+        return also_stored(layered_writer(table, compact_every=compact_every), name)
 
     movies, devices = movie_window_stats(enriched), device_window_stats(enriched)
     queries = [
         begin(enriched, write_events, "event_tables", "append"),
-        begin(movies, log("movie_stats_realtime"), "movie_stats", "update"),
-        begin(devices, log("device_stats_realtime"), "device_stats", "update"),
+        begin(movies, updates("movie_stats_realtime"), "movie_stats", "update"),
+        begin(devices, updates("device_stats_realtime"), "device_stats", "update"),
     ]
+    if corrections:
+        totals = [
+            WindowTotals(f"{tables}/movie_totals", "movie_id"),
+            WindowTotals(f"{tables}/device_totals", "device"),
+            start_totals(f"{tables}/start_totals"),
+        ]
+        writer = fan_out(*[t.writer(compact_every) for t in totals])
+        queries.append(begin(enriched, writer, "window_totals", "append"))
     if sessions:
-        writer = user_metrics_writer(f"{tables}/user_metrics")
+        writer = user_metrics_writer(f"{tables}/user_metrics", compact_every=compact_every)
         queries.append(begin(enriched, writer, "user_metrics", "append"))
     if retention:
         writer = update_log_writer(f"{tables}/retention")

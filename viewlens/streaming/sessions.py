@@ -6,14 +6,16 @@ in tables instead of a keyed operator: a keyed operator would put all events of
 one user into one task, while here each step is an ordinary batch plan that
 shuffles events by user and time slice.
 
-Tables under the given root, each written so that a batch delivered again
-replaces its own output:
-
-waiting/slot=N%2     events not given out yet, plus those of batch N
-metrics/batch_id=N   the result
-users/batch_id=N     last time and session number of the users seen in batch N
-apart/batch_id=N     events without a time and late ones, with the reason
-progress/batch_id=N  the time up to which events are given out
+Work is counted in steps: batch N is step 2N, and a flush after it, which gives
+out all that waits, step 2N + 1. Tables under the given root, each written so that
+a step made again replaces its own output:
+
+waiting/slot=N%2   events not given out yet, plus those of batch N
+metrics/step=S     the result
+users              last time and session number per user, a layered table in hashed
+                   buckets, of which a step reads those of its users
+apart/step=S       events without a time and late ones, with the reason
+progress/S.json    the time up to which events are given out
 """
 
 from __future__ import annotations
@@ -23,11 +25,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.sessions import user_metrics
+from ..schemas import SESSION_USERS
 from ..sinks.batches import BatchWriter
+from ..sinks.layered import LayeredTable
+from ..sinks.storage import note_numbers, read_note, write_note
 from ..sinks.tables import append_run
 
-USERS = "user_id string, last_time timestamp, last_seq long, batch_id long"
-PROGRESS = "horizon_micros long, late_rows long, untimed_rows long"
+#: Fixed for a root: a user's bucket must stay the same.
+BUCKETS = 64
+STEP = "step"
+
+
+def session_users(root: str) -> LayeredTable:
+    """Where each user of the stream stands."""
+    merge = {"last_time": "max", "last_seq": "max"}
+    return LayeredTable(f"{root}/users", SESSION_USERS, ("bucket", "user_id"), "bucket", merge)
+
+
+def with_bucket(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
 
 
 def user_metrics_writer(
@@ -37,28 +53,30 @@ def user_metrics_writer(
     gap_seconds: int = 3600,
     time_col: str = "original_timestamp",
     tie_col: str = "session_id",
-    snapshot_every: int = 50,
+    compact_every: int = 50,
 ) -> BatchWriter:
     """A foreachBatch writer that adds the columns of ``user_metrics``.
 
     Events without a time, and events older than what was given out, get no
     session; they are kept apart and counted. ``root`` belongs to one checkpoint.
+    After ``compact_every`` batches the users' states are folded, and folders out
+    of date removed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        passed = _horizon(spark, root, batch_id - 1)
+        passed = _horizon(spark, root, 2 * batch_id)
         horizon, late_rows, untimed_rows = _store_waiting(spark, batch, batch_id, passed)
         waiting = _waiting(spark, root, batch_id, batch.schema)
-        ready = waiting.where(F.col(time_col) <= _time(horizon))
-        known = _known_users(spark, root, batch_id, snapshot_every)
-        metrics = user_metrics(
-            ready, gap_seconds=gap_seconds, time_col=time_col, tie_col=tie_col, earlier=known
+        _give_out(
+            waiting.where(F.col(time_col) <= _time(horizon)), root, 2 * batch_id,
+            gap_seconds=gap_seconds, time_col=time_col, tie_col=tie_col,
         )
-        append_run(metrics, f"{root}/metrics", batch_id, key="batch_id")
-        _store_users(spark, known, batch_id, metrics.schema)
-        progress = spark.createDataFrame([(horizon, late_rows, untimed_rows)], PROGRESS)
-        append_run(progress, f"{root}/progress", batch_id, key="batch_id")
+        counts = {"late_rows": late_rows, "untimed_rows": untimed_rows}
+        write_note(spark, f"{root}/progress", 2 * batch_id, {"horizon_micros": horizon} | counts)
+        if (batch_id + 1) % compact_every == 0:
+            session_users(root).compact(spark, before=2 * batch_id)
+            session_users(root).vacuum(spark)
 
     def _store_waiting(spark, batch, batch_id, passed):
         """Stores the open events and those apart; returns the new horizon and counts."""
@@ -69,7 +87,7 @@ def user_metrics_writer(
         try:
             reason = F.when(time.isNull(), "untimed").when(is_late, "late")
             apart = kept.withColumn("reason", reason).where("reason is not null")
-            append_run(apart, f"{root}/apart", batch_id, key="batch_id")
+            append_run(apart, f"{root}/apart", 2 * batch_id, key=STEP)
             fresh = kept.observe(
                 seen,
                 F.unix_micros(F.max(time) - F.expr(f"INTERVAL {delay}")).alias("reached"),
@@ -87,21 +105,44 @@ def user_metrics_writer(
         reached = [t for t in (passed, seen.get["reached"]) if t is not None]
         return max(reached, default=None), seen.get["late_rows"], seen.get["untimed_rows"]
 
-    def _store_users(spark, known: DataFrame, batch_id: int, schema: StructType) -> None:
-        written = spark.read.schema(schema).parquet(f"{root}/metrics/batch_id={batch_id}")
-        seen = written.groupBy("user_id").agg(
-            F.max(time_col).alias("last_time"), F.max("session_seq_number").alias("last_seq")
-        )
-        if batch_id % snapshot_every == 0:
-            seen = _merge_users(known.unionByName(seen))
-        append_run(seen, f"{root}/users", batch_id, key="batch_id")
-
     return write
 
 
+def flush_user_metrics(
+    spark: SparkSession,
+    root: str,
+    *,
+    gap_seconds: int = 3600,
+    time_col: str = "original_timestamp",
+    tie_col: str = "session_id",
+) -> bool:
+    """Gives out the events that still wait after the stream has stopped.
+
+    Takes the settings of the writer. False when nothing has run or nothing waits. A
+    flush made again changes nothing. The stream may go on afterwards: what comes
+    in then and is not newer than the flushed events counts as late.
+    """
+    steps = note_numbers(spark, f"{root}/progress")
+    if not steps or steps[-1] % 2:
+        return False
+    last = steps[-1]
+    waiting = spark.read.parquet(f"{root}/waiting/slot={last // 2 % 2}")
+    passed = _horizon(spark, root, last + 1)
+    if passed is not None:
+        waiting = waiting.where(F.col(time_col) > _time(passed))
+    reached = waiting.agg(F.unix_micros(F.max(time_col))).first()[0]
+    if reached is None:
+        return False
+    _give_out(
+        waiting, root, last + 1, gap_seconds=gap_seconds, time_col=time_col, tie_col=tie_col
+    )
+    write_note(spark, f"{root}/progress", last + 1, {"horizon_micros": reached})
+    return True
+
+
 def user_metrics_result(spark: SparkSession, root: str) -> DataFrame:
     """All rows given out so far."""
-    return spark.read.parquet(f"{root}/metrics").drop("batch_id")
+    return spark.read.parquet(f"{root}/metrics").drop(STEP)
 
 
 def user_metrics_totals(spark: SparkSession, root: str) -> DataFrame:
@@ -109,17 +150,31 @@ def user_metrics_totals(spark: SparkSession, root: str) -> DataFrame:
 
     The numbers add up to the events read.
     """
-    progress = spark.read.schema(f"{PROGRESS}, batch_id long").parquet(f"{root}/progress")
-    last = progress.orderBy(F.col("batch_id").desc()).first()  # one row a batch
+    last = note_numbers(spark, f"{root}/progress")[-1]
     metrics = spark.read.parquet(f"{root}/metrics")
-    waiting = spark.read.parquet(f"{root}/waiting/slot={last['batch_id'] % 2}").count()
-    given = metrics.where(F.col("batch_id") == last["batch_id"]).count()
+    waiting = 0
+    if last % 2 == 0:
+        waiting = spark.read.parquet(f"{root}/waiting/slot={last // 2 % 2}").count()
+        waiting -= metrics.where(F.col(STEP) == last).count()
     apart = spark.read.parquet(f"{root}/apart").groupBy("reason").agg(F.count("*").alias("n"))
     return metrics.agg(F.lit("given_out").alias("part"), F.count("*").alias("n")).unionByName(
-        spark.createDataFrame([("waiting", waiting - given)], "part string, n long")
+        spark.createDataFrame([("waiting", waiting)], "part string, n long")
     ).unionByName(apart.withColumnRenamed("reason", "part"))
 
 
+def _give_out(ready: DataFrame, root: str, step: int, **options) -> None:
+    """Writes the metrics of a step's events and where their users now stand."""
+    spark, users = ready.sparkSession, session_users(root)
+    known = users.read_partitions(spark, with_bucket(ready), before=step).drop("bucket")
+    metrics = user_metrics(ready, earlier=known, **options)
+    append_run(metrics, f"{root}/metrics", step, key=STEP)
+    written = spark.read.schema(metrics.schema).parquet(f"{root}/metrics/{STEP}={step}")
+    seen = written.groupBy("user_id").agg(
+        F.max(options["time_col"]).alias("last_time"), F.max("session_seq_number").alias("last_seq")
+    )
+    users.append(with_bucket(seen), step)
+
+
 def _time(micros: int | None) -> Column:
     return F.timestamp_micros(F.lit(micros).cast("long"))
 
@@ -128,30 +183,7 @@ def _waiting(spark: SparkSession, root: str, batch_id: int, schema: StructType)
     return spark.read.schema(schema).parquet(f"{root}/waiting/slot={batch_id % 2}")
 
 
-def _horizon(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """The one value stored for a batch; None when no event had a time yet."""
-    if batch_id < 0:
-        return None
-    stored = spark.read.schema(PROGRESS).parquet(f"{root}/progress/batch_id={batch_id}")
-    return stored.first()["horizon_micros"]
-
-
-def _merge_users(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("user_id").agg(
-        F.max("last_time").alias("last_time"), F.max("last_seq").alias("last_seq")
-    )
-
-
-def _known_users(
-    spark: SparkSession, root: str, batch_id: int, snapshot_every: int
-) -> DataFrame:
-    """Last time and number per user before a batch.
-
-    Every ``snapshot_every`` batches the table holds all users, so older batches
-    need not be read.
-    """
-    if batch_id == 0:
-        return spark.createDataFrame([], USERS).drop("batch_id")
-    last_snapshot = (batch_id - 1) // snapshot_every * snapshot_every
-    log = spark.read.schema(USERS).parquet(f"{root}/users")
-    return _merge_users(log.where(F.col("batch_id").between(last_snapshot, batch_id - 1)))
+def _horizon(spark: SparkSession, root: str, step: int) -> int | None:
+    """The one value stored by the last step before; None when no event had a time yet."""
+    before = [s for s in note_numbers(spark, f"{root}/progress") if s < step]
+    return read_note(spark, f"{root}/progress", before[-1])["horizon_micros"] if before else None
