@@ -6,7 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 
 from viewlens.__main__ import main
-from viewlens.streaming import statistics_table
+from viewlens.functions import with_arrival_date
+from viewlens.sinks import read_arrivals
+from viewlens.sinks.batches import event_writer
+from viewlens.streaming import start_totals, statistics_table
 
 NOW = datetime(2024, 1, 10, 12, 30)
 
@@ -26,13 +29,14 @@ def test_all_commands(spark, tmp_path, capsys):
         main([command, "--tables", tables, "--run-id", "r1", *options])
 
     run("stream", "--files", str(source), "--checkpoints", str(tmp_path / "c"), "--once")
-    assert spark.read.parquet(f"{tables}/lake").count() == 21
+    assert read_arrivals(spark, f"{tables}/lake").count() == 21
     run("compact")
     stats = statistics_table(f"{tables}/movie_stats_realtime", "movie_stats_realtime").read(spark)
     assert stats.groupBy().sum("view_count").first()[0] == 20
 
     run("rollup", "--approximate")
-    assert spark.read.parquet(f"{tables}/user_views_fact").count() == 21
+    assert spark.read.parquet(f"{tables}/user_views_fact").count() == 20
+    assert spark.read.parquet(f"{tables}/user_views_undated").count() == 1
     daily = spark.read.parquet(f"{tables}/daily_metrics").first()
     assert (daily["metric_date"], daily["total_views"]) == (NOW.date(), 20)
     for _ in range(2):
@@ -65,24 +69,24 @@ def test_extended_events_sessions_and_retention(spark, tmp_path):
     source.mkdir()
     (source / "0.json").write_text("\n".join(json.dumps(event(d)) for d in (1, 2, 4)))
     main(["stream", "--tables", tables, "--files", str(source), "--once", "--extended",
-          "--sessions", "--retention", "--checkpoints", str(tmp_path / "c")])
-    lake = spark.read.parquet(f"{tables}/lake").orderBy("bitrate").collect()
+          "--sessions", "--retention", "--corrections", "--flush",
+          "--checkpoints", str(tmp_path / "c")])
+    main(["correct", "--tables", tables])
+    lake = read_arrivals(spark, f"{tables}/lake").orderBy("bitrate").collect()
     assert [(r["user_region"], r["content_type"], r["bitrate"]) for r in lake] == [
         ("eu", "movie", d) for d in (1, 2, 4)
     ]
     sessions = spark.read.parquet(f"{tables}/user_metrics/metrics").collect()
-    assert sorted(r["session_seq_number"] for r in sessions) == [1, 2]
+    assert sorted(r["session_seq_number"] for r in sessions) == [1, 2, 3]
+    starts = start_totals(f"{tables}/start_totals").totals(spark)
+    assert sorted(r["n_rows"] for r in starts.collect()) == [1, 1, 1]
     days = spark.read.parquet(f"{tables}/retention").collect()
     assert sorted(r["event_date"].day for r in days) == [1, 2]
 
 
 def test_verify_fails_on_an_empty_table(spark, tmp_path):
-    for name in ("user_views_processed", "movie_stats_realtime", "device_stats_realtime"):
-        spark.sql(
-            "SELECT current_timestamp() AS processing_timestamp, "
-            "current_timestamp() AS window_start, current_timestamp() AS window_end, "
-            "'m' AS movie_id, 'd' AS device, 0L AS batch_id WHERE false"
-        ).write.parquet(str(tmp_path / name))
+    rows = spark.sql("SELECT current_timestamp() AS processing_timestamp, 'u' AS user_id")
+    event_writer(str(tmp_path / "user_views_processed"), with_arrival_date)(rows, 0)
     with pytest.raises(ValueError, match="empty tables: device_stats_realtime"):
         main(["verify", "--tables", str(tmp_path)])
 

@@ -117,10 +117,16 @@ def test_writers_survive_a_replay(spark, tmp_path, events):
     for batch_id in (0, 1, 1):
         write(batch, batch_id)
     write(batch.where("false"), 2)
-    for table in ("lake", "processed", "facts", "log"):
-        stored = spark.read.parquet(f"{path}/{table}")
-        assert sorted(r["batch_id"] for r in stored.collect()) == [0, 0, 0, 1, 1, 1]
-    lake = spark.read.parquet(f"{path}/lake")
+    stored = {t: spark.read.parquet(f"{path}/{t}") for t in ("facts", "log")}
+    for name in ("lake", "processed"):
+        table = sinks.event_table(spark, f"{path}/{name}", "processing_date")
+        stored[name] = table.updates(spark)
+    for name, df in stored.items():
+        assert sorted(r["batch_id"] for r in df.collect()) == [0, 0, 0, 1, 1, 1], name
+    lake = sinks.read_arrivals(spark, f"{path}/lake")
+    changes = sinks.change_table(f"{path}/lake").read(spark)
+    day = date(2024, 1, 1)
+    assert {tuple(r) for r in changes.collect()} == {(day, None, 2), (day, day, 4)}
     for recent in (
         ops.null_id_check(lake, as_of="2024-01-01 00:30:00"),
         ops.top_movies(lake, as_of="2024-01-01 00:30:00"),
@@ -167,7 +173,7 @@ def test_rollup_repeated_and_extended(spark, tmp_path, events):
     df = events(old + day_nine + [view("b", "m2", "2024-01-09T23:00:00", "2024-01-10 00:01:00")])
     for _ in range(2):
         assert jobs.daily_rollup(df, tables=tables, as_of=NOW) is True
-    facts = jobs.read_facts(spark, f"{tables}/user_views_fact")
+    facts = jobs.read_facts(spark, tables)
     # The whole of the affected day is loaded once, the older day not at all.
     assert facts.count() == 4
     daily = spark.read.parquet(f"{tables}/daily_metrics").collect()
@@ -179,11 +185,86 @@ def test_rollup_repeated_and_extended(spark, tmp_path, events):
 
     later = events([view("c", "m3", "2024-01-10T10:00:00", "2024-01-10 10:00:00")])
     assert jobs.daily_rollup(later, tables=tables, as_of=NOW, exact=False) is True
-    assert jobs.read_facts(spark, f"{tables}/user_views_fact").count() == 5
+    assert jobs.read_facts(spark, tables).count() == 5
     assert spark.read.parquet(f"{tables}/daily_metrics").count() == 2
     assert spark.read.parquet(f"{tables}/movie_popularity").count() == 3
 
 
+def lake_of(spark, path, *batches):
+    """Batches folded into a lake, the last one still in its tail, and its changes."""
+    write = sinks.lake_writer(path, compact_every=2)
+    for number, batch in enumerate(batches):
+        write(batch, number)
+    return sinks.read_arrivals(spark, path), sinks.change_table(path).read(spark)
+
+
+def test_load_reads_the_arrival_days_of_the_affected_dates(spark, tmp_path, events):
+    tables = str(tmp_path / "t")
+    lake, changes = lake_of(
+        spark,
+        str(tmp_path / "lake"),
+        events([view("a", "m1", "2024-01-02T10:00:00", "2024-01-02 10:00:00"),
+                view("a", "m1", "bad", "2024-01-02 11:00:00")]),
+        events([view("b", "m1", "2024-01-09T10:00:00", "2024-01-09 10:00:00")]),
+        events([view("c", "m1", "2024-01-09T11:00:00", "2024-01-10 11:00:00"),
+                view("c", "m1", "bad", "2024-01-10 11:00:00")]),
+    )
+    affected = jobs.affected_dates(lake, as_of=NOW)
+    for _ in range(2):
+        jobs.load_facts(lake, tables, affected, changes)
+    # The earlier row of the affected date is loaded too, the older date not at all.
+    users = [r["user_id"] for r in jobs.read_facts(spark, tables).collect()]
+    assert sorted(users) == ["b", "c"]
+    assert jobs.read_facts(spark, tables, undated=True).count() == 3
+    undated = spark.read.parquet(f"{tables}/user_views_undated")
+    assert [r["processing_date"] for r in undated.collect()] == [date(2024, 1, 10)]
+
+    recent = changes.where("event_date = date'2024-01-09'").select("processing_date").distinct()
+    plan = explain(lake.join(recent.where("processing_date > date'2024-01-01'"), "processing_date", "left_semi"))
+    assert "dynamicpruning" in plan
+    facts = jobs.on_dates(jobs.read_facts(spark, tables), affected)
+    assert facts.count() == 2 and "dynamicpruning" in explain(facts)
+
+
+def test_rollups_of_sketches_read_no_facts(spark, tmp_path, events):
+    tables = str(tmp_path / "t")
+    rows_ = [
+        view(f"u{i % 40}", f"m{i % 3}", f"2024-01-{d:02}T10:00:00", f"2024-01-{d:02} 10:00:00", i)
+        for d in (8, 9, 10) for i in range(150)
+    ]
+    for _ in range(2):
+        assert jobs.daily_rollup(events(rows_), tables=tables, as_of=NOW, interval="3 days", exact=False)
+    facts = jobs.read_facts(spark, tables)
+    daily = spark.read.parquet(f"{tables}/daily_metrics")
+    assert rows(daily) == rows(ops.daily_metrics(facts).select(*daily.columns))
+    popularity = spark.read.parquet(f"{tables}/movie_popularity")
+    assert rows(popularity) == rows(ops.movie_popularity(facts, as_of=NOW).select(*popularity.columns))
+    days = spark.read.parquet(f"{tables}/movie_daily")
+    plan = explain(ops.popularity_of_days(days, as_of=NOW))
+    assert "user_views_fact" not in plan and "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_popular_movie_from_arrivals(spark, tmp_path, events):
+    path = str(tmp_path / "arrivals")
+    write = sinks.processed_writer(str(tmp_path / "p"))
+    first = [view("a", m, "x", f"2024-01-0{d} 10:00:00") for d, m in ((1, "m1"), (1, "m1"), (2, None))]
+    write(events(first), 0)
+    processed = sinks.read_arrivals(spark, str(tmp_path / "p"))
+    counts = jobs.refresh_movie_arrivals(processed, path)
+    assert rows(ops.popular_movie(arrivals=counts)) == [("m1",)]
+    write(events([view("a", None, "x", f"2024-01-0{d} 11:00:00") for d in (2, 3)]), 1)
+    processed = sinks.read_arrivals(spark, str(tmp_path / "p"))
+    for _ in range(2):
+        counts = jobs.refresh_movie_arrivals(processed, path)
+        assert counts.groupBy().sum("views").first()[0] == 5
+    assert rows(ops.popular_movie(arrivals=counts)) == rows(ops.popular_movie(processed)) == [(None,)]
+    metrics = ops.business_metrics(processed, as_of="2024-01-03 12:00:00", arrivals=counts)
+    plan = explain(metrics)
+    scans = re.findall(r"Location: \S+ \[file:(\S+?)[,\]].*?\nPartitionFilters: (.*)", plan)
+    assert all("processing_date" in f for location, f in scans if "/p/" in location) and scans
+    assert [r["popular_movie"] for r in metrics.collect()] == [None]
+
+
 def test_rollup_without_recent_events_writes_nothing(tmp_path, events):
     old = events([view("a", "m", "2024-01-02T10:00:00", "2024-01-02 10:00:00")])
     assert jobs.daily_rollup(old, tables=str(tmp_path / "t"), as_of=NOW) is False

@@ -2,8 +2,8 @@
 
 Tables live under one folder: lake, user_views, user_views_processed,
 user_views_fact, movie_stats_realtime, device_stats_realtime, daily_metrics,
-movie_popularity, business_metrics, kpi_metrics, alerts, reports, and on request
-user_metrics, retention, movie_totals, device_totals and start_totals.
+movie_daily, movie_popularity, movie_arrivals, business_metrics, kpi_metrics, alerts,
+reports, and on request user_metrics, retention, movie_totals, device_totals and start_totals.
 """
 
 from __future__ import annotations
@@ -13,11 +13,12 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions import ARRIVAL_DATE
 from .operators import hourly_summary, load_summary, recent_events, require_tables
 from .plans import jobs
 from .schemas import VIEW_EVENT, VIEW_EVENT_EXT
 from .session import build_session
-from .sinks import load_views, loaded_views
+from .sinks import change_table, event_table, load_views, loaded_views, read_arrivals
 from .sources import decode_events, kafka_stream, stream_json_lines
 from .streaming import (
     WindowTotals,
@@ -76,9 +77,12 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Folds the updates of the statistics; for streams that are stopped."""
-    for name in STATISTICS:
-        table = statistics_table(f"{args.tables}/{name}", name)
+    """Folds what streams have added to their tables; for streams that are stopped."""
+    tables = {name: statistics_table(f"{args.tables}/{name}", name) for name in STATISTICS}
+    for name in ("lake", "user_views_processed"):
+        tables[name] = event_table(spark, f"{args.tables}/{name}", ARRIVAL_DATE)
+    tables["lake changes"] = change_table(f"{args.tables}/lake")
+    for name, table in tables.items():
         print(name, "folded" if table.compact(spark) else "has no updates")
         table.vacuum(spark)
 
@@ -103,42 +107,46 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def rollup(spark: SparkSession, args: argparse.Namespace) -> None:
-    enriched = _table(spark, args, "lake")
     done = jobs.daily_rollup(
-        enriched, tables=args.tables, as_of=args.as_of, exact=not args.approximate
+        _events(spark, args, "lake"),
+        tables=args.tables,
+        as_of=args.as_of,
+        exact=not args.approximate,
+        changes=change_table(f"{args.tables}/lake").read(spark),
     )
     print("rollup done" if done else "no recent events")
 
 
 def metrics(spark: SparkSession, args: argparse.Namespace) -> None:
-    processed = _table(spark, args, "user_views_processed")
+    processed = _events(spark, args, "user_views_processed")
     path = f"{args.tables}/business_metrics"
-    jobs.update_business_metrics(processed, path, as_of=args.as_of)
+    arrivals = f"{args.tables}/movie_arrivals"
+    jobs.update_business_metrics(processed, path, as_of=args.as_of, arrivals=arrivals)
     jobs.append_kpis(
         processed, f"{args.tables}/kpi_metrics", run_id=args.run_id, as_of=args.as_of
     )
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    processed = _table(spark, args, "user_views_processed")
+    processed = _events(spark, args, "user_views_processed")
     jobs.daily_report(processed, f"{args.tables}/reports/{args.run_id}", as_of=args.as_of)
 
 
 def monitor(spark: SparkSession, args: argparse.Namespace) -> None:
-    processed = _table(spark, args, "user_views_processed")
+    processed = _events(spark, args, "user_views_processed")
     jobs.monitor_once(processed, f"{args.tables}/alerts", run_id=args.run_id, as_of=args.as_of)
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = {"user_views_processed": _table(spark, args, "user_views_processed")}
+    tables = {"user_views_processed": _events(spark, args, "user_views_processed")}
     for name in STATISTICS:
         tables[name] = statistics_table(f"{args.tables}/{name}", name).read(spark)
     require_tables(tables, time_cols=KEPT_TABLES).show(truncate=False)
     hourly_summary(tables["user_views_processed"], as_of=args.as_of).show()
 
 
-def _table(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
-    return spark.read.parquet(f"{args.tables}/{name}")
+def _events(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
+    return read_arrivals(spark, f"{args.tables}/{name}")
 
 
 COMMANDS = {

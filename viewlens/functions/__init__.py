@@ -13,6 +13,7 @@ from .columns import (
 )
 from .timefilters import (
     ARRIVAL_DATE,
+    ARRIVAL_TIME,
     last_days,
     rows_of_day,
     rows_since_previous_midnight,
@@ -25,6 +26,7 @@ from .timefilters import (
 
 __all__ = [
     "ARRIVAL_DATE",
+    "ARRIVAL_TIME",
     "as_of_column",
     "event_hash",
     "event_time",

@@ -2,12 +2,15 @@ from .enrich import category_counts, enrich_events, fact_columns, processed_colu
 from .metrics import (
     business_metrics,
     daily_metrics,
+    daily_metrics_of_days,
     headline_metrics,
     kpi_rows,
     latest_business_metrics,
     latest_retention,
+    movie_days,
     movie_popularity,
     popular_movie,
+    popularity_of_days,
     recent_retention,
     recent_stats,
     retention,
@@ -36,6 +39,7 @@ __all__ = [
     "column_statistics",
     "column_types",
     "daily_metrics",
+    "daily_metrics_of_days",
     "device_window_stats",
     "enrich_events",
     "fact_columns",
@@ -48,10 +52,12 @@ __all__ = [
     "latest_retention",
     "load_summary",
     "monitor_checks",
+    "movie_days",
     "movie_popularity",
     "movie_window_stats",
     "null_id_check",
     "popular_movie",
+    "popularity_of_days",
     "processed_columns",
     "recent_events",
     "recent_retention",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +33,12 @@ def processed_columns(enriched: DataFrame) -> DataFrame:
     return enriched.select(*USER_VIEWS_PROCESSED.fieldNames())
 
 
-def fact_columns(enriched: DataFrame) -> DataFrame:
+def fact_columns(enriched: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     """The projection stored as ``user_views_fact``: renamed time, 0/1 validity."""
     return (
         enriched.withColumnsRenamed({"original_timestamp": "event_timestamp"})
         .withColumn("is_valid", to_flag("is_valid"))
-        .select(*USER_VIEWS_FACT.fieldNames())
+        .select(*USER_VIEWS_FACT.fieldNames(), *keep)
     )
 
 

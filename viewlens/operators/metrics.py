@@ -82,14 +82,51 @@ def movie_popularity(
     )
 
 
-def popular_movie(df: DataFrame) -> DataFrame:
+def movie_days(facts: DataFrame) -> DataFrame:
+    """Per event date and movie: views, watch time, and a sketch of the users.
+
+    Sketches of several movies or dates unite without counting a user twice.
+    """
+    return facts.groupBy("event_date", "movie_id").agg(
+        F.count("*").alias("total_views"),
+        F.sum("duration_seconds").alias("total_watch_time"),
+        F.count("duration_seconds").alias("n_watched"),
+        F.hll_sketch_agg("user_id").alias("users"),
+    )
+
+
+def _united(days) -> DataFrame:
+    """Sums and estimated users of grouped movie days."""
+    return days.agg(
+        F.sum("total_views").alias("total_views"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("unique_users"),
+        F.sum("total_watch_time").alias("total_watch_time"),
+        (F.sum("total_watch_time") / F.nullif(F.sum("n_watched"), F.lit(0))).alias("avg_watch_time"),
+    )
+
+
+def daily_metrics_of_days(days: DataFrame) -> DataFrame:
+    """The columns of ``daily_metrics`` from movie days; users are estimates, within some 2 %."""
+    return _united(days.groupBy("event_date")).withColumnRenamed("event_date", "metric_date")
+
+
+def popularity_of_days(days: DataFrame, *, as_of=None, n_days: int = 7) -> DataFrame:
+    """The columns of ``movie_popularity`` from the movie days of the last dates alone."""
+    recent = days.where(last_days("event_date", n_days, as_of))
+    united = _united(recent.groupBy("movie_id")).drop("total_watch_time")
+    return united.withColumn("last_updated", as_of_column(as_of))
+
+
+def popular_movie(df: DataFrame | None = None, *, arrivals: DataFrame | None = None) -> DataFrame:
     """The most frequent movie id of the whole table, one row.
 
-    A NULL id can win. Ties go to the smallest id, NULL first.
+    A NULL id can win. Ties go to the smallest id, NULL first. ``arrivals``, counts of
+    rows in a column ``views``, stands for the table.
     """
+    counted, views = (df, F.count("*")) if arrivals is None else (arrivals, F.sum("views"))
     return (
-        df.groupBy("movie_id")
-        .agg(F.count("*").alias("views"))
+        counted.groupBy("movie_id")
+        .agg(views.alias("views"))
         .orderBy(F.col("views").desc(), F.col("movie_id").asc_nulls_first())
         .limit(1)
         .select(F.col("movie_id").alias("popular_movie"))
@@ -97,9 +134,16 @@ def popular_movie(df: DataFrame) -> DataFrame:
 
 
 def business_metrics(
-    df: DataFrame, *, as_of=None, time_col: str = "processing_timestamp"
+    df: DataFrame,
+    *,
+    as_of=None,
+    time_col: str = "processing_timestamp",
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
-    """One row for the day of as_of; the popular movie is over all days."""
+    """One row for the day of as_of; the popular movie is over all days.
+
+    With ``arrivals``, rows counted by day and movie, only that day of ``df`` is read.
+    """
     now = as_of_column(as_of)
     return (
         rows_of_day(df, time_col, now)
@@ -114,7 +158,7 @@ def business_metrics(
             "total_views",
             "unique_users",
             "total_watch_time",
-            popular_movie(df).scalar().alias("popular_movie"),
+            popular_movie(df, arrivals=arrivals).scalar().alias("popular_movie"),
             "avg_session_duration",
             now.alias("calculated_at"),
         )

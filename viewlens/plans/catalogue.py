@@ -16,6 +16,7 @@ from ..schemas import SIMPLE_EVENT, USER_VIEWS, VIEW_EVENT, VIEW_EVENT_EXT
 from ..session import scratch_dir
 from ..sinks import (
     LayeredTable,
+    change_table,
     classify_views,
     conform,
     create_table,
@@ -26,6 +27,7 @@ from ..sinks import (
     load_views,
     loaded_views,
     processed_writer,
+    read_arrivals,
     rejected_views,
     update_log_writer,
     with_created_at,
@@ -95,12 +97,11 @@ class Source:
     def read(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
 
-    def stream_to(self, transform, make_writer, mode: str = "append") -> DataFrame:
-        """Runs a stream into a new table and reads it back with its batch_id."""
+    def stream_to(self, transform, make_writer, mode: str = "append") -> str:
+        """Runs a stream into a new table and returns its path."""
         root = self.scratch("stream")
-        table = f"{root}/table"
-        self.run_stream(root, transform, make_writer(table), mode)
-        return self.read(table)
+        self.run_stream(root, transform, make_writer(f"{root}/table"), mode)
+        return f"{root}/table"
 
     def json_lines(self, *, broken: bool = False) -> str:
         """The events as JSON-lines files; with broken, some lines are cut off."""
@@ -289,7 +290,7 @@ def movie_stats_log(s: Source) -> DataFrame:
         update_log_writer,
         mode="update",
     )
-    return latest_rows(log, ["window_start", "window_end", "movie_id"])
+    return latest_rows(s.read(log), ["window_start", "window_end", "movie_id"])
 
 
 def _window_totals(s: Source, totals: WindowTotals, *, late: bool = True) -> WindowTotals:
@@ -342,27 +343,38 @@ def _same(views: DataFrame) -> DataFrame:
     return views
 
 
+def _lake(path: str):
+    return lake_writer(path, compact_every=2)
+
+
 @_query
 def lake_stream(s: Source) -> DataFrame:
-    lake = s.stream_to(_same, lake_writer)
+    lake = read_arrivals(s.spark, s.stream_to(_same, _lake))
     return lake.select(*VIEW_EVENT.fieldNames(), "original_timestamp", "session_id")
 
 
 @_query
 def lake_stream_ext(s: Source) -> DataFrame:
     """Events with nine fields, all columns of the lake."""
-    lake = s.stream_to(lambda views: views.withColumns(_extended_fields()), lake_writer)
-    return lake.drop("batch_id", "processing_date")
+    path = s.stream_to(lambda views: views.withColumns(_extended_fields()), _lake)
+    return read_arrivals(s.spark, path).drop("processing_date")
+
+
+@_query
+def lake_changes(s: Source) -> DataFrame:
+    """Which arrival dates of the lake hold rows of which event dates."""
+    return change_table(s.stream_to(_same, _lake)).read(s.spark)
 
 
 @_query
 def processed_stream(s: Source) -> DataFrame:
-    return s.stream_to(_same, processed_writer).drop("batch_id", "processing_date")
+    path = s.stream_to(_same, lambda path: processed_writer(path, compact_every=2))
+    return read_arrivals(s.spark, path).drop("processing_date")
 
 
 @_query
 def fact_stream(s: Source) -> DataFrame:
-    return s.stream_to(_same, fact_writer).drop("batch_id")
+    return s.read(s.stream_to(_same, fact_writer)).drop("batch_id")
 
 
 # -- sessions and retention ---------------------------------------------------
@@ -429,7 +441,7 @@ def retention(s: Source) -> DataFrame:
 
 @_query
 def retention_stream(s: Source) -> DataFrame:
-    return s.stream_to(streaming.retention_stream, update_log_writer).drop("batch_id")
+    return s.read(s.stream_to(streaming.retention_stream, update_log_writer)).drop("batch_id")
 
 
 @_query
@@ -453,11 +465,13 @@ def fact_last_day(s: Source) -> DataFrame:
 
 @_query
 def fact_load(s: Source) -> DataFrame:
-    facts = s.scratch("facts")
-    dates = jobs.affected_dates(s.views, as_of=s.now)
+    """The last day's event dates from the lake, loaded twice."""
+    tables, path = s.scratch("facts"), s.stream_to(_same, _lake)
+    lake = read_arrivals(s.spark, path)
+    affected = jobs.affected_dates(lake, as_of=s.now)
     for _ in range(2):
-        jobs.load_facts(s.views, facts, dates)
-    return jobs.read_facts(s.spark, facts)
+        jobs.load_facts(lake, tables, affected, change_table(path).read(s.spark))
+    return jobs.read_facts(s.spark, tables, undated=True)
 
 
 @_query
@@ -507,6 +521,29 @@ def approx_movie_users(s: Source) -> DataFrame:
     return _users_within_error(popularity, exact, "movie_id")
 
 
+def _rollup_of_sketches(s: Source) -> str:
+    tables = s.scratch("rollup")
+    jobs.daily_rollup(s.views, tables=tables, as_of=s.now, exact=False)
+    return tables
+
+
+@_query
+def rollup_daily_users(s: Source) -> DataFrame:
+    """Daily users from the sketches stored by movie and date."""
+    daily = s.read(f"{_rollup_of_sketches(s)}/daily_metrics")
+    return _users_within_error(daily, ops.daily_metrics(s.views), "metric_date")
+
+
+@_query
+def rollup_movie_users(s: Source) -> DataFrame:
+    """Users of a movie over several dates, from the same sketches."""
+    popularity = s.read(f"{_rollup_of_sketches(s)}/movie_popularity")
+    now = fixtures.as_of(s.views)
+    dates = jobs.affected_dates(s.views, as_of=now)
+    exact = ops.movie_popularity(jobs.on_dates(s.views, dates), as_of=now)
+    return _users_within_error(popularity, exact, "movie_id")
+
+
 # -- the same at a past reference time ----------------------------------------
 
 
@@ -566,9 +603,11 @@ def business_metrics(s: Source) -> DataFrame:
 
 @_query
 def business_metrics_table(s: Source) -> DataFrame:
-    path = s.scratch("business")
+    """Metric rows of two days; the popular movie from counts by arrival date."""
+    path, arrivals = s.scratch("business"), s.scratch("movie-arrivals")
+    processed = read_arrivals(s.spark, s.stream_to(_same, processed_writer))
     for as_of in (s.now - F.expr("INTERVAL 1 DAY"), s.now, s.now):
-        jobs.update_business_metrics(s.views, path, as_of=as_of)
+        jobs.update_business_metrics(processed, path, as_of=as_of, arrivals=arrivals)
     return s.read(path)
 
 

@@ -312,9 +312,12 @@ WHERE event_date >= CAST({_NOW} AS DATE) - INTERVAL '7' DAY ORDER BY event_date
     "fact_last_day": f"""SELECT {_FACT_COLUMNS} FROM v
 WHERE processing_timestamp >= {_NOW} - INTERVAL '1' DAY""",
     "fact_load": f"""SELECT {_FACT_COLUMNS} FROM v
-WHERE event_date IN {_AFFECTED} OR (event_date IS NULL AND EXISTS (
-  SELECT 1 FROM v WHERE event_date IS NULL
-    AND processing_timestamp >= {_NOW} - INTERVAL '1' DAY))""",
+WHERE event_date IN {_AFFECTED} OR (event_date IS NULL
+  AND CAST(processing_timestamp AS DATE) IN (
+    SELECT CAST(processing_timestamp AS DATE) FROM v WHERE event_date IS NULL
+      AND processing_timestamp >= {_NOW} - INTERVAL '1' DAY))""",
+    "lake_changes": """SELECT CAST(processing_timestamp AS DATE) AS processing_date, event_date,
+  count(*) AS n_rows FROM v GROUP BY 1, 2""",
     "daily_metrics": _DAILY.format(where="true"),
     "daily_metrics_table": _DAILY.format(where=f"event_date IN {_AFFECTED}"),
     "movie_popularity": _POPULARITY.format(now=_NOW, where="true"),
@@ -325,6 +328,11 @@ WHERE event_date IN {_AFFECTED} OR (event_date IS NULL AND EXISTS (
   true AS within_error FROM ({_DAILY.format(where="true")}) d""",
     "approx_movie_users": f"""SELECT movie_id, total_views, unique_users AS exact_users,
   true AS within_error FROM ({_POPULARITY.format(now=_NOW, where="true")}) p""",
+    "rollup_daily_users": f"""SELECT metric_date, total_views, unique_users AS exact_users,
+  true AS within_error FROM ({_DAILY.format(where=f"event_date IN {_AFFECTED}")}) d""",
+    "rollup_movie_users": f"""SELECT movie_id, total_views, unique_users AS exact_users,
+  true AS within_error FROM (
+    {_POPULARITY.format(now=_NOW, where=f"event_date IN {_AFFECTED}")}) p""",
     "business_metrics": _business(_NOW),
     "business_metrics_table": f"""{_business(_NOW)}
 UNION ALL {_business(_YESTERDAY)}""",

@@ -151,6 +151,21 @@ ALERTS = schema_of(
     alert_type="string", message="string", severity="string", created_at="timestamp"
 )
 
+LAKE_CHANGES = schema_of(processing_date="date", event_date="date", n_rows="long")
+
+#: Views of a movie on a day; ``users`` is a HyperLogLog sketch of its users.
+MOVIE_DAILY = schema_of(
+    event_date="date",
+    movie_id="string",
+    total_views="long",
+    total_watch_time="long",
+    n_watched="long",
+    users="binary",
+)
+
+#: Rows of a movie by the date they arrived.
+MOVIE_ARRIVALS = schema_of(processing_date="date", movie_id="string", views="long")
+
 #: Where each user of a session stream stands.
 SESSION_USERS = schema_of(
     bucket="int", user_id="string", last_time="timestamp", last_seq="long"

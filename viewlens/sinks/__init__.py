@@ -1,14 +1,16 @@
 from .batches import (
+    change_table,
     fact_writer,
     fan_out,
     jdbc_writer,
     lake_writer,
     layered_writer,
     processed_writer,
+    read_arrivals,
     update_log_writer,
 )
 from .kafka import producer_options, publish
-from .layered import LayeredTable
+from .layered import LayeredTable, event_table
 from .report import save_report
 from .tables import (
     append_run,
@@ -24,9 +26,11 @@ from .views import classify_views, load_views, loaded_views, rejected_views
 __all__ = [
     "LayeredTable",
     "append_run",
+    "change_table",
     "classify_views",
     "conform",
     "create_table",
+    "event_table",
     "fact_writer",
     "fan_out",
     "jdbc_writer",
@@ -39,6 +43,7 @@ __all__ = [
     "producer_options",
     "publish",
     "refresh",
+    "read_arrivals",
     "rejected_views",
     "replace_partitions",
     "save_report",

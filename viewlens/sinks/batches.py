@@ -11,12 +11,13 @@ import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ARRIVAL_DATE, with_arrival_date
 from ..operators.enrich import fact_columns, processed_columns
-from .layered import LayeredTable
+from ..schemas import LAKE_CHANGES
+from .layered import LayeredTable, event_table
 from .tables import append_run
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -35,42 +36,79 @@ def kept(batch: DataFrame) -> Iterator[DataFrame]:
         batch.unpersist()
 
 
-def lake_writer(path: str) -> BatchWriter:
-    """All columns of enriched events to the lake, by arrival date."""
-    return _event_writer(path, with_arrival_date, ARRIVAL_DATE)
+def lake_writer(path: str, *, compact_every: int = 50) -> BatchWriter:
+    """All columns of enriched events to the lake, by arrival date, and what changed by it.
 
+    ``changes`` counts the rows of each pair of arrival and event date, so a load
+    knows which days of the lake hold the events of a date.
+    """
+    write_events = event_writer(path, with_arrival_date, compact_every=compact_every)
+    changes = change_table(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as rows:
+            pairs = with_arrival_date(rows).groupBy(ARRIVAL_DATE, "event_date")
+            changes.append(pairs.agg(F.count("*").alias("n_rows")), batch_id)
+            write_events(rows, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            changes.compact(batch.sparkSession)
+            changes.vacuum(batch.sparkSession)
+
+    return write
+
+
+def change_table(lake: str) -> LayeredTable:
+    """(processing_date, event_date, n_rows) of a lake; the event date may be NULL."""
+    keys = (ARRIVAL_DATE, "event_date")
+    return LayeredTable(f"{lake}/changes", LAKE_CHANGES, keys, ARRIVAL_DATE, {"n_rows": "sum"})
 
-def processed_writer(path: str) -> BatchWriter:
+
+def processed_writer(path: str, *, compact_every: int = 50) -> BatchWriter:
     """Enriched events to ``user_views_processed``, by arrival date."""
-    return _event_writer(path, lambda b: with_arrival_date(processed_columns(b)), ARRIVAL_DATE)
+    transform = lambda rows: with_arrival_date(processed_columns(rows))
+    return event_writer(path, transform, compact_every=compact_every)
 
 
-def fact_writer(path: str) -> BatchWriter:
-    """Enriched events to ``user_views_fact``, by event date.
+def event_writer(path: str, transform, *, compact_every: int = 50) -> BatchWriter:
+    """Events to a layered table without keys, by arrival date; read it through ``read_arrivals``.
 
-    A batch can hold many event dates, so rows are brought together by date
-    first; large dates are split again.
+    The batch is kept while it is tested and written, so its source is read once.
     """
-    return _event_writer(
-        path, lambda b: fact_columns(b).hint("rebalance", "event_date"), "event_date"
-    )
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with kept(batch) as rows:
+            if not rows.isEmpty():
+                events = transform(rows)
+                table = LayeredTable(path, events.schema, (), ARRIVAL_DATE)
+                table.append(events, batch_id)
+                if (batch_id + 1) % compact_every == 0:
+                    table.compact(spark)
+                    table.vacuum(spark)
 
-def _event_writer(path: str, transform, partition_by: str) -> BatchWriter:
-    """Parquet folder per batch; an empty batch writes nothing.
+    return write
 
-    The batch is kept while it is tested and written, so its source is read once.
+
+def read_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table of events, with their ``processing_date``."""
+    return event_table(spark, path, ARRIVAL_DATE).read(spark)
+
+
+def fact_writer(path: str, *, compact_every: int | None = None) -> BatchWriter:
+    """Enriched events to ``user_views_fact``, by event date, a folder for each batch.
+
+    A batch can hold many event dates, so rows are brought together by date
+    first; large dates are split again. Rows may lack the date, so the table is
+    not folded; an empty batch writes nothing. The batch is kept while it is
+    tested and written, so its source is read once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with kept(batch) as rows:
             if not rows.isEmpty():
-                (
-                    transform(rows)
-                    .write.mode("overwrite")
-                    .partitionBy(partition_by)
-                    .parquet(f"{path}/batch_id={batch_id}")
-                )
+                facts = fact_columns(rows).hint("rebalance", "event_date")
+                folder = f"{path}/batch_id={batch_id}"
+                facts.write.mode("overwrite").partitionBy("event_date").parquet(folder)
 
     return write
 

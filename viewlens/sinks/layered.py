@@ -1,11 +1,12 @@
 """Tables that take small appends for ever and stay cheap to read.
 
-A layered table holds one row per key. Batches are appended to a tail; a compaction
-folds the tail into a base, of which it rewrites only the partitions that the
-tail touches. A manifest names what is valid:
+A layered table holds one row per key, or plain events when it has no key. Batches
+are appended to a tail; a compaction folds the tail into a base, of which it
+rewrites only the partitions that the tail touches. Events are not rewritten; their
+partitions get one more run. A manifest names what is valid:
 
 tail/batch_id=N/PART=x      rows of batch N; the same batch again replaces its own
-base/run=R/PART=x           rows folded by run R, one per key
+base/run=R/PART=x           rows folded by run R
 manifest/V-T                version V: (PART, run) of the base; batches up to T are in it
 
 A reader takes the newest manifest, the runs it names and the complete batches
@@ -53,6 +54,8 @@ class Snapshot:
 class LayeredTable:
     """One row per key; keys may be NULL, but not ``partition``, which is one of them.
 
+    Without keys every row counts.
+
     ``merge`` names the aggregate of each value column. Without it the row of the
     latest batch counts, and a batch must have one row per key.
     """
@@ -64,7 +67,7 @@ class LayeredTable:
     merge: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        if self.partition not in self.keys:
+        if self.keys and self.partition not in self.keys:
             raise ValueError(f"{self.partition} is not a key")
         rest = {*self.schema.fieldNames()} - {*self.keys}
         if self.merge and rest != {*self.merge}:
@@ -99,15 +102,17 @@ class LayeredTable:
             return False
         tail = self._tail(spark, batches)
         touched = self._partitions(tail)
-        before = self._base(spark, now).join(touched, self.partition, "left_semi")
+        named, folded = self._named(spark, now.manifest), tail
+        if self.keys:
+            before = self._base(spark, now).join(touched, self.partition, "left_semi")
+            folded = self._combined(before, tail)
+            named = named.join(touched, self.partition, "left_anti")
         run = uuid.uuid4().hex
         (
-            self._combined(before, tail)
-            .hint("rebalance", self.partition)
+            folded.hint("rebalance", self.partition)
             .write.partitionBy(self.partition)
             .parquet(f"{self.path}/base/{RUN}={run}")
         )
-        named = self._named(spark, now.manifest).join(touched, self.partition, "left_anti")
         named = named.unionByName(touched.withColumn(RUN, F.lit(run)))
         version = f"{now.version + 1:010d}-{batches[-1]}"
         named.coalesce(1).write.mode("error").parquet(f"{self.path}/manifest/{version}")
@@ -234,6 +239,8 @@ class LayeredTable:
         Rows of the tail are later than all of the base, so where the latest counts
         the base is only looked up by the keys of the tail, not grouped.
         """
+        if not self.keys:
+            return base.unionByName(tail)
         if self.merge:
             return self._merged(base.unionByName(tail))
         rest = [c for c in tail.columns if c not in {*self.keys, BATCH}]
@@ -248,3 +255,17 @@ class LayeredTable:
         if BATCH in rows.columns:
             merged.append(F.max(BATCH).alias(BATCH))
         return rows.groupBy(*self.keys).agg(*merged)
+
+
+def event_table(spark: SparkSession, path: str, partition: str) -> LayeredTable:
+    """The table of events at a path, with the columns of its last complete batch."""
+    batches = complete_numbers(spark, f"{path}/tail", BATCH)
+    folder = f"tail/{BATCH}={batches[-1]}" if batches else None
+    if folder is None:
+        runs = values(spark, f"{path}/base", RUN, complete=True)
+        if not runs:
+            raise FileNotFoundError(f"{path} has no batch yet")
+        folder = f"base/{RUN}={runs[-1]}"
+    found = spark.read.parquet(f"{path}/{folder}").schema
+    fields = [f for f in found.fields if f.name not in (BATCH, RUN)]
+    return LayeredTable(path, StructType(fields), (), partition)

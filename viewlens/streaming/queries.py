@@ -111,8 +111,8 @@ def start_event_tables(
     """Raw view events to event tables and to both statistics tables.
 
     The event tables share one read of the source. Add ``user_views_fact`` only
-    where no rollup job fills that table. Statistics are layered tables: read them
-    through ``statistics_table``. ``sessions`` and ``retention`` add the tables
+    where no rollup job fills that table. Lake and processed events are read through
+    ``read_arrivals``, statistics through ``statistics_table``. ``sessions`` and ``retention`` add the tables
     user_metrics and retention. ``corrections`` adds movie_totals, device_totals and
     start_totals, which keep late rows (see ``WindowTotals``). With ``database``, JDBC options without a table
     name, processed events and statistics also go to tables of these names there.
@@ -125,7 +125,9 @@ def start_event_tables(
         connection = database | {"dbtable": table}
         return fan_out(writer, jdbc_writer(connection, transform=transform))
 
-    write_events = fan_out(*[EVENT_TABLES[t](f"{tables}/{t}") for t in event_tables])
+    write_events = fan_out(
+        *[EVENT_TABLES[t](f"{tables}/{t}", compact_every=compact_every) for t in event_tables]
+    )
     write_events = also_stored(write_events, "user_views_processed", processed_columns)
 
     def begin(df: DataFrame, writer: BatchWriter, name: str, mode: str) -> StreamingQuery:
