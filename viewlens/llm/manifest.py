@@ -19,13 +19,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import places, sorted_parts, written
+
 FANOUT = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-#: monotonically_increasing_id is the partition above these bits and the row below.
-ROW_BITS = 33
 PATH = "array<struct<before:string,after:string>>"
 
 
@@ -71,11 +71,10 @@ def build(rows: DataFrame, scratch: str, fanout: int = FANOUT) -> Manifest:
     """
     if fanout < 2:
         raise ValueError("fanout must be 2 or more")
-    spark = rows.sparkSession
     rows = rows.select("source", "key", "leaf", "claim")
-    leaves = _sorted(rows, ["source", "key", "leaf", "claim"], f"{scratch}/leaves")
+    leaves = sorted_parts(rows, ["source", "key", "leaf", "claim"], f"{scratch}/leaves")
     parts = leaves.groupBy("source", "part").agg(F.count("*").alias("n"), F.min("row").alias("first"))
-    parts = _written(parts, f"{scratch}/parts")
+    parts = written(parts, f"{scratch}/parts")
     subtrees = _numbered_sources(parts, scratch)
     earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -96,7 +95,7 @@ def build(rows: DataFrame, scratch: str, fanout: int = FANOUT) -> Manifest:
     subroots = subroots.join(subtrees, "tree").select(
         "tree", F.col("of_source").alias("source"), "size", F.col("hash").alias("subroot")
     )
-    subroots = _written(subroots, f"{scratch}/subroots")
+    subroots = written(subroots, f"{scratch}/subroots")
     n = subroots.count()
     tops = subroots.select(
         F.lit(0).cast("long").alias("tree"),
@@ -116,7 +115,7 @@ def proofs(manifest: Manifest) -> DataFrame:
     own one in its run. It is empty for the only row of a table.
     """
     spark = manifest.subroots.sparkSession
-    base = manifest.subroots.sparkSession.createDataFrame([(0, 0, [])], f"tree long, pos long, path {PATH}")
+    base = spark.createDataFrame([(0, 0, [])], f"tree long, pos long, path {PATH}")
     for runs in reversed(manifest.top_runs):
         base = _handed_down(runs, base, manifest.fanout).select("tree", "pos", "path")
     base = manifest.subroots.select("tree", "subroot").join(
@@ -188,31 +187,10 @@ def verify_rows(docs: DataFrame, scratch: str, tampered: Column, changed: dict[s
     )
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _sorted(df: DataFrame, order: Sequence[str], path: str) -> DataFrame:
-    """The rows in order, null first, with the number of their part and of the row in it."""
-    number = F.col("number")
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = _written(ordered.withColumn("number", F.monotonically_increasing_id()), path)
-    row = number.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return placed.withColumns({"part": F.shiftright(number, ROW_BITS), "row": row}).drop("number")
-
-
 def _numbered_sources(parts: DataFrame, scratch: str) -> DataFrame:
     """(tree, of_source, size): sources in order, numbered from 0."""
     sizes = parts.groupBy(F.col("source").alias("of_source")).agg(F.sum("n").alias("size"))
-    placed = _sorted(sizes, ["of_source"], f"{scratch}/sources")
-    # One row for each part of the sort, so this window stays small.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("part").agg(F.count("*").alias("n"))
-    starts = starts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return placed.join(starts, "part").select(
-        (F.col("start") + F.col("row")).alias("tree"), "of_source", "size"
-    )
+    return places(sizes, ["of_source"], f"{scratch}/sources", "tree")
 
 
 def _raise(nodes: DataFrame, path: str, largest: int, fanout: int) -> tuple[list[DataFrame], DataFrame]:
@@ -232,7 +210,7 @@ def _raise(nodes: DataFrame, path: str, largest: int, fanout: int) -> tuple[list
         runs = nodes.groupBy("tree", F.expr(f"pos div {fanout}").alias("pos")).agg(
             F.max("size").alias("size"), *spread
         )
-        runs = _written(runs, f"{path}-{len(levels)}")
+        runs = written(runs, f"{path}-{len(levels)}")
         levels.append(runs)
         joined = F.sha2(F.concat_ws("", *[f"c{i}" for i in slots]), 256)
         raised = runs.select(

@@ -21,9 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import places, written
+
 #: Rows from which references are chosen; they decide how much is filtered, not what is found.
 SAMPLE = 512
 #: Error of a stored angle, and of a bound relative to the product of norms.
@@ -67,7 +69,6 @@ def mine(
     vector scores 0 with all. Other columns are not read. An empty table, or one
     without anchors, gives no rows.
     """
-    spark = vectors.sparkSession
     rows = stored_rows(vectors, scratch, settings)
     near = Window.partitionBy("anchor_id", "window").orderBy(F.col("score").desc(), "vec_id")
     n = rows.count()
@@ -77,7 +78,7 @@ def mine(
 
     def search(name: str, wanted: DataFrame, same: bool, k: int) -> DataFrame:
         """The first k rows of each window: anchor_id, window, vec_id, score, rank."""
-        first = _written(_search(rows, chunked, wanted, 0, 1, same, k), f"{scratch}/{name}-first")
+        first = written(_search(rows, chunked, wanted, 0, 1, same, k), f"{scratch}/{name}-first")
         found = first
         if n_blocks > 1:
             least = first.groupBy("anchor_id", "window").agg(
@@ -89,7 +90,7 @@ def mine(
             rest = _search(rows, chunked, raised, 1, n_blocks, same, k)
             found = first.unionByName(rest)
         ranked = found.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
-        return _written(ranked, f"{scratch}/{name}")
+        return written(ranked, f"{scratch}/{name}")
 
     every = chunked.select(
         F.col("vec_id").alias("anchor_id"),
@@ -152,7 +153,7 @@ def stored_rows(vectors: DataFrame, scratch: str, settings: Settings) -> DataFra
             }
             yield pa.RecordBatch.from_pydict(fields)
 
-    return _written(single.mapInArrow(place, ROW), f"{scratch}/rows")
+    return written(single.mapInArrow(place, ROW), f"{scratch}/rows")
 
 
 def choose_references(rows: DataFrame, n: int) -> np.ndarray:
@@ -226,15 +227,13 @@ def score_bounds(least, most, norm_least, norm_most, angles, norms):
 
 
 def _chunks(anchors: DataFrame, scratch: str, settings: Settings) -> DataFrame:
-    """The anchors with their chunk, ordered by nearest reference and the angle to it."""
-    placed = _written(anchors, f"{scratch}/anchors-found")
-    n = placed.count()
-    size = max(settings.chunk_anchors, -(-n // MOST_CHUNKS))
+    """The anchors with their chunk: neighbours by nearest reference and the angle to it."""
     closest = F.array_min("angles")
-    ordered = placed.repartitionByRange(
-        max(1, -(-n // size)), F.array_position("angles", closest), closest, "vec_id"
-    )
-    return _written(ordered.withColumn("chunk", F.spark_partition_id()), f"{scratch}/anchors")
+    order = [F.array_position("angles", closest), closest, F.col("vec_id")]
+    placed = places(anchors, order, f"{scratch}/anchors-sorted", "place")
+    size = max(settings.chunk_anchors, -(-anchors.count() // MOST_CHUNKS))
+    chunk = F.expr(f"cast(place div {size} as int)")
+    return written(placed.withColumn("chunk", chunk).drop("place"), f"{scratch}/anchors")
 
 
 def _bounds(anchors: DataFrame, n_references: int) -> list:
@@ -334,8 +333,3 @@ def integer_scores(vectors: np.ndarray, query: np.ndarray, most: float) -> np.nd
     if most < 1 << 52:
         return (vectors @ query).astype(np.int64)
     return vectors.astype(np.int64) @ query.astype(np.int64)
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
