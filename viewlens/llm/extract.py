@@ -1,11 +1,10 @@
 """Main text of web pages by consensus of each host's pages.
 
-Every container of a page is scored by the text within it. Pages vote, with the
-share of their best score that a container reaches, for its generalised path, made of
-the tags and classes from the page down to it. The sums of the votes order the paths
-of a host, and each page is read again by the first of these that it has. A page that
-looks odd by itself, with a short article beside a long notice, so follows the others
-of its host.
+Every container of a page is scored by the text within it. Each page votes for the
+generalised path of its best one, made of the tags and classes from the page down to
+it. The votes order the paths of a host, and each page is read again by the first of
+these that it has. A page that looks odd by itself, with a short article beside a
+long notice, so follows the others of its host.
 """
 
 from __future__ import annotations
@@ -53,29 +52,22 @@ def scores(page: Page) -> tuple[list[int], list[int]]:
     return found, plain
 
 
-def votes(page: Page) -> dict[str, int]:
-    """Thousandths of the page's best score that the best container of each path reaches."""
-    found, _ = scores(page)
-    best = max(found)
-    shares: dict[str, int] = {}
-    for path, score in zip(page.paths, found, strict=True):
-        if score:
-            shares[path] = max(shares.get(path, 0), score * 1000 // best)
-    return shares
-
-
-def main_text(page: Page, paths: Sequence[str]) -> str:
-    """Text of the best container that has the first known path; else of the best one.
+def best_container(page: Page, path: str | None = None) -> int:
+    """The container of this path, or of any, with the best score.
 
     Among equals the one with more text counts, then the deepest, then the first.
     """
-    known = set(page.paths)
-    path = next((p for p in paths if p in known), None)
     found, plain = scores(page)
-    chosen = max(
+    return max(
         (i for i, p in enumerate(page.paths) if path is None or p == path),
         key=lambda i: (found[i], plain[i], page.paths[i].count("/"), -i),
     )
+
+
+def main_text(page: Page, paths: Sequence[str]) -> str:
+    """Text of the best container that has the first known path; else of the best one."""
+    known = set(page.paths)
+    chosen = best_container(page, next((p for p in paths if p in known), None))
     inside = [False] * len(page.tags)
     for i, parent in enumerate(page.parents):
         inside[i] = i == chosen or parent >= 0 and inside[parent]
@@ -85,16 +77,17 @@ def main_text(page: Page, paths: Sequence[str]) -> str:
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, paths): the paths of each host with most votes, best first.
 
-    Ties go to the deeper path, then to the lesser one. Pages without a host have
-    nothing in common and do not vote.
+    Ties go to the deeper path, then to the lesser one. Pages without text do not
+    vote, nor do those without a host, which have nothing in common.
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: dict[tuple[str, str], int] = defaultdict(int)
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for path, share in votes(read_page(html)).items():
-                    sums[host, path] += share
+                page = read_page(html)
+                if page.blocks:
+                    sums[host, page.paths[best_container(page)]] += 1
             hosts, paths = zip(*sums, strict=True) if sums else ((), ())
             columns = [pa.array(hosts, pa.string()), pa.array(paths, pa.string())]
             columns.append(pa.array(list(sums.values()), pa.int64()))

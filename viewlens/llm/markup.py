@@ -48,12 +48,13 @@ LEFT_OUT_ROLES = {
     "menubar", "navigation", "search", "status", "toolbar",
 }
 MAIN_TAGS = {"article", "main"}
-#: Words of a class or id, with those that count for an article or main element too.
-COMMENT_WORDS = {
+#: Words of a class or id: those that always count, and those that do not where
+#: the element is an article or main element, or holds one.
+ALWAYS_WORDS = {
     "ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "disqus", "promo",
     "related", "replies", "reply", "sponsor", "sponsored", "teaser",
 }
-LEFT_OUT_WORDS = COMMENT_WORDS | {
+LEFT_OUT_WORDS = {
     "adsense", "alert", "banner", "breadcrumb", "breadcrumbs", "consent", "cookie", "cookies",
     "copyright", "disclaimer", "discussion", "footer", "gdpr", "login", "masthead", "menu",
     "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification",
@@ -61,7 +62,8 @@ LEFT_OUT_WORDS = COMMENT_WORDS | {
     "sidebar", "signup", "sitemap", "skip", "social", "subscribe", "taboola", "toolbar", "topbar",
     "widget",
 }
-#: A class that begins so tells what an element goes with, not what it is.
+#: A class that begins or ends so tells what an element goes with, not what it is.
+STATES = {"active", "closed", "disabled", "enabled", "off", "on", "open"}
 ABOUT = {
     "cat", "category", "format", "has", "hide", "is", "lang", "no", "not", "page", "show", "status",
     "tag", "theme", "type", "with", "without",
@@ -112,11 +114,12 @@ def step(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *plain])[:STEP]
 
 
-def left_out_by_name(tag: str, attributes: dict[str, str]) -> bool:
-    words = COMMENT_WORDS if tag in MAIN_TAGS else LEFT_OUT_WORDS
+def named(words: set[str], attributes: dict[str, str]) -> bool:
+    """Whether a class or the id of an element holds one of the words."""
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         parts = [w.lower() for w in WORD.findall(name)]
-        if parts and parts[0] not in ABOUT and not words.isdisjoint(parts):
+        about = not parts or parts[0] in ABOUT or parts[-1] in STATES
+        if not about and not words.isdisjoint(parts):
             return True
     return False
 
@@ -125,6 +128,7 @@ def left_out_always(tag: str, attributes: dict[str, str]) -> bool:
     style = attributes.get("style", "").replace(" ", "").lower()
     return (
         tag in LEFT_OUT
+        or named(ALWAYS_WORDS, attributes)
         or attributes.get("role", "").strip().lower() in LEFT_OUT_ROLES
         or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
@@ -237,7 +241,7 @@ class _Reader:
         if name == "a":
             self.in_link = "href" in attributes
         out = left_out_always(name, attributes)
-        by_name = not out and left_out_by_name(name, attributes)
+        by_name = not out and name not in MAIN_TAGS and named(LEFT_OUT_WORDS, attributes)
         if not (block or out or by_name or self.left_out):
             return
         self.open.append((name, self.container, self.left_out, self.region))

@@ -228,8 +228,9 @@ SELECT c.doc_id, c.leaf, s.hash AS subroot, r.hash AS root, sha256(c.proof) AS p
 FROM climbed c JOIN n_root s ON s.tree = c.tree CROSS JOIN t_root r"""
 
 
-#: Character references that the pages of the given tables hold; & comes last.
-REFERENCES = (("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+#: Character references that the pages of the given tables hold, some cut before the
+#: semicolon, which these may lack; & comes last.
+REFERENCES = (("copy", "©"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&"))
 
 
 def article_texts() -> str:
@@ -238,7 +239,7 @@ def article_texts() -> str:
     text = "regexp_replace(b, '<br>', ' ', 'g')"
     text = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
     for name, character in REFERENCES:
-        text = f"replace({text}, '{name}', {_text(character)})"
+        text = f"regexp_replace({text}, '&{name};?', {_text(character)}, 'g')"
     text = rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
     return f"""
 WITH blocks AS (
