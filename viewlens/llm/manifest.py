@@ -245,7 +245,8 @@ def _handed_down(runs: DataFrame, above: DataFrame, fanout: int) -> DataFrame:
         ]
         fields += [F.col(f"k{i}").alias("kept")] if kept else []
         children.append(F.struct(*fields))
-    joined = runs.join(above, ["tree", "pos"])
+    # The lower levels are as large as the table; none is to be built on the driver.
+    joined = runs.join(above.hint("merge"), ["tree", "pos"])
     spread = joined.select("*", F.explode(F.array(*children)).alias("child"))
     carried = [c for c in above.columns if c not in ("tree", "pos", "path")]
     return spread.where("child.hash is not null").select(
