@@ -1,3 +1,7 @@
+import re
+import textwrap
+from pathlib import Path
+
 import pytest
 
 from viewlens.llm import licences, urls
@@ -61,3 +65,67 @@ def test_variants_of_a_licence_match(spark, documents):
 def test_no_known_licences(spark, documents):
     known = spark.createDataFrame([(None, "a"), ("x", None)], "license_id string, text string")
     assert licences.scan_licences(documents([(1, "a")]), known).first()["license_id"] is None
+
+
+LICENCE_FILES = {
+    "Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+    "GFDL-1.3": "GFDL-1.3", "Artistic": "Artistic-1.0-Perl",
+}
+
+
+def wrapped(text, width):
+    """The paragraphs in lines of another width; those with a notice stay as they are."""
+    paragraphs = text.split("\n\n")
+    return "\n\n".join(
+        p if "opyright (" in p or "Copyright" in p else textwrap.fill(p, width) for p in paragraphs
+    )
+
+
+def test_whole_licence_files_match(spark, documents):
+    files = {n: Path("/usr/share/common-licenses") / n for n in LICENCE_FILES}
+    texts = {n: f.read_text(errors="replace") for n, f in files.items() if f.exists()}
+    if not texts:
+        pytest.skip("no licence files here")
+    rows, wanted = [], {}
+    for name, text in texts.items():
+        changed = [
+            text, text.upper(), text.replace(",", " ;").replace("  ", " "), text.replace("license", "licence"),
+            text.replace("\n", "\r\n"), wrapped(text, 100), "\n\n" + text + "\n***\n",
+            "Copyright (c) 1999 A Holder\nAll rights reserved.\n\n" + text,
+        ]
+        for variant in changed:
+            wanted[len(rows)] = LICENCE_FILES[name]
+            rows.append((len(rows), variant))
+        wanted[len(rows)] = None
+        rows.append((len(rows), text + "\nNo part of this may be used on Sundays."))
+    found = {r["doc_id"]: r["license_id"] for r in licences.scan_licences(documents(rows)).collect()}
+    assert found == wanted
+
+
+def test_titles_appendices_and_list_numbers_are_optional(spark, documents):
+    texts = dict(reversed(licences.KNOWN[:7]))
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 A\n\n" + texts["MIT"]),
+        (2, "The MIT License (MIT)\n=====\n" + texts["MIT"]),
+        (3, "BSD 3-Clause License\n\nCopyright (c) 2017, B\nAll rights reserved.\n\n" + texts["BSD-3-Clause"]),
+        (4, re.sub(r"\d\. ", "* ", texts["BSD-2-Clause"])),
+        (5, "Some other title\n" + texts["Zlib"]),
+        (6, "MIT License"),
+        (7, "zlib License\n\n(C) 1995-2017 C\n\n" + texts["Zlib"]),
+        (8, texts["Unlicense"].replace("https", "http")),
+    ]
+    apache = Path("/usr/share/common-licenses/Apache-2.0")
+    if apache.exists():
+        rows.append((9, apache.read_text().split("END OF TERMS AND CONDITIONS")[0]))
+    out = {r["doc_id"]: r["license_id"] for r in licences.scan_licences(documents(rows)).collect()}
+    assert out.pop(9, "Apache-2.0") == "Apache-2.0"
+    assert out == {1: "MIT", 2: "MIT", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: None, 6: None,
+                   7: "Zlib", 8: "Unlicense"}
+
+
+def test_very_long_texts_and_ties(spark, documents):
+    known = [("b", "word " * 50_000), ("a", "Word, " * 50_000), ("c", "other")]
+    rows = [(1, "WORD " * 50_000), (2, "word " * 50_001), (3, "other")]
+    out = {r["doc_id"]: r["license_id"] for r in licences.scan_licences(documents(rows), known).collect()}
+    assert out == {1: "a", 2: None, 3: "c"}

@@ -19,46 +19,43 @@ def _canonical(line: str) -> str:
     )
 
 
-def _digest(words: str) -> str:
-    return f"sha256({words})"
+def _lines(text: str) -> str:
+    lines = f"list_transform(string_split({text}, chr(10)), lambda line: {_canonical('line')})"
+    return f"list_filter({lines}, lambda x: x <> '')"
+
+
+def _core(lines: str) -> str:
+    text = f"array_to_string({lines}, ' ')"
+    core = f"regexp_replace({text}, {_text(licences.LEADING_TITLES)}, '')"
+    return f"CASE WHEN {core} = '' THEN {text} ELSE {core} END"
 
 
 def license_scan() -> str:
-    known = ", ".join(
-        f"({i}, {_text(name)}, {_text(text)})" for i, (name, text) in enumerate(licences.KNOWN)
-    )
+    known = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in licences.KNOWN)
+    ready = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in licences.WHOLE)
+    number = r"(?m)^\s*\d+[.)]\s"
     return f"""
-WITH known_texts(n, license_id, text) AS (VALUES {known}),
-known_lines AS (
-    SELECT n, license_id, pos, {_canonical("line")} AS words FROM (
-        SELECT n, license_id, unnest(string_split(text, chr(10))) AS line,
-               generate_subscripts(string_split(text, chr(10)), 1) AS pos
-        FROM known_texts)),
+WITH known_texts(license_id, text) AS (VALUES {known}),
+forms AS (
+    SELECT license_id, text FROM known_texts
+    UNION ALL SELECT license_id, regexp_replace(text, '{number}', '', 'g') FROM known_texts),
 known AS (
     SELECT digest, min(license_id) AS license_id FROM (
-        SELECT license_id, {_digest("string_agg(words, ' ' ORDER BY pos)")} AS digest
-        FROM known_lines WHERE words <> '' GROUP BY n, license_id)
+        SELECT license_id, sha256({_core("lines")}) AS digest
+        FROM (SELECT license_id, {_lines("text")} AS lines FROM forms)
+        UNION ALL SELECT * FROM (VALUES {ready}) v(license_id, digest))
     GROUP BY digest),
-numbered AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
-lines AS (
-    SELECT n, pos, {_canonical("line")} AS words FROM (
-        SELECT n, unnest(string_split(text, chr(10))) AS line,
-               generate_subscripts(string_split(text, chr(10)), 1) AS pos
-        FROM numbered)),
-full_lines AS (SELECT n, pos, words, {_digest("words")} AS line_digest FROM lines WHERE words <> ''),
-whole AS (
-    SELECT n, {_digest("string_agg(words, ' ' ORDER BY pos)")} AS digest
-    FROM full_lines GROUP BY n),
-digests AS (
-    SELECT d.n, d.doc_id, coalesce(w.digest, sha256('')) AS digest
-    FROM numbered d LEFT JOIN whole w ON w.n = d.n)
+numbered AS (
+    SELECT row_number() OVER () AS n, doc_id, {_lines("coalesce(text, '')")} AS lines FROM documents),
+digests AS (SELECT n, doc_id, lines, sha256({_core("lines")}) AS digest FROM numbered),
+units AS (SELECT n, unnest(list_transform(lines, lambda x: sha256(x))) AS line_digest FROM digests)
 SELECT d.doc_id, d.digest, max(k.license_id) AS license_id,
        string_agg(DISTINCT o.license_id, ',' ORDER BY o.license_id) AS notices,
-       count(l.words) AS n_lines
+       count(u.line_digest) AS n_lines
 FROM digests d
 LEFT JOIN known k ON k.digest = d.digest
-LEFT JOIN full_lines l ON l.n = d.n
-LEFT JOIN known o ON o.digest = l.line_digest
+LEFT JOIN units u ON u.n = d.n
+LEFT JOIN known o ON o.digest = u.line_digest
 GROUP BY d.doc_id, d.digest"""
 
 
