@@ -226,7 +226,7 @@ def check_statistics(df, values):
         if pd.isna(want[theirs]):
             assert got[ours] is None
         else:
-            assert got[ours] == pytest.approx(want[theirs])
+            assert float(got[ours]) == pytest.approx(want[theirs])
 
 
 def test_statistics_of_extremes(spark):
@@ -237,11 +237,55 @@ def test_statistics_of_extremes(spark):
     assert got["p25"] == pytest.approx(least / 2) and got["p75"] == pytest.approx(most / 2)
     mixed = df.selectExpr("x", "CAST(x AS string) AS s", "CAST('NaN' AS double) AS y")
     rows = {r["column_name"]: r for r in ops.column_statistics(mixed).collect()}
-    assert set(rows) == {"x", "y"} and rows["y"]["max"] != rows["y"]["max"]
+    assert set(rows) == {"x", "y"} and rows["y"]["max"] == "NaN"
+    assert (rows["x"]["min"], rows["x"]["max"]) == (str(least), str(most))
     with pytest.raises(ValueError, match="numeric"):
         ops.column_statistics(mixed.select("s"))
 
 
+def test_statistics_do_not_depend_on_neighbours(spark):
+    df = spark.range(3).selectExpr(
+        "id + 9007199254740993 as a", "id / 3.0D as b", "cast(id + 0.1 as decimal(38,10)) as c",
+        "cast(id as float) as `d.e`", "if(id = 1, double('NaN'), double(id)) as f",
+    )
+    alone = {c: ops.column_statistics(df, [c]).first() for c in df.columns}
+    for row in ops.column_statistics(df).collect():
+        other = alone[row["column_name"]]
+        for name in ("n", "mean", "std", "p25", "p50", "p75"):
+            assert str(row[name]) == str(other[name])
+        assert row["min"] == str(other["min"]) or float(row["min"]) == other["min"]
+    assert alone["a"]["min"] == 9007199254740993 and alone["c"]["min"] == "0.1000000000"
+    assert alone["f"]["p50"] == 2 and str(alone["f"]["max"]) == "nan" and alone["d.e"]["p25"] == 0.5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quartiles_of_many_values_are_found_by_narrowing(spark, monkeypatch, seed):
+    import random
+    from decimal import Decimal
+
+    from viewlens.operators import profile
+
+    monkeypatch.setattr(profile, "SORTED", 5)
+    monkeypatch.setattr(profile, "ACCURACY", 20)
+    rng = random.Random(seed)
+    far = [rng.choice([-(2**63), 2**63 - 1, 0, 1, 2**62 + rng.randrange(9)]) for _ in range(400)]
+    near = [2**60 + rng.choice([0, 1, 1, 1, 2, 3, 77]) for _ in range(400)]
+    spread = [rng.gauss(0, 10 ** rng.randrange(-5, 9)) for _ in range(400)]
+    halves = [rng.choice([-1.0, 1.0]) for _ in range(396)] + [0.25, 0.5, float("inf"), -0.0]
+    prices = [Decimal(rng.randrange(10**30)).scaleb(-8) * rng.choice([1, -1]) for _ in range(400)]
+    rows = list(zip(far, near, spread, halves, prices, strict=True))
+    df = spark.createDataFrame(rows, "far long, near long, spread double, halves double, price decimal(38,8)")
+    found = {r["column_name"]: r for r in profile.column_statistics(df).collect()}
+    for name, values in zip(df.columns, zip(*rows, strict=True), strict=True):
+        ordered = sorted(values)
+        for k, quartile in enumerate(("p25", "p50", "p75"), 1):
+            low, part = divmod(399 * k, 4)
+            wanted = float(ordered[low]) * (1 - part / 4) + float(ordered[low + 1]) * (part / 4)
+            if ordered[low] == ordered[low + 1]:
+                wanted = float(ordered[low])
+            assert found[name][quartile] == wanted, (name, quartile)
+
+
 def test_column_types_and_first_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
     assert [tuple(r) for r in ops.column_types(df).collect()] == [("a", "int", 2), ("b", "string", 1)]

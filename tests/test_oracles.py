@@ -26,6 +26,20 @@ def test_query_matches_sql(spark, duck, name):
     assert frame(QUERIES[name](spark, SMALL)) == expected
 
 
+def test_the_time_zone_of_the_caller_stays(spark, duck):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in ("movie_stats_1h", "daily_metrics", "past_retention"):
+            result = duck.execute(ORACLES[name])
+            expected = table([c[0] for c in result.description], result.fetchall())
+            df = QUERIES[name](spark, SMALL)
+            assert spark.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+            assert frame(df) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 

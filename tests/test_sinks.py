@@ -154,6 +154,18 @@ def test_scratch_is_shared(spark):
 
     assert scratch_dir(Unset, "x").startswith("s3://w/_scratch/x-")
 
+    class OneMachine:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "file:/w"}.get(key, default))
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(OneMachine, "x")
+    OneMachine.sparkContext.master = "local[4]"
+    assert scratch_dir(OneMachine, "x").startswith("file:/w/_scratch/x-")
+
 
 def test_build_session_reuses_settings(spark):
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"

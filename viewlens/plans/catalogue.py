@@ -132,8 +132,13 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 def _runner(function: Callable[[Source], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Expressions take the zone when they are made, so the caller's can be put back.
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _plain_times(function(Source(spark, sf_dir)))
+        try:
+            return _plain_times(function(Source(spark, sf_dir)))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     run.__name__ = function.__name__
     return run
@@ -757,13 +762,28 @@ def column_statistics(s: Source) -> DataFrame:
     return statistics.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+def _rounded(statistics: DataFrame) -> DataFrame:
+    return statistics.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
+
+
 @_query
 def column_statistics_mixed(s: Source) -> DataFrame:
     """An integer column, a fractional one and one that is mostly NULL."""
     sometimes = F.when(F.col("event_id") % 7 == 0, F.col("value") * -1)
     events = fixtures.read_events(s.spark, s.sf_dir).withColumn("sometimes", sometimes)
-    statistics = ops.column_statistics(events, ["user_id", "value", "sometimes"])
-    return statistics.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p25", "p50", "p75")})
+    return _rounded(ops.column_statistics(events, ["user_id", "value", "sometimes"]))
+
+
+@_query
+def column_statistics_exact(s: Source) -> DataFrame:
+    """Whole numbers that no double holds and decimals, beside a fractional column."""
+    events = fixtures.read_events(s.spark, s.sf_dir).withColumns(
+        {
+            "large": F.col("event_id") % 1000 + F.lit(9007199254740993),
+            "price": F.col("user_id").cast("decimal(20,4)") + F.lit("0.0001").cast("decimal(20,4)"),
+        }
+    )
+    return _rounded(ops.column_statistics(events, ["large", "value", "price"]))
 
 
 @_query

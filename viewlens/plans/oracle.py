@@ -237,11 +237,14 @@ def _closed(body: str) -> str:
 
 
 _STATISTIC = """SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
-  round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+  round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75
-FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN -value END AS sometimes FROM events) e"""
+FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN -value END AS sometimes,
+        9007199254740993 + event_id % 1000 AS large,
+        CAST(user_id AS DECIMAL(20, 4)) + CAST(0.0001 AS DECIMAL(20, 4)) AS price
+      FROM events) e"""
 
 _LINE = """'{' || concat_ws(',',
   '"user_id":' || to_json(user_id), '"movie_id":' || to_json(movie_id),
@@ -401,6 +404,11 @@ WHERE event_date BETWEEN CAST({_PAST} AS DATE) - INTERVAL '7' DAY AND CAST({_PAS
     "column_statistics_mixed": "\nUNION ALL ".join(
         _STATISTIC.format(c=c) for c in ("user_id", "value", "sometimes")
     ),
+    "column_statistics_exact": "\nUNION ALL ".join(
+        _STATISTIC.format(c=c) for c in ("large", "value", "price")
+    )
+    .replace("stddev_samp(large)", "stddev_samp(large - 9007199254740993)")
+    .replace("round(avg(large), 6)", "avg(large - 9007199254740993) + 9007199254740993"),
 }
 
 

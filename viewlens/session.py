@@ -37,10 +37,14 @@ def build_session(app_name: str = "viewlens", master: str | None = None, **conf)
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it lies in the warehouse folder, which executors share
-    as well; a local session has it below the working folder.
+    Without that setting it lies in the warehouse folder; a local session has it
+    below the working folder. On a cluster that must not be a folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        of_machine = warehouse.startswith("file:") or ":" not in warehouse
+        if of_machine and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir; executors do not share {warehouse}")
+        base = warehouse.rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
