@@ -96,7 +96,7 @@ def test_other_fanouts(spark, scratch, fanout):
     leaf = manifest.leaf_digest([F.col(c) for c in manifest.FIELDS])
     docs = docs.select("source", F.col("doc_id").alias("key"), leaf.alias("leaf"), leaf.alias("claim"))
     made = manifest.build(docs, scratch, fanout)
-    found = manifest.proofs(made).select(
+    found = manifest.proofs(made, scratch).select(
         "key", "leaf", "subroot", F.lit(made.root), manifest.proof_digest(F.col("path"))
     )
     assert sorted(tuple(r) for r in found.collect()) == sorted(plain(rows, fanout))

@@ -191,7 +191,7 @@ TITLES = (
     "version 2 0", "version 1 1", "creative commons legal code", "cc0 1 0 universal",
     "the artistic license", "license",
 )
-LEADING_TITLES = f"^(?:(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})(?: |$))+"
+LEADING_TITLES = f"^(?:(?:{'|'.join(sorted(TITLES, key=len, reverse=True))}) )+"
 
 # Digests of longer canonical texts, with and without what follows their terms.
 WHOLE = (
@@ -229,10 +229,8 @@ WHOLE = (
 
 
 def core_text(lines: Column) -> Column:
-    """Canonical lines as one text without the titles it begins with, unless it is titles alone."""
-    text = F.array_join(lines, " ")
-    core = F.regexp_replace(text, LEADING_TITLES, "")
-    return F.when(core == "", text).otherwise(core)
+    """Canonical lines as one text without the titles before it; the last one stays if it is all."""
+    return F.regexp_replace(F.array_join(lines, " "), LEADING_TITLES, "")
 
 
 def canonical_lines(text: Column) -> Column:
@@ -305,11 +303,15 @@ def scan_licences(
     digests = known_digests(spark, known)
     if not isinstance(known, DataFrame):
         digests = F.broadcast(digests)
-    lines = docs.select(F.col(doc_id).alias("doc_id"), canonical_lines(F.col(text)).alias("lines"))
-    units = lines.select(
-        "doc_id",
-        digest(core_text(F.col("lines"))).alias("digest"),
-        F.explode_outer(F.transform("lines", digest)).alias("line_digest"),
+    # Within the lambda the lines are a variable, made once however often they are used.
+    digested = F.transform(
+        F.array(canonical_lines(F.col(text))),
+        lambda lines: F.struct(
+            digest(core_text(lines)).alias("whole"), F.transform(lines, digest).alias("lines")
+        ),
+    )
+    units = docs.select(F.col(doc_id).alias("doc_id"), F.inline(digested)).select(
+        "doc_id", F.col("whole").alias("digest"), F.explode_outer("lines").alias("line_digest")
     )
     found = units.join(digests, F.col("line_digest") == F.col("known_digest"), "left")
     documents = found.groupBy("doc_id", "digest").agg(

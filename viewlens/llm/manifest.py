@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .places import places, sorted_parts, written
 
 FANOUT = 3
+#: Levels in one plan on the way down; a longer plan costs memory of the driver.
+PLANNED = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<before:string,after:string>>"
 
@@ -72,7 +74,9 @@ def build(rows: DataFrame, scratch: str, fanout: int = FANOUT) -> Manifest:
     if fanout < 2:
         raise ValueError("fanout must be 2 or more")
     rows = rows.select("source", "key", "leaf", "claim")
-    leaves = sorted_parts(rows, ["source", "key", "leaf", "claim"], f"{scratch}/leaves")
+    order = [F.col(c) for c in ("source", "key", "leaf", "claim")]
+    ranges = [*order[:2], F.substring("leaf", 1, 8)]
+    leaves = sorted_parts(rows, order, f"{scratch}/leaves", ranges)
     parts = leaves.groupBy("source", "part").agg(F.count("*").alias("n"), F.min("row").alias("first"))
     parts = written(parts, f"{scratch}/parts")
     subtrees = _numbered_sources(parts, scratch)
@@ -108,7 +112,7 @@ def build(rows: DataFrame, scratch: str, fanout: int = FANOUT) -> Manifest:
     return Manifest(found and found["hash"], subroots, runs, top_runs, fanout)
 
 
-def proofs(manifest: Manifest) -> DataFrame:
+def proofs(manifest: Manifest, scratch: str) -> DataFrame:
     """Each leaf's key, leaf, claim, subroot and path.
 
     The path holds, from the leaf to the root, the digests before and after the
@@ -131,6 +135,8 @@ def proofs(manifest: Manifest) -> DataFrame:
         if paths is not None:
             done = done.unionByName(_handed_down(runs.where(~last), paths, manifest.fanout))
         paths = done if level == 0 else done.select("tree", "pos", "subroot", "path")
+        if level and level % PLANNED == 0:
+            paths = written(paths, f"{scratch}/paths-{level}")
     if paths is None:
         schema = f"key long, leaf string, claim string, subroot string, path {PATH}"
         return spark.createDataFrame([], schema)
@@ -175,7 +181,7 @@ def verify_rows(docs: DataFrame, scratch: str, tampered: Column, changed: dict[s
     rows = rows.withColumn("claim", F.coalesce("claim", "leaf"))
     manifest = build(rows, scratch)
     root = F.lit(manifest.root).cast("string")
-    found = proofs(manifest).withColumn("folded_root", folded(F.col("claim"), F.col("path")))
+    found = proofs(manifest, scratch).withColumn("folded_root", folded(F.col("claim"), F.col("path")))
     return found.select(
         F.col("key").alias("doc_id"),
         "leaf",

@@ -26,8 +26,7 @@ def _lines(text: str) -> str:
 
 def _core(lines: str) -> str:
     text = f"array_to_string({lines}, ' ')"
-    core = f"regexp_replace({text}, {_text(licences.LEADING_TITLES)}, '')"
-    return f"CASE WHEN {core} = '' THEN {text} ELSE {core} END"
+    return f"regexp_replace({text}, {_text(licences.LEADING_TITLES)}, '')"
 
 
 def license_scan() -> str:

@@ -17,10 +17,16 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sorted_parts(df: DataFrame, order: Sequence[str | Column], path: str) -> DataFrame:
-    """The rows in order, null first, with the number of their part and of the row in it."""
+def sorted_parts(
+    df: DataFrame, order: Sequence[str | Column], path: str, ranges: Sequence[Column] | None = None
+) -> DataFrame:
+    """The rows in order, null first, with the number of their part and of the row in it.
+
+    ``ranges`` may name shorter columns of the same order to cut parts by, since the
+    driver gets a sample of them; rows equal in these stay in one part.
+    """
     number = F.col("number")
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = df.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order)
     placed = written(ordered.withColumn("number", F.monotonically_increasing_id()), path)
     row = number.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return placed.withColumns({"part": F.shiftright(number, ROW_BITS), "row": row}).drop("number")
