@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import explain
+from pyspark.sql import functions as F
 
 from viewlens import operators as ops
 from viewlens import sinks
@@ -138,9 +139,90 @@ def test_writers_survive_a_replay(spark, tmp_path, events):
     assert facts.where("event_date is null").count() == 2
 
 
-def test_jdbc_writer_skips_empty_batches(spark):
-    write = sinks.jdbc_writer({"url": "jdbc:none", "dbtable": "t"})
-    write(spark.range(0), 0)
+class Database:
+    """Takes what the writer would send, in a database of this process."""
+
+    def __init__(self):
+        import duckdb
+
+        self.db, self.fail = duckdb.connect(), None
+
+    def store(self, rows, options):
+        frame = rows.toPandas()
+        self.db.execute(f"CREATE OR REPLACE TABLE {options['dbtable']} AS SELECT * FROM frame")
+
+    def execute(self, spark, connection, statements):
+        self.db.execute("BEGIN")
+        for number, statement in enumerate(statements):
+            if number == self.fail:
+                self.fail = None
+                self.db.execute("ROLLBACK")
+                raise OSError("lost")
+            self.db.execute(statement)
+        self.db.execute("COMMIT")
+
+    def rows(self, query):
+        return sorted(self.db.execute(query).fetchall(), key=str)
+
+
+@pytest.mark.parametrize("fail", [None, 0, 1, 2, 3, 4])
+def test_database_batches_count_once(spark, fail):
+    base = Database()
+    base.db.execute("CREATE TABLE stats (k VARCHAR, day DATE, n BIGINT)")
+    base.db.execute("CREATE TABLE events (k VARCHAR, day DATE, n BIGINT)")
+    options = {"execute": base.execute, "store": base.store}
+    keyed = sinks.database_writer({"url": "x"}, "stats", keys=["k", "day"], **options)
+    plain = sinks.database_writer({"url": "x"}, "events", **options)
+    made = "k string, day date, n long"
+    first = spark.createDataFrame([("a", date(2024, 1, 1), 1), (None, date(2024, 1, 1), 2)], made)
+    second = spark.createDataFrame([("a", date(2024, 1, 1), 5), ("b", None, 7)], made)
+    for number, batch in enumerate((first, second, first.where("false"))):
+        for write in (keyed, plain):
+            base.fail = fail if number == 1 else None
+            try:
+                write(batch, number)
+            except OSError:
+                pass
+            base.fail = None
+            write(batch, number)
+            write(batch, number)
+    assert base.rows("SELECT k, n FROM stats") == [("a", 5), ("b", 7), (None, 2)]
+    assert base.rows("SELECT k, n FROM events") == [("a", 1), ("a", 5), ("b", 7), (None, 2)]
+    assert base.rows("SELECT * FROM loaded_batches") == [
+        ("events", 0), ("events", 1), ("stats", 0), ("stats", 1)
+    ]
+    tables = {t for (t,) in base.rows("SELECT table_name FROM information_schema.tables")}
+    assert tables == {"stats", "events", "loaded_batches"}
+
+
+def test_database_names_are_checked():
+    with pytest.raises(ValueError, match="not a table name"):
+        sinks.database_writer({"url": "x"}, "t; DROP TABLE u")
+    with pytest.raises(IndexError):
+        sinks.merge_statements("a.b", ["x"], 1)[4]
+
+
+def test_top_rows_open_only_the_first_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000).selectExpr("if(id % 100 = 0, null, id div 2) as n", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.tables.refresh(df.repartition(4), path, order_by="n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 1000
+    top = sinks.read_top(spark, path, "n", 11, "id")
+    expected = df.orderBy(F.col("n").desc(), "id").limit(11)
+    assert [tuple(r) for r in top.collect()] == [tuple(r) for r in expected.collect()]
+    assert len(top.inputFiles()) < len(stored.inputFiles())
+    everything = sinks.read_top(spark, path, "n", 2000, "id")
+    assert everything.count() == 1000 and everything.tail(1)[0]["n"] is None
+    # Ranges do not overlap, so statistics of the files tell which to open.
+    bounds = sorted((b["least"], b["most"]) for b in spark.read.parquet(f"{path}/_bounds").collect())
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+    sinks.tables.refresh(df.where("false"), path, order_by="n")
+    assert sinks.read_top(spark, path, "n", 5).count() == 0
 
 
 def test_scratch_is_shared(spark):

@@ -28,6 +28,7 @@ from ..sinks import (
     loaded_views,
     processed_writer,
     read_arrivals,
+    read_top,
     rejected_views,
     update_log_writer,
     with_created_at,
@@ -503,6 +504,14 @@ def movie_popularity_table(s: Source) -> DataFrame:
     return s.read(f"{tables}/movie_popularity")
 
 
+@_query
+def popularity_top(s: Source) -> DataFrame:
+    """The ten movies at the head of the stored table, which is kept in order."""
+    tables = s.scratch("rollup")
+    jobs.daily_rollup(s.views, tables=tables, as_of=s.now)
+    return read_top(s.spark, f"{tables}/movie_popularity", "total_views", 10, "movie_id")
+
+
 #: Sketches may be off by a fifth, four times their stated standard error, or by one.
 def _users_within_error(sketched: DataFrame, exact: DataFrame, key: str) -> DataFrame:
     exact = exact.select(F.col(key).alias("_key"), F.col("unique_users").alias("exact_users"))

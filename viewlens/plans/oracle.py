@@ -327,6 +327,9 @@ WHERE event_date IN {_AFFECTED} OR (event_date IS NULL
     "movie_popularity_table": _POPULARITY.format(
         now=_NOW, where=f"event_date IN {_AFFECTED}"
     ),
+    "popularity_top": f"""SELECT * FROM (
+  {_POPULARITY.format(now=_NOW, where=f"event_date IN {_AFFECTED}")}) p
+ORDER BY total_views DESC, movie_id NULLS FIRST LIMIT 10""",
     "approx_daily_users": f"""SELECT metric_date, total_views, unique_users AS exact_users,
   true AS within_error FROM ({_DAILY.format(where="true")}) d""",
     "approx_movie_users": f"""SELECT movie_id, total_views, unique_users AS exact_users,

@@ -2,13 +2,13 @@ from .batches import (
     change_table,
     fact_writer,
     fan_out,
-    jdbc_writer,
     lake_writer,
     layered_writer,
     processed_writer,
     read_arrivals,
     update_log_writer,
 )
+from .database import database_writer, merge_statements
 from .kafka import producer_options, publish
 from .layered import LayeredTable, event_table
 from .report import save_report
@@ -17,6 +17,7 @@ from .tables import (
     conform,
     create_table,
     latest_rows,
+    read_top,
     refresh,
     replace_partitions,
     with_created_at,
@@ -30,20 +31,22 @@ __all__ = [
     "classify_views",
     "conform",
     "create_table",
+    "database_writer",
     "event_table",
     "fact_writer",
     "fan_out",
-    "jdbc_writer",
     "lake_writer",
     "latest_rows",
     "layered_writer",
     "load_views",
     "loaded_views",
+    "merge_statements",
     "processed_writer",
     "producer_options",
     "publish",
     "refresh",
     "read_arrivals",
+    "read_top",
     "rejected_views",
     "replace_partitions",
     "save_report",

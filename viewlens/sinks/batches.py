@@ -159,27 +159,6 @@ def layered_writer(
     return write
 
 
-def jdbc_writer(
-    connection: dict[str, str], *, transform=None, max_connections: int = 16
-) -> BatchWriter:
-    """Appends each batch to a database table, over a limited number of connections.
-
-    Rows carry their ``batch_id``. A batch delivered again is appended again:
-    ``latest_rows`` shows keyed statistics once all the same, while for events
-    the Parquet writers are the ones that survive a replay.
-    """
-    options = connection | {"numPartitions": str(max_connections)}
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        with kept(batch) as rows:
-            if not rows.isEmpty():
-                stored = transform(rows) if transform else rows
-                stored = stored.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                stored.write.format("jdbc").options(**options).mode("append").save()
-
-    return write
-
-
 def fan_out(*writers: BatchWriter) -> BatchWriter:
     """Several writers over one read of the batch.
 

@@ -28,15 +28,48 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
+#: Hidden from readers of the table.
+BOUNDS = "_bounds"
+
+
 def refresh(df: DataFrame, path: str, order_by: str | None = None) -> None:
     """Replaces the whole table; df must not read from path.
 
-    ``order_by`` sorts descending within each file, which is where order helps a
-    later scan; a table as such has none.
+    With ``order_by`` the files hold ranges of that column that do not overlap, the
+    greatest first, each sorted. So a filter on the column skips files by their own
+    statistics, and ``read_top`` skips them by the bounds that are stored beside.
+    """
+    if not order_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    order = F.col(order_by).desc()
+    df.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
+    bounds = (
+        df.sparkSession.read.schema(df.schema).parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(order_by).alias("least"), F.max(order_by).alias("most"), F.count("*").alias("n"))
+    )
+    bounds.coalesce(1).write.mode("overwrite").parquet(f"{path}/{BOUNDS}")
+
+
+def read_top(spark: SparkSession, path: str, order_by: str, n: int, *ties: str) -> DataFrame:
+    """The n rows of an ordered table with the greatest values, in order; ties by ``ties``.
+
+    Opens only files that can hold one of them. NULL counts as least.
     """
-    if order_by:
-        df = df.sortWithinPartitions(F.col(order_by).desc())
-    df.write.mode("overwrite").parquet(path)
+    bounds = spark.read.parquet(f"{path}/{BOUNDS}").collect()  # one row a file
+    bounds.sort(key=lambda b: (b["most"] is not None, b["most"], b["least"]), reverse=True)
+    files, rows, cutoff = [], 0, None
+    for b in bounds:
+        if rows >= n and (cutoff is not None and (b["most"] is None or b["most"] < cutoff)):
+            break
+        if rows < n:
+            cutoff = b["least"]
+        files.append(b["file"])
+        rows += b["n"]
+    schema = spark.read.parquet(path).schema
+    found = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    return found.orderBy(F.col(order_by).desc(), *ties).limit(n)
 
 
 def append_run(df: DataFrame, path: str, run_id: str | int, key: str = "run_id") -> None:

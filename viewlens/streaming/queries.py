@@ -19,12 +19,12 @@ from ..sinks.batches import (
     BatchWriter,
     fact_writer,
     fan_out,
-    jdbc_writer,
     lake_writer,
     layered_writer,
     processed_writer,
     update_log_writer,
 )
+from ..sinks.database import database_writer
 from ..sinks.layered import LayeredTable
 from .retention import retention_stream
 from .sessions import user_metrics_writer
@@ -115,20 +115,22 @@ def start_event_tables(
     ``read_arrivals``, statistics through ``statistics_table``. ``sessions`` and ``retention`` add the tables
     user_metrics and retention. ``corrections`` adds movie_totals, device_totals and
     start_totals, which keep late rows (see ``WindowTotals``). With ``database``, JDBC options without a table
-    name, processed events and statistics also go to tables of these names there.
+    name, processed events and statistics also go to tables of these names there,
+    each batch once.
     """
     enriched = enrich_events(events)
 
-    def also_stored(writer: BatchWriter, table: str, transform=None) -> BatchWriter:
+    def also_stored(writer: BatchWriter, table: str, keys=(), transform=None) -> BatchWriter:
         if database is None:
             return writer
-        connection = database | {"dbtable": table}
-        return fan_out(writer, jdbc_writer(connection, transform=transform))
+        return fan_out(writer, database_writer(database, table, keys=keys, transform=transform))
 
     write_events = fan_out(
         *[EVENT_TABLES[t](f"{tables}/{t}", compact_every=compact_every) for t in event_tables]
     )
-    write_events = also_stored(write_events, "user_views_processed", processed_columns)
+    write_events = also_stored(
+        write_events, "user_views_processed", transform=processed_columns
+    )
 
     def begin(df: DataFrame, writer: BatchWriter, name: str, mode: str) -> StreamingQuery:
         checkpoint = f"{checkpoints}/{name}"
@@ -136,7 +138,8 @@ def start_event_tables(
 
     def updates(name: str) -> BatchWriter:
         table = statistics_table(f"{tables}/{name}", name)
-        return also_stored(layered_writer(table, compact_every=compact_every), name)
+        keys = [k for k in table.keys if k != table.partition]
+        return also_stored(layered_writer(table, compact_every=compact_every), name, keys)
 
     movies, devices = movie_window_stats(enriched), device_window_stats(enriched)
     queries = [
