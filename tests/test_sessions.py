@@ -5,8 +5,9 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from viewlens.operators import spread, user_metrics
+from viewlens.operators import spread, user_metrics, user_metrics_in_ranges
 
 START = datetime(2024, 1, 1)
 SCHEMA = "user_id string, original_timestamp timestamp, session_id string, n int"
@@ -122,3 +123,55 @@ def test_sum_before(spark):
         before = [x[3] for x in rows if x[0] == r["g"] and (x[1], x[2]) < (r["a"], r["b"])]
         assert r["before"] == sum(before)
     assert len(actual) == len(rows)
+
+
+# -- sorted ranges ------------------------------------------------------------
+
+
+@pytest.fixture
+def many_parts(spark):
+    """Ranges stay as many as shuffle partitions, as in a large table."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranges_equal_the_loop(spark, tmp_path, many_parts, seed):
+    rows = random_rows(seed, 200)
+    df = spark.createDataFrame(rows, SCHEMA)
+    result = user_metrics_in_ranges(df, str(tmp_path), gap_seconds=3600)
+    assert_same([tuple(r) for r in result.collect()], by_loop(spark, rows, 3600))
+    parts = spark.read.parquet(str(tmp_path / "sorted")).selectExpr("_number >> 33 as part")
+    assert parts.distinct().count() == 4
+
+
+def test_ranges_go_on_from_earlier_state(spark, tmp_path, many_parts):
+    rows = sorted(random_rows(7, 200), key=lambda r: (r[1] is not None, r[1] or START))
+    rows = [r for r in rows if r[1] is not None]
+    cut = next(i for i in range(100, len(rows)) if rows[i][1] > rows[i - 1][1])
+    first = user_metrics(spark.createDataFrame(rows[:cut], SCHEMA))
+    known = first.groupBy("user_id").agg(
+        F.max("original_timestamp").alias("last_time"), F.max("session_seq_number").alias("last_seq")
+    )
+    rest = spark.createDataFrame(rows[cut:], SCHEMA)
+    ranged = user_metrics_in_ranges(rest, str(tmp_path), earlier=known)
+    assert_same(
+        [tuple(r) for r in ranged.collect()],
+        [tuple(r) for r in user_metrics(rest, earlier=known).collect()],
+    )
+    empty = user_metrics_in_ranges(rest.where("false"), str(tmp_path / "e"), earlier=known)
+    assert empty.count() == 0
+
+
+def test_a_crowded_second_is_spread_and_the_source_read_once(spark, tmp_path, many_parts):
+    source = str(tmp_path / "source")
+    spark.range(20_000).selectExpr(
+        "cast(null as string) as user_id", "timestamp'2024-01-01' as original_timestamp",
+        "cast(id as string) as session_id",
+    ).write.parquet(source)
+    result = user_metrics_in_ranges(spark.read.parquet(source), str(tmp_path))
+    assert result.agg(F.max("session_seq_number"), F.count("*")).first() == (1, 20_000)
+    sizes = spark.read.parquet(str(tmp_path / "sorted")).selectExpr("_number >> 33 as part")
+    assert max(r["count"] for r in sizes.groupBy("part").count().collect()) < 10_000
+    assert all("/sorted/" in f for f in result.inputFiles())

@@ -30,7 +30,7 @@ from .quality import (
 )
 from .realtime import device_window_stats, movie_window_stats, views_by_device
 from .reports import recent_events, report_document, top_movies, top_movies_chart
-from .sessions import user_metrics
+from .sessions import user_metrics, user_metrics_in_ranges
 
 __all__ = [
     "alerts",
@@ -69,6 +69,7 @@ __all__ = [
     "top_movies",
     "top_movies_chart",
     "user_metrics",
+    "user_metrics_in_ranges",
     "verify_tables",
     "view_drop_check",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seconds_between
-from .spread import join_on, row_hash, sum_before
+from .spread import join_on, row_hash, sorted_parts, sum_before
 
 SLICE_SECONDS = 60
 DAY_SECONDS = 86_400
@@ -79,6 +79,80 @@ def user_metrics(
     )
 
 
+def user_metrics_in_ranges(
+    events: DataFrame,
+    scratch: str,
+    *,
+    gap_seconds: int = 3600,
+    time_col: str = "original_timestamp",
+    tie_col: str = "session_id",
+    earlier: DataFrame | None = None,
+) -> DataFrame:
+    """The result of ``user_metrics`` for users with very many events in one minute.
+
+    The source is read once: its rows are sorted by user, time and tie into ranges of about
+    equal size, a table in ``scratch``. A range tells for each of its users the first
+    and last time and the sessions opened after the first; what a range inherits follows
+    from those summaries, of which a user has no more than there are ranges. So even a
+    user with all events in one second is spread.
+    """
+    time = F.col(time_col)
+    tie = F.coalesce(F.col(tie_col).cast("string"), F.lit(""))
+    placed = events.withColumns({"_who": F.struct("user_id"), "_hash": row_hash(events.columns)})
+    order = [F.col("_who"), time, F.when(time.isNull(), F.md5(tie)), F.col(tie_col), F.col("_hash")]
+    rows = sorted_parts(placed, order, f"{scratch}/sorted")
+    in_part = Window.partitionBy("_part", "_who").orderBy("_row")
+    rows = rows.withColumn("_previous", F.lag(time_col).over(in_part))
+    gap = seconds_between(time_col, "_previous")
+    inner = F.col("_previous").isNotNull() & (gap > gap_seconds)
+    summary = rows.groupBy("_who", "_part").agg(
+        F.min(time_col).alias("_first"),
+        F.max(time_col).alias("_last"),
+        F.count_if(time.isNull() | inner).alias("_inner"),
+    )
+    if earlier is not None:
+        users = placed.select("user_id").distinct()
+        before = join_on(earlier, users, ["user_id"], "left_semi").select(
+            F.struct("user_id").alias("_who"),
+            F.lit(-1).cast("long").alias("_part"),
+            F.lit(None).cast("timestamp").alias("_first"),
+            F.col("last_time").alias("_last"),
+            F.col("last_seq").alias("_inner"),
+        )
+        summary = summary.unionByName(before)
+    over_parts = (
+        Window.partitionBy("_who").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = F.col("_carried")
+    opens = _opens_session(seconds_between("_first", "_carried"), carried, gap_seconds)
+    first = F.when(F.col("_first").isNotNull() & opens, 1).otherwise(0)
+    parts = (
+        summary.withColumn("_carried", F.max("_last").over(over_parts))
+        .withColumn("_opened", F.col("_inner") + first)
+        .withColumn("_sessions", F.coalesce(F.sum("_opened").over(over_parts), F.lit(0)))
+        .select("_who", "_part", "_carried", "_sessions")
+    )
+    previous = F.when(time.isNotNull(), F.coalesce("_previous", "_carried"))
+    opened = F.sum(F.col("is_new_session").cast("long")).over(in_part)
+    return (
+        rows.join(parts, ["_who", "_part"])
+        .withColumn("prev_event_time", previous)
+        .withColumn("time_since_last_event", seconds_between(time_col, "prev_event_time"))
+        .withColumn(
+            "is_new_session",
+            _opens_session(F.col("time_since_last_event"), F.col("prev_event_time"), gap_seconds),
+        )
+        .withColumn("session_seq_number", F.col("_sessions") + opened)
+        .select(
+            *[F.col(f"`{c}`") for c in events.columns],
+            "prev_event_time",
+            "time_since_last_event",
+            "is_new_session",
+            "session_seq_number",
+        )
+    )
+
+
 def _opens_session(gap: Column, previous: Column, gap_seconds: int) -> Column:
     return (gap > gap_seconds) | previous.isNull()
 

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: monotonically_increasing_id is the partition above these bits and the row below.
+ROW_BITS = 33
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on the keys where NULL matches NULL; keys are kept once."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -51,3 +55,18 @@ def sum_before(
         .withColumn(name, F.col(name) + F.col(base))
         .drop(base)
     )
+
+
+def sorted_parts(df: DataFrame, order: Sequence[Column], path: str) -> DataFrame:
+    """The rows in order, null first, as a written table with ``_part`` and ``_row`` in it.
+
+    Parts are ranges of about equal size whatever values are frequent, as long as
+    ``order`` tells rows apart.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn("_number", F.monotonically_increasing_id())
+    numbered.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(numbered.schema).parquet(path)
+    number = F.col("_number")
+    row = number.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return stored.withColumns({"_part": F.shiftright(number, ROW_BITS), "_row": row}).drop("_number")

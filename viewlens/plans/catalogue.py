@@ -415,6 +415,14 @@ def user_metrics_split(s: Source) -> DataFrame:
     return metrics.select(*SESSION_COLUMNS)
 
 
+@_query
+def user_metrics_ranges(s: Source) -> DataFrame:
+    """The same over sorted ranges of the events."""
+    events = _session_events(s.views)
+    metrics = ops.user_metrics_in_ranges(events, s.scratch("sessions"), tie_col="place")
+    return metrics.select(*SESSION_COLUMNS)
+
+
 def _session_stream(s: Source, *, late: bool = False) -> str:
     """Session metrics of a stream that has ended and given out what waited."""
     root = s.scratch("user-metrics")

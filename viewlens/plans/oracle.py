@@ -295,6 +295,7 @@ FROM {_LAGGED} l WHERE {_MINUTE_END} <= closed""",
     "fact_stream": f"SELECT {_FACT_COLUMNS} FROM v",
     "user_metrics": _user_metrics("v"),
     "user_metrics_split": _user_metrics("v"),
+    "user_metrics_ranges": _user_metrics("v"),
     "user_metrics_stream": _user_metrics("v", "original_timestamp IS NOT NULL"),
     "user_metrics_stream_late": _user_metrics(
         f"{_TIMED} l", "original_timestamp > coalesce(closed, TIMESTAMP '0001-01-01')"
