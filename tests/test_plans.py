@@ -29,7 +29,7 @@ def views(spark):
     [
         "movie_stats_1h", "user_metrics", "user_metrics_split", "retention", "daily_metrics",
         "movie_popularity", "business_metrics", "top_movies_day", "monitor_checks",
-        "column_statistics", "hourly_summary", "alerts",
+        "hourly_summary", "alerts",
     ],
 )
 def test_no_python_cross_join_or_full_sort(spark, name):
