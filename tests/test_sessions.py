@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from viewlens.operators import spread, user_metrics, user_metrics_in_ranges
+from viewlens.operators import sessions, spread, user_metrics, user_metrics_in_ranges
 
 START = datetime(2024, 1, 1)
 SCHEMA = "user_id string, original_timestamp timestamp, session_id string, n int"
@@ -71,6 +71,34 @@ def test_random_rows(spark, gap, length):
     assert_same(actual, by_loop(spark, rows, gap))
 
 
+@pytest.mark.parametrize("gap", [3600, 45])
+@pytest.mark.parametrize("whole_rows", [0, 20, 40])
+def test_sliced_and_whole_users_agree(spark, gap, whole_rows):
+    rows = random_rows(gap)
+    assert_same(by_spark(spark, rows, gap_seconds=gap, whole_rows=whole_rows), by_loop(spark, rows, gap))
+
+
+def test_small_users_need_one_summary_row_each(spark):
+    """Events far apart, so that slices of a minute would be as many as the events."""
+    df = spark.range(4_000).selectExpr(
+        "cast(id % 10 as string) as user_id", "timestamp_seconds(id * 300) as original_timestamp",
+        "cast(id as string) as session_id",
+    )
+
+    def slots(**options):
+        plan = user_metrics(df, **options)
+        assert plan.agg(F.max("session_seq_number")).first()[0] == 1
+        placed = sessions.with_slices(
+            df, sessions.event_counts(df), gap_seconds=3600, time_col="original_timestamp",
+            tie_col="session_id", **options,
+        )
+        return placed.select(*sessions.SLICE).distinct().count()
+
+    assert slots() == 10
+    assert slots(whole_rows=399) == 4_000
+    assert slots(whole_rows=0) == 4_000
+
+
 @pytest.mark.parametrize(
     ("seconds", "opens"), [(3600, False), (3600.5, False), (3601, True), (0, False)]
 )

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seconds_between
-from .spread import join_on, row_hash, sorted_parts, sum_before
+from .spread import join_on, row_hash, sorted_parts
 
 SLICE_SECONDS = 60
+#: Users with at most this many events are not cut into slices.
+WHOLE_ROWS = 10_000
 DAY_SECONDS = 86_400
 #: Day of events without a time, before all others.
 NO_DAY = -(1 << 40)
-SLICE = ["_who", "_day", "_slot"]
+#: A sort compares the leading hash before it opens rows.
+SLICE = ["_key", "_who", "_day", "_slot"]
 
 
 def user_metrics(
@@ -22,7 +25,9 @@ def user_metrics(
     time_col: str = "original_timestamp",
     tie_col: str = "session_id",
     slice_seconds: int = SLICE_SECONDS,
+    whole_rows: int = WHOLE_ROWS,
     earlier: DataFrame | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Adds prev_event_time, time_since_last_event, is_new_session and
     session_seq_number, over each user's events in time order.
@@ -32,26 +37,20 @@ def user_metrics(
     each opens a session; they are ordered by the md5 of ``tie_col``. Equal times
     are ordered by the text in ``tie_col``. Further ties go by a hash of the row,
     so the result does not depend on the input order. ``earlier`` (user_id,
-    last_time, last_seq) tells where users stood before these events.
+    last_time, last_seq) tells where users stood before these events. ``users`` is
+    ``event_counts`` of the events, where the caller has it already.
 
     Events are shuffled once, by user and time slice; those without a time by user
-    and the start of their md5. A slice is no longer than the session gap, so only
-    its first event can open a session, and session numbers follow from one
-    summary row for each slice. No task gets all events of a user, such as the
-    NULL user.
+    and the start of their md5. Users with up to ``whole_rows`` events have one slice.
+    For others, such as the NULL user, a slice is no longer than the session gap, so
+    only its first event can open a session. So session numbers follow from one
+    summary row for each slice, and no task gets all events of a large user.
     """
-    length = max(1, min(slice_seconds, gap_seconds))
-    time, seconds = F.col(time_col), F.unix_timestamp(time_col)
-    tie_hash = F.md5(F.coalesce(F.col(tie_col).cast("string"), F.lit("")))
-    part = F.conv(F.substring(tie_hash, 1, 4), 16, 10).cast("long")
-    # A struct equals itself with a NULL inside too, so plain joins keep the NULL user.
-    placed = events.withColumns(
-        {
-            "_who": F.struct("user_id"),
-            "_day": F.when(time.isNull(), NO_DAY).otherwise(F.floor(seconds / DAY_SECONDS)),
-            "_slot": F.when(time.isNull(), part).otherwise(F.floor(seconds / length)),
-            "_hash": row_hash(events.columns),
-        }
+    time, tie_hash = F.col(time_col), _tie_hash(tie_col)
+    users = event_counts(events) if users is None else users
+    placed = with_slices(
+        events, users, gap_seconds=gap_seconds, time_col=time_col, tie_col=tie_col,
+        slice_seconds=slice_seconds, whole_rows=whole_rows,
     )
     in_slice = Window.partitionBy(*SLICE).orderBy(
         time_col, F.when(time.isNull(), tie_hash), tie_col, "_hash"
@@ -59,10 +58,15 @@ def user_metrics(
     numbered = placed.withColumns(
         {"_previous": F.lag(time_col).over(in_slice), "_place": F.row_number().over(in_slice)}
     )
+    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = F.count_if(seconds_between(time_col, "_previous") > gap_seconds).over(so_far)
+    numbered = numbered.withColumn("_inner", inner)
+    if earlier is not None:
+        earlier = join_on(earlier, users, ["user_id"], "left_semi")
     slices = _slice_starts(placed, time_col, gap_seconds, earlier)
     previous = F.when(time.isNotNull(), F.coalesce("_previous", "_carried"))
     gap = F.col("time_since_last_event")
-    within = F.when(time.isNull(), F.col("_place")).otherwise(F.col("_opened"))
+    within = F.when(time.isNull(), F.col("_place")).otherwise(F.col("_opened") + F.col("_inner"))
     return (
         numbered.join(slices, SLICE)
         .withColumn("prev_event_time", previous)
@@ -79,6 +83,57 @@ def user_metrics(
     )
 
 
+def event_counts(events: DataFrame) -> DataFrame:
+    """(user_id, n_events) of the users of these events."""
+    return events.groupBy("user_id").agg(F.count("*").alias("n_events"))
+
+
+def with_slices(
+    events: DataFrame,
+    users: DataFrame,
+    *,
+    gap_seconds: int,
+    time_col: str,
+    tie_col: str,
+    slice_seconds: int = SLICE_SECONDS,
+    whole_rows: int = WHOLE_ROWS,
+) -> DataFrame:
+    """The events with the columns of their slice and a hash; ``users`` are their counts."""
+    length = max(1, min(slice_seconds, gap_seconds))
+    time, seconds = F.col(time_col), F.unix_timestamp(time_col)
+    part = F.conv(F.substring(_tie_hash(tie_col), 1, 4), 16, 10).cast("long")
+    # A struct equals itself with a NULL inside too, so plain joins keep the NULL user.
+    placed = events.withColumns(
+        {
+            "_key": F.xxhash64("user_id"),
+            "_who": F.struct("user_id"),
+            "_hash": row_hash(events.columns),
+        }
+    )
+    whole = F.lit(False)
+    if whole_rows > 0:
+        large = users.where(F.col("n_events") > whole_rows).select(
+            F.struct("user_id").alias("_who"), F.lit(True).alias("_large")
+        )
+        # The list is shorter than the events by that factor, so it can be broadcast.
+        placed = placed.join(F.broadcast(large), ["_who"], "left")
+        whole = F.col("_large").isNull()
+    return placed.withColumns(
+        {
+            "_day": F.when(time.isNull(), NO_DAY)
+            .when(whole, 0)
+            .otherwise(F.floor(seconds / DAY_SECONDS)),
+            "_slot": F.when(time.isNull(), part)
+            .when(whole, 0)
+            .otherwise(F.floor(seconds / length)),
+        }
+    )
+
+
+def _tie_hash(tie_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(tie_col).cast("string"), F.lit("")))
+
+
 def user_metrics_in_ranges(
     events: DataFrame,
     scratch: str,
@@ -163,7 +218,9 @@ def _slice_starts(
     """For each slice the time before it, whether it opens a session, and sessions before it.
 
     The summary has one row per user and slice with events, made by a partial
-    aggregate. Its windows hold the slices of one day or the days of one user.
+    aggregate. Its window holds the slices of a user, no more than the time covered has
+    slices, however many the events. A user's only timed slice may open further
+    sessions; none comes after it that would count them.
     """
     summary = placed.groupBy(*SLICE).agg(
         F.min(time_col).alias("_first"),
@@ -172,9 +229,9 @@ def _slice_starts(
     )
     if earlier is not None:
         # Where a user stood is a slice before all others that holds no event.
-        users = placed.select("user_id").distinct()
         summary = summary.unionByName(
-            join_on(earlier, users, ["user_id"], "left_semi").select(
+            earlier.select(
+                F.xxhash64("user_id").alias("_key"),
                 F.struct("user_id").alias("_who"),
                 F.lit(NO_DAY).cast("long").alias("_day"),
                 F.lit(-1).cast("long").alias("_slot"),
@@ -183,22 +240,16 @@ def _slice_starts(
                 F.col("last_seq").alias("_rows"),
             )
         )
-    before = (Window.unboundedPreceding, -1)
-    in_day = Window.partitionBy("_who", "_day").orderBy("_slot").rowsBetween(*before)
-    over_days = Window.partitionBy("_who").orderBy("_day").rowsBetween(*before)
-    days = (
-        summary.groupBy("_who", "_day")
-        .agg(F.max("_last").alias("_day_last"))
-        .withColumn("_days_before", F.max("_day_last").over(over_days))
-        .drop("_day_last")
-    )
-    carried = (
-        summary.withColumn("_in_day", F.max("_last").over(in_day))
-        .join(days, ["_who", "_day"])
-        .withColumn("_carried", F.coalesce("_in_day", "_days_before"))
+    before = (
+        Window.partitionBy("_key", "_who")
+        .orderBy("_day", "_slot")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    carried = summary.withColumn("_carried", F.max("_last").over(before))
     opens = _opens_session(seconds_between("_first", "_carried"), F.col("_carried"), gap_seconds)
     opened = F.when(F.col("_first").isNull(), F.col("_rows")).otherwise(opens.cast("long"))
-    return sum_before(
-        carried.withColumn("_opened", opened), ["_who"], ["_day", "_slot"], "_opened", "_sessions"
-    ).select(*SLICE, "_carried", "_opened", "_sessions")
+    return (
+        carried.withColumn("_opened", opened)
+        .withColumn("_sessions", F.coalesce(F.sum("_opened").over(before), F.lit(0)))
+        .select(*SLICE, "_carried", "_opened", "_sessions")
+    )

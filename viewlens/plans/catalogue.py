@@ -410,8 +410,10 @@ def user_metrics(s: Source) -> DataFrame:
 
 @_query
 def user_metrics_split(s: Source) -> DataFrame:
-    """The same with time slices of a second."""
-    metrics = ops.user_metrics(_session_events(s.views), tie_col="place", slice_seconds=1)
+    """The same with time slices of a second, for each user."""
+    metrics = ops.user_metrics(
+        _session_events(s.views), tie_col="place", slice_seconds=1, whole_rows=0
+    )
     return metrics.select(*SESSION_COLUMNS)
 
 

@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.sessions import user_metrics
+from ..operators.sessions import event_counts, user_metrics
 from ..schemas import SESSION_USERS
-from ..sinks.batches import BatchWriter
+from ..sinks.batches import BatchWriter, kept
 from ..sinks.layered import LayeredTable
 from ..sinks.storage import note_numbers, read_note, write_note
 from ..sinks.tables import append_run
@@ -165,9 +165,10 @@ def user_metrics_totals(spark: SparkSession, root: str) -> DataFrame:
 def _give_out(ready: DataFrame, root: str, step: int, **options) -> None:
     """Writes the metrics of a step's events and where their users now stand."""
     spark, users = ready.sparkSession, session_users(root)
-    known = users.read_partitions(spark, with_bucket(ready), before=step).drop("bucket")
-    metrics = user_metrics(ready, earlier=known, **options)
-    append_run(metrics, f"{root}/metrics", step, key=STEP)
+    with kept(event_counts(ready)) as counts:
+        known = users.read_partitions(spark, with_bucket(counts), before=step).drop("bucket")
+        metrics = user_metrics(ready, earlier=known, users=counts, **options)
+        append_run(metrics, f"{root}/metrics", step, key=STEP)
     written = spark.read.schema(metrics.schema).parquet(f"{root}/metrics/{STEP}={step}")
     seen = written.groupBy("user_id").agg(
         F.max(options["time_col"]).alias("last_time"), F.max("session_seq_number").alias("last_seq")
