@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from viewlens import operators as ops
 from viewlens import streaming
+from viewlens.plans.catalogue import Source
 from viewlens.schemas import VIEW_EVENT
 from viewlens.sinks import lake_writer, latest_rows, read_arrivals, update_log_writer
 from viewlens.sinks.storage import read_note
@@ -379,3 +380,18 @@ def test_console_and_stop(spark, folder, tmp_path):
     assert streaming.await_any(spark, 60)
     assert query.name == "lake" and not query.isActive
     assert read_arrivals(spark, str(tmp_path / "lake")).count() == 1
+
+
+def test_a_table_in_order_of_time_reaches_the_stream_in_many_files(spark, tmp_path):
+    """Else one task decodes all of a micro-batch."""
+    spark.sql(
+        "SELECT id AS event_id, timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id) AS ts, "
+        "id % 9 AS user_id, 'view' AS event_type, 1D AS value, '{\"k\": 1}' AS props FROM range(1000)"
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    source = Source(spark, str(tmp_path))
+    sizes = []
+    root = str(tmp_path / "s")
+    source.run_stream(root, lambda views: views, lambda batch, _: sizes.append(batch.count()))
+    assert sizes == [200] * 5
+    files = spark.read.parquet(f"{root}/arrived").groupBy(F.input_file_name()).count()
+    assert files.count() == 5 * spark.sparkContext.defaultParallelism

@@ -82,10 +82,15 @@ class Source:
         return self.now - F.expr("INTERVAL 10 DAYS")
 
     def run_stream(self, root: str, transform, writer, mode: str = "append", late=False) -> None:
-        """Runs a stream over the events, one micro-batch and restart for each time range."""
+        """Runs a stream over the events, one micro-batch and restart for each time range.
+
+        Where the table is in order of time, few tasks read a range, so its rows are dealt to
+        as many files as tasks can run.
+        """
         arrived = f"{root}/arrived"
+        files = self.spark.sparkContext.defaultParallelism
         for events in fixtures.event_slices(self.spark, self.sf_dir, late=late):
-            events.write.mode("append").parquet(arrived)
+            events.repartition(files).write.mode("append").parquet(arrived)
             views = fixtures.enriched_views(fixtures.stream_events(self.spark, arrived))
             run_to_end(transform(views), writer, checkpoint=f"{root}/checkpoint", mode=mode)
 
