@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 #: Rows handed to a function at once; bounds what Python holds beside the batch.
 ROWS = 1024
@@ -35,14 +35,19 @@ def add_columns(
     schema = to_arrow_schema(StructType(fields + new), prefers_large_types=False)
     types = [schema.field(len(fields) + i).type for i in range(len(new))]
     filtered = [f.name for f in new].index(where) if where else None
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text_"))
+    columns, at = [F.col(f"`{c}`") for c in keep], len(keep)
+    if text in keep and df.schema[text].dataType == StringType():
+        at = keep.index(text)  # sent to Python once
+    else:
+        columns.append(F.col(text).cast("string").alias("_text_"))
+    source = df.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = factory()
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                values = function(part.column(len(keep)).to_pylist())
+                values = function(part.column(at).to_pylist())
                 kept = [part.column(i) for i in range(len(keep))]
                 if filtered is not None:
                     rows = pa.RecordBatch.from_arrays(kept, names=keep)

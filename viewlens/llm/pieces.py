@@ -17,9 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
+import weakref
 from collections.abc import Callable
-from types import ModuleType
 
 import ahocorasick
 import numpy as np
@@ -33,6 +32,8 @@ START = -1
 NEVER = float("-inf")
 #: Entries of each of the two generations of remembered parts and pairs.
 REMEMBERED = 200_000
+#: Characters of a part that is remembered; longer ones are encoded each time.
+REMEMBERED_LENGTH = 64
 NORMAL, BYTE = 1, 6
 
 
@@ -90,8 +91,10 @@ class Pieces:
         lines = "\n" not in characters
         parts = r" *[^ \n]+| +|\n" if lines else " +[^ ]*"
         self.cut = re.compile("(?s:.+)" if inner else parts).findall
-        self.compatible = Remembered(self.are_compatible)
-        self.encoded = Remembered(self.encode_part)
+        # No cycle: what a task remembers is freed at its end, not when Python looks for cycles.
+        me = weakref.proxy(self)
+        self.compatible = Remembered(lambda pair: me.are_compatible(pair))
+        self.encoded = Remembered(lambda part: me.encode_part(part))
 
     def are_compatible(self, pair: int) -> bool:
         """Whether the texts of two tokens, merged together, give just these tokens.
@@ -143,7 +146,7 @@ class Pieces:
 
     def encode_part(self, part: str) -> tuple[str, str]:
         """Ids, comma-separated, and decoded text of a part whose borders no merge crosses."""
-        part = part.replace(" ", BLANK)
+        given, part = part, part.replace(" ", BLANK)
         if self.characters.issuperset(part):
             ids = self.encode_run(part)
         else:
@@ -154,7 +157,9 @@ class Pieces:
                     ids += (self.bytes[b] for b in character.encode())
                     known = at + 1
             ids += self.encode_run(part[known:])
-        return ",".join(map(str, ids)), self.decode_part(ids)
+        back = self.decode_part(ids)
+        # One string for both where they are equal, as both are remembered.
+        return ",".join(map(str, ids)), given if back == given else back
 
     def decode_part(self, ids: list[int]) -> str:
         """Text of the ids of one part; its byte tokens are whole characters."""
@@ -170,7 +175,10 @@ class Pieces:
         if not text:
             return "", ""
         encoded = self.encoded
-        parts = [encoded[p] for p in self.cut(" " + text.replace(BLANK, " "))]
+        parts = [
+            encoded[p] if len(p) <= REMEMBERED_LENGTH else self.encode_part(p)
+            for p in self.cut(" " + text.replace(BLANK, " "))
+        ]
         # The blank put before the text is taken away again.
         return ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])[1:]
 
@@ -182,15 +190,6 @@ class Pieces:
         return self.decode_part(ids)[1:] if ids else ""
 
 
-def kept_pieces(model: bytes) -> Pieces:
-    """The vocabulary, kept with what it remembers for later tasks of this worker."""
-    kept = sys.modules.setdefault("_kept_pieces", ModuleType("_kept_pieces")).__dict__
-    key = hashlib.sha256(model).hexdigest()
-    if key not in kept:
-        kept[key] = Pieces(model)
-    return kept[key]
-
-
 def tokenize(
     docs: DataFrame, model: bytes, text: str = "text", keep: tuple[str, ...] | None = None
 ) -> DataFrame:
@@ -202,7 +201,7 @@ def tokenize(
     """
 
     def factory():
-        pieces = kept_pieces(model)
+        pieces = Pieces(model)
 
         def run(texts):
             done = [pieces.round_trip(t) for t in texts]
@@ -221,7 +220,7 @@ def tokens_and_digests(
     """As ``tokenize``, but piece_ids, n_tokens and decoded_sha256 of every row."""
 
     def factory():
-        pieces = kept_pieces(model)
+        pieces = Pieces(model)
 
         def run(texts):
             ids, counts, decoded = [], [], []
@@ -248,7 +247,7 @@ def token_digests(
     """
 
     def factory():
-        pieces = kept_pieces(model)
+        pieces = Pieces(model)
 
         def run(texts):
             counts, ids, decoded = [], [], []

@@ -98,14 +98,14 @@ class Pooling:
     width = 3 * WIDTH + 2
 
     def __init__(self, words: np.ndarray):
-        self.words = words
-        self.forms = index_vectors(len(SHAPES) + MARKS, 2)
-        self.sums = WordSums(2 * WIDTH, self.vectors)
-
-    def vectors(self, words: list[str]) -> np.ndarray:
-        cut = [parts(w) for w in words]
-        cores = self.words[[slot(core) for core, _ in cut]]
-        return np.hstack([cores, ragged_sums(self.forms, [rows for _, rows in cut])])
+        forms = index_vectors(len(SHAPES) + MARKS, 2)
+
+        def vectors(of: list[str]) -> np.ndarray:
+            cut = [parts(w) for w in of]
+            cores = words[[slot(core) for core, _ in cut]]
+            return np.hstack([cores, ragged_sums(forms, [rows for _, rows in cut])])
+
+        self.sums = WordSums(2 * WIDTH, vectors)
 
     def pool(self, text: str | None) -> np.ndarray:
         words = (text or "").split()

@@ -6,10 +6,12 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-#: Bytes of words that are remembered; beyond it they are forgotten and begun anew.
-REMEMBERED_BYTES = 8 << 20
-#: Words whose vectors are added up at once.
-WORDS = 1 << 15
+#: Bytes of words and vectors that are remembered; beyond it they are forgotten and begun anew.
+REMEMBERED_BYTES = 24 << 20
+#: About what a word takes beside its characters and its vector.
+WORD_BYTES = 100
+#: Words whose vectors are computed or added up at once.
+WORDS = 1 << 13
 
 
 def ragged_sums(matrix: np.ndarray, rows: Sequence[Sequence[int]]) -> np.ndarray:
@@ -25,7 +27,11 @@ def ragged_sums(matrix: np.ndarray, rows: Sequence[Sequence[int]]) -> np.ndarray
 
 
 class WordSums:
-    """``compute`` maps a list of words to a matrix, one row a word."""
+    """``compute`` maps a list of words to a matrix, one row a word.
+
+    It must not refer to what holds the sums: the vectors of a task would then stay
+    in its worker until Python looks for cycles.
+    """
 
     def __init__(self, width: int, compute: Callable[[list], np.ndarray]):
         self.width, self.compute = width, compute
@@ -36,26 +42,43 @@ class WordSums:
         self.size = 0
         self.vectors = np.zeros((1024, self.width), np.float32)
 
-    def numbers(self, words: Sequence) -> np.ndarray:
-        number = self.number
-        new = [w for w in dict.fromkeys(words) if w not in number]
-        if new:
-            first = len(number)
-            for i, w in enumerate(new, first):
-                number[w] = i
-            self.size += sum(map(len, new)) + 32 * len(new)
-            while len(number) > len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            for start in range(0, len(new), WORDS):
-                part = new[start : start + WORDS]
-                self.vectors[first + start : first + start + len(part)] = self.compute(part)
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    def bytes(self, words: Sequence) -> int:
+        return sum(map(len, words)) + (WORD_BYTES + 4 * self.width) * len(words)
+
+    def remember(self, new: Sequence) -> None:
+        number, first = self.number, len(self.number)
+        for i, w in enumerate(new, first):
+            number[w] = i
+        while len(number) > len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+        for start in range(0, len(new), WORDS):
+            part = new[start : start + WORDS]
+            self.vectors[first + start : first + start + len(part)] = self.compute(part)
+
+    def add_once(self, words: Sequence, distinct: list) -> tuple[np.ndarray, np.ndarray]:
+        """As ``add``, remembering nothing."""
+        number = {w: i for i, w in enumerate(distinct)}
+        numbers = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        counts = np.bincount(numbers, minlength=len(distinct)).astype(np.float64)
+        total = np.zeros(self.width)
+        for start in range(0, len(distinct), WORDS):
+            vectors = self.compute(distinct[start : start + WORDS]).astype(np.float32)
+            total += counts[start : start + WORDS] @ vectors.astype(np.float64)
+        return total, numbers
 
     def add(self, words: Sequence) -> tuple[np.ndarray, np.ndarray]:
         """Sum of the vectors of the words of a text, and the words' numbers."""
-        if self.size > REMEMBERED_BYTES:
+        distinct = list(dict.fromkeys(words))
+        new = [w for w in distinct if w not in self.number]
+        size = self.bytes(new)
+        if self.size + size > REMEMBERED_BYTES and self.number:
             self.forget()
-        numbers = self.numbers(words)
+            new, size = distinct, self.bytes(distinct)
+        if size > REMEMBERED_BYTES:
+            return self.add_once(words, distinct)
+        self.size += size
+        self.remember(new)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         distinct, counts = np.unique(numbers, return_counts=True)
         total = np.zeros(self.width)
         for start in range(0, len(distinct), WORDS):
