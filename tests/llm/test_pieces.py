@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -69,3 +70,52 @@ def test_other_models_are_refused():
     proto.trainer_spec.model_type = 1
     with pytest.raises(ValueError, match="merge-type"):
         Pieces(proto.SerializeToString())
+
+
+def random_words(seed, count, alphabet):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(count)]
+
+
+def test_new_parts_are_merged_together():
+    pieces = Pieces(MODEL)
+    words = random_words(1, 5000, "etaoinshrdlu.É")
+    calls = 0
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    pieces.round_trip(" ".join(words))
+    sys.setprofile(None)
+    # Every call and return, from Python or C: not many for each new part.
+    assert calls < 20 * len(set(words))
+
+
+def test_many_texts_together(monkeypatch):
+    monkeypatch.setattr("viewlens.llm.pieces.TOGETHER", 2000)
+    pieces = Pieces(MODEL)
+    pieces.encoded.limit = 50
+    words = random_words(2, 1500, "aabcdeé ▁\n日\U0001f600*,<>0x") + ["a" * 64, "b" * 65, "é" * 300]
+    texts = [None, "", *words, " ".join(words), *words[:300], None]
+    found = list(pieces.round_trips(texts))
+    assert len(found) == len(texts)
+    for text, (numbers, back) in zip(texts, found, strict=True):
+        ids = THEIRS.encode(text or "")
+        assert numbers == ",".join(map(str, ids)) and back == THEIRS.decode(ids)
+    assert max(map(len, pieces.encoded)) <= 64
+
+
+def test_equal_scores_merge_from_the_left():
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto.FromString(MODEL)
+    for number, piece in enumerate(proto.pieces):
+        if piece.type == 1:
+            piece.score = -(number // 5000)
+    changed = proto.SerializeToString()
+    ours = Pieces(changed)
+    theirs = sentencepiece.SentencePieceProcessor(model_proto=changed)
+    for word in random_words(3, 800, "etaoinshr"):
+        assert ours.encode(word) == theirs.encode(word)
